@@ -19,25 +19,26 @@ STAGE_AFTER = {
     "job_failed": "failed",
 }
 RETRY_EVENT = "stage_retry_scheduled"
-RETRY_TEXT = "reintento %d en %s: %s"
-FAILED_TEXT = "[%s] %s"
+RETRY_TEXT = "concat('reintento ', attempt, ' en ', stage, ': ', reason)"
+FAILED_TEXT = "concat('[', stage, '] ', reason)"
 
 
-def _last(value: Column, wanted: Column) -> Column:
-    """Value of the last event (by time, then sequence) for which ``wanted`` holds."""
-    return F.max_by(value, F.when(wanted, F.struct("at", "seq")))
+def _of(*event_types: str) -> str:
+    return f"event_type IN ({', '.join(repr(t) for t in event_types)})"
 
 
-def _of(*event_types: str) -> Column:
-    return F.col("event_type").isin(*event_types)
+def _last(value: str, *event_types: str, where: str = "true") -> str:
+    """Value at the last of these events, by time and then sequence."""
+    return f"max_by({value}, struct(at, seq)) FILTER (WHERE {_of(*event_types)} AND {where})"
 
 
-def attempts_map() -> Column:
-    """Aggregate: last recorded attempt per stage, as a map of at most one entry per stage."""
-    entries = [F.struct(F.lit(s).alias("stage"),
-                        _last(F.col("attempt"), _of(RETRY_EVENT) & (stage_name("stage") == s))
-                        .alias("attempt")) for s in STAGES]
-    return F.map_from_entries(F.filter(F.array(*entries), lambda e: e["attempt"].isNotNull()))
+def _attempts() -> str:
+    """Last recorded attempt per stage, as a map of at most one entry per stage of the domain."""
+    known = ", ".join(repr(s) for s in STAGES)
+    checked = f"CASE WHEN stage IN ({known}) THEN stage ELSE 'failed' END"
+    last_of = [_last("attempt", RETRY_EVENT, where=f"{checked} = '{s}'") for s in STAGES]
+    entries = ", ".join(f"struct('{s}', {last})" for s, last in zip(STAGES, last_of))
+    return f"map_from_entries(filter(array({entries}), e -> e.col2 IS NOT NULL))"
 
 
 def fold_jobs(events: DataFrame, now: Column | None = None) -> DataFrame:
@@ -46,20 +47,19 @@ def fold_jobs(events: DataFrame, now: Column | None = None) -> DataFrame:
     One aggregation of last-write-wins values: every job keeps a fixed number of them, so a
     job with very many events is combined before the shuffle. ``now`` adds ``elapsed_s``.
     """
-    after = F.create_map(*[F.lit(x) for pair in STAGE_AFTER.items() for x in pair])
-    error = (F.when(_of("job_failed"), F.format_string(FAILED_TEXT, "stage", "reason"))
-              .otherwise(F.format_string(RETRY_TEXT, "attempt", "stage", "reason")))
-    state = events.groupBy("job_id").agg(
-        F.coalesce(_last(F.try_element_at(after, "event_type"), _of(*STAGE_AFTER)),
-                   F.lit("received")).alias("stage"),
-        F.coalesce(_last(F.col("at"), _of("job_accepted")), F.min("at")).alias("created_at"),
-        F.max("at").alias("updated_at"),
-        attempts_map().alias("attempts"),
-        _last(F.col("payload"), _of("job_accepted", "input_validated")).alias("request"),
-        _last(F.col("payload"), _of("gpu_completed")).alias("gpu"),
-        _last(F.col("payload"), _of("spark_completed")).alias("runs"),
-        _last(F.col("payload"), _of("analysis_completed")).alias("analysis"),
-        _last(error, _of("job_failed", RETRY_EVENT)).alias("error"))
+    after = " ".join(f"WHEN '{event}' THEN '{stage}'" for event, stage in STAGE_AFTER.items())
+    error = f"CASE event_type WHEN 'job_failed' THEN {FAILED_TEXT} ELSE {RETRY_TEXT} END"
+    state = events.groupBy("job_id").agg(*[F.expr(f"{value} AS {name}") for name, value in {
+        "stage": f"coalesce({_last(f'CASE event_type {after} END', *STAGE_AFTER)}, 'received')",
+        "created_at": f"coalesce({_last('at', 'job_accepted')}, min(at))",
+        "updated_at": "max(at)",
+        "attempts": _attempts(),
+        "request": _last("payload", "job_accepted", "input_validated"),
+        "gpu": _last("payload", "gpu_completed"),
+        "runs": _last("payload", "spark_completed"),
+        "analysis": _last("payload", "analysis_completed"),
+        "error": _last(error, "job_failed", RETRY_EVENT),
+    }.items()])
     state = state.withColumn("is_terminal", is_terminal("stage"))
     if now is not None:
         state = state.withColumn("elapsed_s", elapsed_seconds(F.col("created_at"), now))
@@ -73,7 +73,7 @@ def elapsed_seconds(since: Column, now: Column) -> Column:
 
 def job_attempts(events: DataFrame) -> DataFrame:
     """``job_id, stage, attempts``: the last recorded attempt of each retried stage."""
-    return (events.filter(_of(RETRY_EVENT)).groupBy("job_id", stage_name("stage").alias("stage"))
+    return (events.filter(F.col("event_type") == RETRY_EVENT).groupBy("job_id", stage_name("stage").alias("stage"))
             .agg(F.max_by("attempt", F.struct("at", "seq")).alias("attempts")))
 
 

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import clean_number
-from ..plans.skew import heaviest_keys, key_alias, rename_keys, same_key, without_keys
+from ..plans.skew import heaviest_keys, key_alias, rename_keys, same_key_sql, without_keys
 
 HOT_ROWS = 1_000_000
 HOT_KEYS = 10_000
@@ -24,65 +24,74 @@ def middle_values(df: DataFrame, keys: list[str], value: str, hot_rows: int = HO
     """
     if not keys:
         raise ValueError("middle_values needs at least one key")
-    rows = (df.select(*keys, clean_number(value).alias("__v"))
-            .filter(F.col("__v").isNotNull()))
-    sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), F.min("__v").alias("__lo"),
-                                    F.max("__v").alias("__hi"))
+    rows = (df.select(*keys, clean_number(value).alias("__v")).filter("__v IS NOT NULL"))
+    sizes = rows.groupBy(*keys).agg(F.expr("count(1) AS __n"), F.expr("min(__v) AS __lo"),
+                                    F.expr("max(__v) AS __hi"))
     hot = heaviest_keys(sizes, keys, "__n", hot_keys, hot_rows)
     return (_by_window(without_keys(rows, hot, keys), keys)
             .unionByName(_by_narrowing(rows, hot, keys, rounds, buckets)))
 
 
+def _middle(found: DataFrame, keys: list[str]) -> DataFrame:
+    return found.groupBy(*keys).agg(F.expr("min(__v) AS lower_middle"),
+                                    F.expr("max(__v) AS upper_middle"))
+
+
 def _by_window(rows: DataFrame, keys: list[str]) -> DataFrame:
-    ordered = Window.partitionBy(*keys).orderBy("__v")
-    whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    ranked = (rows.withColumn("__rank", F.row_number().over(ordered) - 1)
-              .withColumn("__n", F.count(F.lit(1)).over(whole)))
-    wanted = (F.col("__rank") == F.shiftright(F.col("__n") - 1, 1)) | (
-        F.col("__rank") == F.shiftright(F.col("__n"), 1))
-    return (ranked.filter(wanted).groupBy(*keys)
-            .agg(F.min("__v").alias("lower_middle"), F.max("__v").alias("upper_middle")))
+    window = f"PARTITION BY {_names(keys)} ORDER BY __v"
+    ranked = rows.selectExpr(
+        "*", f"row_number() OVER ({window}) - 1 AS __rank",
+        f"count(1) OVER ({window} ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS __n")
+    return _middle(ranked.filter("__rank IN (shiftright(__n - 1, 1), shiftright(__n, 1))"), keys)
 
 
 def _by_narrowing(rows: DataFrame, hot: DataFrame, keys: list[str], rounds: int,
                   buckets: int) -> DataFrame:
-    renamed = [key_alias(k) for k in keys]
+    own = [key_alias(k) for k in keys]
     # One row per (key, wanted rank): where that rank can lie, and how many values lie below.
-    bracket = rename_keys(hot, keys).select(
-        *renamed, "__lo", "__hi", F.lit(0).cast("long").alias("__below"),
-        F.explode(F.array_distinct(F.array(F.shiftright(F.col("__n") - 1, 1),
-                                           F.shiftright(F.col("__n"), 1)))).alias("__rank"))
+    bracket = rename_keys(hot, keys).selectExpr(
+        *_quoted(own), "__lo", "__hi", "0L AS __below",
+        "explode(array_distinct(array(shiftright(__n - 1, 1), shiftright(__n, 1)))) AS __rank")
     for _ in range(rounds):
-        bucket = _bucket(F.col("__v"), F.col("__lo"), F.col("__hi"), buckets)
         counted = (_inside(rows, bracket, keys)
-                   .groupBy(*renamed, "__rank", "__below", bucket.alias("__bucket"))
-                   .agg(F.count(F.lit(1)).alias("__c"), F.min("__v").alias("__lo"),
-                        F.max("__v").alias("__hi")))
-        bracket = _holding_rank(counted, renamed, "__bucket").select(
-            *renamed, "__lo", "__hi", "__below", "__rank")
-    distinct = (_inside(rows, bracket, keys)
-                .groupBy(*renamed, "__rank", "__below", "__v").agg(F.count(F.lit(1)).alias("__c")))
-    return (_holding_rank(distinct, renamed, "__v")
-            .groupBy(*[F.col(r).alias(k) for r, k in zip(renamed, keys)])
-            .agg(F.min("__v").alias("lower_middle"), F.max("__v").alias("upper_middle")))
+                   .selectExpr(*_quoted(own), "__rank", "__below", "__v",
+                               f"{_bucket_sql(buckets)} AS __bucket")
+                   .groupBy(*own, "__rank", "__below", "__bucket")
+                   .agg(F.expr("count(1) AS __c"), F.expr("min(__v) AS __lo"),
+                        F.expr("max(__v) AS __hi")))
+        bracket = _holding_rank(counted, own, "__bucket")
+    distinct = (_inside(rows, bracket, keys).groupBy(*own, "__rank", "__below", "__v")
+                .agg(F.expr("count(1) AS __c")))
+    middle = _middle(_holding_rank(distinct, own, "__v"), own)
+    return middle.selectExpr(*[f"`{o}` AS `{k}`" for o, k in zip(own, keys)],
+                             "lower_middle", "upper_middle")
+
+
+def _quoted(columns: list[str]) -> list[str]:
+    return [f"`{c}`" for c in columns]
+
+
+def _names(columns: list[str]) -> str:
+    return ", ".join(_quoted(columns))
 
 
 def _inside(rows: DataFrame, bracket: DataFrame, keys: list[str]) -> DataFrame:
     """Rows within their key's bracket; at most two brackets for each of the bounded hot keys."""
     return rows.join(F.broadcast(bracket),
-                     same_key(keys) & F.col("__v").between(F.col("__lo"), F.col("__hi")))
+                     F.expr(f"{same_key_sql(keys)} AND __v BETWEEN __lo AND __hi"))
 
 
-def _bucket(v: Column, lo: Column, hi: Column, buckets: int) -> Column:
-    """Non-decreasing in ``v``; everything in one bucket where the width is 0 or not finite."""
-    share = F.coalesce(F.try_divide(v - lo, hi - lo), F.lit(0.0))
-    return F.least(F.floor(F.nanvl(share, F.lit(1.0)) * buckets), F.lit(buckets - 1)).cast("int")
+def _bucket_sql(buckets: int) -> str:
+    """Non-decreasing in the value; one bucket for all where the width is 0 or not finite."""
+    share = "nanvl(coalesce(try_divide(__v - __lo, __hi - __lo), 0.0D), 1.0D)"
+    return f"CAST(least(floor({share} * {buckets}), {buckets - 1}) AS INT)"
 
 
-def _holding_rank(counted: DataFrame, renamed: list[str], order: str) -> DataFrame:
-    upto = (Window.partitionBy(*renamed, "__rank").orderBy(order)
-            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+def _holding_rank(counted: DataFrame, own: list[str], order: str) -> DataFrame:
+    """The one row per (key, rank) whose values cover the rank, with the count below it."""
+    window = f"PARTITION BY {_names(own)}, __rank ORDER BY {order}"
+    kept = [c for c in counted.columns if c not in ("__below", "__c", "__bucket")]
     return (counted
-            .withColumn("__upto", F.col("__below") + F.sum("__c").over(upto))
-            .withColumn("__below", F.col("__upto") - F.col("__c"))
-            .filter((F.col("__below") <= F.col("__rank")) & (F.col("__rank") < F.col("__upto"))))
+            .selectExpr("*", f"__below + sum(__c) OVER ({window} ROWS UNBOUNDED PRECEDING) AS __upto")
+            .filter("__upto - __c <= __rank AND __rank < __upto")
+            .selectExpr(*_quoted(kept), "__upto - __c AS __below"))

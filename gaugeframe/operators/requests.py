@@ -17,7 +17,9 @@ BAD_CALLBACK = "callbackUrl debe ser http(s): %s"
 
 
 def _failed(check: Column, message: str, value: str) -> Column:
-    return F.when(~check, F.format_string(message, value))
+    before, after = message.split("%s")
+    shown = F.coalesce(F.col(value), F.lit("null"))
+    return F.when(~check, F.concat(F.lit(before), shown, F.lit(after)))
 
 
 def validate_requests(df: DataFrame) -> DataFrame:

@@ -20,16 +20,17 @@ def key_alias(key: str) -> str:
 
 def rename_keys(per_key: DataFrame, keys: list[str]) -> DataFrame:
     """Give the key columns their own names, so the join condition is never ambiguous."""
-    rest = [c for c in per_key.columns if c not in keys]
-    return per_key.select(*[F.col(k).alias(key_alias(k)) for k in keys], *rest)
+    rest = [f"`{c}`" for c in per_key.columns if c not in keys]
+    return per_key.selectExpr(*[f"`{k}` AS `{key_alias(k)}`" for k in keys], *rest)
 
 
-def same_key(keys: list[str]) -> Column:
+def same_key_sql(keys: list[str]) -> str:
     """NULL-safe equality of a row's keys with the renamed ones."""
-    cond = F.lit(True)
-    for k in keys:
-        cond = cond & F.col(k).eqNullSafe(F.col(key_alias(k)))
-    return cond
+    return " AND ".join(f"`{k}` <=> `{key_alias(k)}`" for k in keys)
+
+
+def same_key(keys: list[str]) -> Column:
+    return F.expr(same_key_sql(keys))
 
 
 def heaviest_keys(per_key: DataFrame, keys: list[str], weight: str, limit: int = HOT_KEYS,

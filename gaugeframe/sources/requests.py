@@ -8,13 +8,14 @@ from pyspark.sql import functions as F
 # Defaults of an omitted field and the texts of a malformed one.
 DEFAULT_MODE = "zscore"
 DEFAULT_PIPELINE = "both"
-TEXT_FIELDS = ["datasetUri", "mode", "pipeline", "outputUri", "callbackUrl", "column"]
+FIELDS = ["datasetUri", "mode", "pipeline", "outputUri", "callbackUrl", "forceCpu", "column"]
 NOT_AN_OBJECT = "se esperaba un objeto JSON"
-NOT_TEXT = "'%s' debe ser una cadena, recibido %s"
-NOT_BOOLEAN = "'%s' debe ser booleano, recibido %s"
+NOT_TEXT = "'{}' debe ser una cadena, recibido "
+NOT_BOOLEAN = "'{}' debe ser booleano, recibido "
 MISSING = "falta el campo obligatorio 'datasetUri'"
 
 _BLANKS = " \t\r\n"
+_CORRUPT = "__corrupt"
 
 
 def parse_requests(df: DataFrame, json_col: str) -> DataFrame:
@@ -23,46 +24,49 @@ def parse_requests(df: DataFrame, json_col: str) -> DataFrame:
     Text is trimmed. A blank or wrong-typed field is an error, a missing or JSON-null one
     takes its default. All fields of a malformed request are still given where readable.
     """
-    field = {name: F.col(f"__{name}") for name in [*TEXT_FIELDS, "forceCpu"]}
-    parsed = df.withColumn("__json", F.try_parse_json(json_col))
-    parsed = parsed.withColumns({
-        f"__{name}": F.try_variant_get("__json", f"$.{name}", "variant") for name in field})
-
-    def kind(value: Column) -> Column:
-        return F.coalesce(F.schema_of_variant(value), F.lit("VOID"))
+    # The fields go through array functions instead of one expression each: the generated
+    # method stays small enough for the JIT, and every field is looked up once per row.
+    rules = F.array(*[
+        F.struct(F.lit("BOOLEAN" if f == "forceCpu" else "STRING").alias("kind"),
+                 F.lit((NOT_BOOLEAN if f == "forceCpu" else NOT_TEXT).format(f)).alias("message"))
+        for f in FIELDS])
+    body = F.from_json(json_col, ", ".join([f"`{f}` VARIANT" for f in FIELDS] + [f"{_CORRUPT} STRING"]),
+                       {"columnNameOfCorruptRecord": _CORRUPT, "allowSingleQuotes": "false"})
+    values = F.array(*[F.col("__body")[f] for f in FIELDS])
+    read = (df.withColumn("__body", body)
+            .withColumn("__object", F.coalesce(
+                F.col(json_col).rlike(r"^\s*\{") & F.col("__body")[_CORRUPT].isNull(), F.lit(False)))
+            .withColumn("__fields", F.transform(values, _describe))
+            .withColumn("__fields", F.when(F.col("__object"), F.zip_with(rules, "__fields", _check))))
+    value = {f: F.col("__fields")[i]["value"] for i, f in enumerate(FIELDS)}
+    errors = F.transform("__fields", lambda f: f["error"])
+    missing = F.when(F.col("__fields")[0]["absent"], F.lit(MISSING))
+    return (read
+            .withColumns({
+                "dataset_uri": value["datasetUri"],
+                "mode": F.coalesce(value["mode"], F.lit(DEFAULT_MODE)),
+                "pipeline": F.coalesce(value["pipeline"], F.lit(DEFAULT_PIPELINE)),
+                "output_uri": value["outputUri"],
+                "callback_url": value["callbackUrl"],
+                "force_cpu": F.coalesce(value["forceCpu"] == "true", F.lit(False)),
+                "column": value["column"],
+                "parse_errors": F.when(F.col("__object"), F.array_compact(F.concat(
+                    F.slice(errors, 1, 1), F.array(missing), F.slice(errors, 2, len(FIELDS)))))
+                .otherwise(F.array(F.lit(NOT_AN_OBJECT))),
+            })
+            .drop("__body", "__object", "__fields"))
 
-    def text(name: str) -> Column:
-        return F.when(kind(field[name]) == "STRING",
-                      F.nullif(F.trim(F.try_variant_get(field[name], "$", "string"), F.lit(_BLANKS)),
-                               F.lit("")))
 
-    def bad(name: str, good: Column, message: str) -> Column:
-        return F.when((kind(field[name]) != "VOID") & ~good,
-                      F.format_string(message, F.lit(name), F.to_json(field[name])))
+def _describe(raw: Column) -> Column:
+    return F.struct(F.coalesce(F.schema_of_variant(raw), F.lit("VOID")).alias("kind"),
+                    F.trim(F.try_variant_get(raw, "$", "string"), F.lit(_BLANKS)).alias("text"),
+                    raw.alias("raw"))
 
-    def bad_text(name: str) -> Column:
-        return bad(name, text(name).isNotNull(), NOT_TEXT)
 
-    force_type = kind(field["forceCpu"])
-    is_object = F.coalesce(F.schema_of_variant("__json").startswith("OBJECT"), F.lit(False))
-    errors = F.array_compact(F.array(
-        bad_text("datasetUri"),
-        F.when(kind(field["datasetUri"]) == "VOID", F.lit(MISSING)),
-        *[bad_text(name) for name in TEXT_FIELDS[1:5]],
-        bad("forceCpu", force_type == "BOOLEAN", NOT_BOOLEAN),
-        bad_text("column"),
-    ))
-    return (parsed
-            .withColumns({
-                "dataset_uri": text("datasetUri"),
-                "mode": F.coalesce(text("mode"), F.lit(DEFAULT_MODE)),
-                "pipeline": F.coalesce(text("pipeline"), F.lit(DEFAULT_PIPELINE)),
-                "output_uri": text("outputUri"),
-                "callback_url": text("callbackUrl"),
-                "force_cpu": F.coalesce(
-                    F.when(force_type == "BOOLEAN",
-                           F.try_variant_get(field["forceCpu"], "$", "boolean")), F.lit(False)),
-                "column": text("column"),
-                "parse_errors": F.when(is_object, errors).otherwise(F.array(F.lit(NOT_AN_OBJECT))),
-            })
-            .drop("__json", *[f"__{name}" for name in field]))
+def _check(rule: Column, field: Column) -> Column:
+    good = (field["kind"] == rule["kind"]) & (field["text"] != "")
+    absent = field["kind"] == "VOID"
+    return F.struct(
+        F.when(good, field["text"]).alias("value"),
+        F.when(~good & ~absent, F.concat(rule["message"], F.to_json(field["raw"]))).alias("error"),
+        absent.alias("absent"))

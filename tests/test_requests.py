@@ -42,6 +42,10 @@ def test_domains_are_case_sensitive_and_uri_required(spark):
     ('{"datasetUri": "u", "mode": "  ", "column": [1]}',
      ["'mode' debe ser una cadena, recibido \"  \"", "'column' debe ser una cadena, recibido [1]"]),
     ('{"datasetUri": "u", "forceCpu": "yes"}', ["'forceCpu' debe ser booleano, recibido \"yes\""]),
+    ('[{"datasetUri": "u"}]', ["se esperaba un objeto JSON"]), ("{'datasetUri': 'u'}", ["se esperaba un objeto JSON"]),
+    ('{"datasetUri": "u", "mode": ', ["se esperaba un objeto JSON"]), ("5", ["se esperaba un objeto JSON"]),
+    ('{"datasetUri": {"a": 1}}', ["'datasetUri' debe ser una cadena, recibido {\"a\":1}"]),
+    ('{"datasetUri": "a", "datasetUri": "b"}', []), ("{}", ["falta el campo obligatorio 'datasetUri'"]),
     ("[1]", ["se esperaba un objeto JSON"]), ("{bad", ["se esperaba un objeto JSON"]),
     (None, ["se esperaba un objeto JSON"]),
 ])
