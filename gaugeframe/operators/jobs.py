@@ -67,8 +67,12 @@ def fold_jobs(events: DataFrame, now: Column | None = None) -> DataFrame:
 
 
 def elapsed_seconds(since: Column, now: Column) -> Column:
-    """Whole milliseconds between two timestamps, in seconds."""
-    return F.timestamp_diff("MILLISECOND", since, now) / 1000.0
+    """Time between two timestamps in seconds, down to whole milliseconds. Taken from their
+    interval, so zone-less timestamps do not pass through the session time zone."""
+    span = now - since
+    seconds = (F.extract(F.lit("DAY"), span) * 86400 + F.extract(F.lit("HOUR"), span) * 3600
+               + F.extract(F.lit("MINUTE"), span) * 60 + F.extract(F.lit("SECOND"), span))
+    return F.floor(seconds * 1000) / 1000.0
 
 
 def job_attempts(events: DataFrame) -> DataFrame:

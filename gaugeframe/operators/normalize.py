@@ -57,18 +57,19 @@ def normalize_modes(df: DataFrame, col: str, modes: dict[str, str], by: list[str
     for mode in modes.values():
         check_mode(mode)
     x = _input(col, precision)
-    stats = df.groupBy(*(by or [])).agg(*_aggregates(x.cast("double")))
+    rows = F.count(F.lit(1)).alias("__rows")
+    stats = df.groupBy(*(by or [])).agg(*_aggregates(x.cast("double")), rows)
     if not by:
         params = stats.select(F.struct(*_params(modes, precision)).alias("p")).scalar()
         return df.withColumns({
             out: (x - params[f"__p{i}"]["shift"]) * params[f"__p{i}"]["scale"]
             for i, out in enumerate(modes)})
-    per_key = stats.select(*by, F.col("n").alias("__n"), *_params(modes, precision))
-    joined = attach_by_key(df, per_key, by, "__n", hot_keys)
+    per_key = stats.select(*by, "__rows", *_params(modes, precision))
+    joined = attach_by_key(df, per_key, by, "__rows", hot_keys)
     return (joined
             .withColumns({out: (x - F.col(f"__p{i}.shift")) * F.col(f"__p{i}.scale")
                           for i, out in enumerate(modes)})
-            .drop("__n", *[f"__p{i}" for i in range(len(modes))]))
+            .drop("__rows", *[f"__p{i}" for i in range(len(modes))]))
 
 
 def normalize_fixed(df: DataFrame, col: str, stats: dict[str, float], mode: str = "zscore",

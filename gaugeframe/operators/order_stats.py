@@ -6,10 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import clean_number
-from ..plans.skew import heaviest_keys, key_alias, rename_keys, same_key_sql, without_keys
+from ..plans.skew import HOT_KEYS, heaviest_keys, key_alias, rename_keys, same_key_sql, without_keys
 
 HOT_ROWS = 1_000_000
-HOT_KEYS = 10_000
 BUCKETS = 4096
 
 
@@ -18,9 +17,9 @@ def middle_values(df: DataFrame, keys: list[str], value: str, hot_rows: int = HO
     """``keys, lower_middle, upper_middle``: the elements at ranks (n-1)//2 and n//2.
 
     Their mean is the usual median, the second alone the upper one. Keys of ordinary size are
-    ranked by a window, which sorts and spills outside the heap. The at most ``hot_keys``
-    heaviest keys of ``hot_rows`` rows or more are never brought together: counting narrows
-    each to the value range that holds the wanted rank.
+    ranked by a window, which sorts and spills to disk. The at most ``hot_keys`` heaviest keys,
+    if of ``hot_rows`` rows or more, are never brought together: counting narrows each to the
+    value range that holds the wanted rank.
     """
     if not keys:
         raise ValueError("middle_values needs at least one key")

@@ -118,10 +118,12 @@ def q_normalize_by_key(spark, sf_dir):
 
 
 def q_normalize_by_many_keys(spark, sf_dir):
-    """More keys than the broadcast bound, so both join paths carry rows."""
+    """One key with a third of the rows and more others than the broadcast bound: some rows
+    go by broadcast and some by shuffle."""
     lines = views.table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice")
-    out = normalize_modes(lines, "l_extendedprice", MODES, by=["l_partkey"], hot_keys=500)
+        "l_orderkey", "l_linenumber", "l_extendedprice",
+        F.when(F.col("l_orderkey") % 3 == 0, -1).otherwise(F.col("l_partkey")).alias("k"))
+    out = normalize_modes(lines, "l_extendedprice", MODES, by=["k"], hot_keys=100)
     return _round(out.drop("l_extendedprice"), *MODES)
 
 
@@ -269,7 +271,8 @@ def q_classify_failures(spark, sf_dir):
 
 
 def q_generate_telemetry(spark, sf_dir):
-    return telemetry_from_ids(views.table(spark, sf_dir, "events"), "event_id")
+    readings = telemetry_from_ids(views.table(spark, sf_dir, "events"), "event_id")
+    return _round(readings, "value", "value_norm")
 
 
 def q_csv_round_trip(spark, sf_dir):
@@ -321,22 +324,23 @@ def q_read_npy(spark, sf_dir):
     path = scratch_path(spark, "npy")
 
     def save(batches):
-        import uuid
-
         import numpy as np
         import pyarrow as pa
         from pyarrow import fs
+        from pyspark import TaskContext
 
+        part = TaskContext.get().partitionId()
         root, folder = fs.FileSystem.from_uri(path if "://" in path else f"file://{path}")
         root.create_dir(folder)
-        for batch in batches:
+        for i, batch in enumerate(batches):
+            # A name per partition and batch: a repeated task writes the same files again.
             values = batch.column("embedding").flatten().to_numpy(zero_copy_only=False)
-            with root.open_output_stream(f"{folder}/{uuid.uuid4().hex}.npy") as out:
+            with root.open_output_stream(f"{folder}/part-{part}-{i}.npy") as out:
                 np.save(out, values.reshape(batch.num_rows, -1))
             yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows])], names=["rows"])
 
-    vectors = views.table(spark, sf_dir, "embeddings").select("embedding").repartition(4)
-    vectors.mapInArrow(save, "rows long").agg(F.sum("rows")).collect()
+    vectors = views.table(spark, sf_dir, "embeddings").repartition("vec_id")
+    vectors.select("embedding").mapInArrow(save, "rows long").agg(F.sum("rows")).collect()
     elements = read_npy(spark, path, chunk_bytes=1 << 16)
     return elements.groupBy(F.round("value", 1).alias("bin")).agg(
         F.count(F.lit(1)).alias("elements"), F.min("value").alias("lowest"),

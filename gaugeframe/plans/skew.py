@@ -1,9 +1,9 @@
 """Joining per-key results back to the rows they came from, with hot keys kept apart.
 
 A per-key table may have any number of keys, and one key may hold a third of all rows.
-``heaviest_keys`` picks at most ``limit`` keys by row count: its size is bounded whatever
-the data is, so it may be broadcast. Every key left over holds at most 1/limit of the
-rows, so an ordinary shuffle join on it has no hot partition.
+``heaviest_keys`` picks the keys with at least 1/limit of all rows. There are never more than
+``limit`` of them, whatever the data is, so they may be broadcast; every other key is too
+light to make a hot partition in an ordinary shuffle join.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-HOT_KEYS = 10_000
+HOT_KEYS = 50_000
 
 
 def key_alias(key: str) -> str:
@@ -35,11 +35,12 @@ def same_key(keys: list[str]) -> Column:
 
 def heaviest_keys(per_key: DataFrame, keys: list[str], weight: str, limit: int = HOT_KEYS,
                   at_least: int = 0) -> DataFrame:
-    """At most ``limit`` keys, by weight; the keys themselves break ties, so the choice is
-    the same on every evaluation."""
-    if at_least:
-        per_key = per_key.filter(F.col(weight) >= at_least)
-    return per_key.orderBy(F.col(weight).desc(), *keys).limit(limit)
+    """At most ``limit`` rows of ``per_key``: all of them if it has no more, else the keys
+    whose ``weight`` is 1/limit of the whole or more. A filter, so nothing is sorted or
+    gathered, and every evaluation picks the same keys."""
+    whole = per_key.agg(F.expr(f"struct(sum(`{weight}`) AS total, count(1) AS keys) AS size")).scalar()
+    share = (whole["keys"] <= limit) | (F.col(weight) * limit >= whole["total"])
+    return per_key.filter(share & (F.col(weight) >= at_least) if at_least else share)
 
 
 def without_keys(df: DataFrame, hot: DataFrame, keys: list[str]) -> DataFrame:

@@ -71,12 +71,13 @@ SELECT l_orderkey, l_linenumber, round((l_extendedprice - {shift}) * {scale}, 6)
 FROM lineitem CROSS JOIN st"""
 
 
-def _by_key(key: str) -> str:
+def _by_key(key: str, name: str) -> str:
     columns = ", ".join(f"round((l_extendedprice - {shift}) * {scale}, 6) AS {mode}"
                         for mode, (shift, scale) in SCALES.items())
-    return f"""WITH st AS (SELECT {key} AS k, min(l_extendedprice) AS mn, max(l_extendedprice) AS mx,
-  avg(l_extendedprice) AS mu, stddev_pop(l_extendedprice) AS sd FROM lineitem GROUP BY {key})
-SELECT l_orderkey, l_linenumber, {key}, {columns} FROM lineitem JOIN st ON {key} = k"""
+    return f"""WITH x AS (SELECT l_orderkey, l_linenumber, l_extendedprice, {key} AS {name} FROM lineitem),
+st AS (SELECT {name} AS id, min(l_extendedprice) AS mn, max(l_extendedprice) AS mx,
+  avg(l_extendedprice) AS mu, stddev_pop(l_extendedprice) AS sd FROM x GROUP BY {name})
+SELECT l_orderkey, l_linenumber, {name}, {columns} FROM x JOIN st ON {name} = id"""
 
 
 def _array(mode: str) -> str:
@@ -283,7 +284,50 @@ UNION ALL SELECT 'top_sensor', position, ls, rs FROM pairs WHERE ls <> rs
 UNION ALL SELECT 'top_ratio', position, CAST(lr AS VARCHAR), CAST(rr AS VARCHAR)
   FROM pairs WHERE ls = rs AND abs(lr - rr) > 1e-6"""
 
+
+def _generated() -> str:
+    """The generator's draws: 64-bit xxHash of (id, seed, draw), step by step on 128-bit integers."""
+    two64 = "18446744073709551616::UHUGEINT"
+    p1, p2, p3, p4, p5 = (f"{p}::UHUGEINT" for p in (
+        11400714785074694791, 14029467366897019727, 1609587929392839161, 9650029242287828579,
+        2870177450012600261))
+
+    def mul(x: str, p: str) -> str:
+        return f"(({x}) * {p} % {two64})"
+
+    def rotl(x: str, r: int) -> str:
+        return f"(((({x}) << {r}) | (({x}) >> {64 - r})) % {two64})"
+
+    mix = ["xor(h, h >> 33)", mul("h", p2), "xor(h, h >> 29)", mul("h", p3), "xor(h, h >> 32)"]
+
+    def of_int(value: str) -> list[str]:
+        return [f"(h + {p5} + 4) % {two64}", f"xor(h, {mul(value, p1)})",
+                f"({mul(rotl('h', 23), p2)} + {p3}) % {two64}", *mix]
+
+    steps = [mul("id", p2), mul(rotl("h", 31), p1), f"xor(h, (42 + {p5} + 8) % {two64})",
+             f"({mul(rotl('h', 27), p1)} + {p4}) % {two64}", *mix, *of_int("42::UHUGEINT"), *of_int("draw")]
+    ctes = ["s0 AS (SELECT CAST(event_id AS UHUGEINT) AS id, CAST(d AS UHUGEINT) AS draw, "
+            "0::UHUGEINT AS h FROM events, range(10) AS r(d))"]
+    ctes += [f"s{i} AS (SELECT id, draw, {step} AS h FROM s{i - 1})" for i, step in enumerate(steps, 1)]
+    draws = ", ".join(f"max(u) FILTER (draw = {d}) AS u{d}" for d in range(10))
+    return f"""WITH {", ".join(ctes)},
+u AS (SELECT id, draw, (CAST(h >> 11 AS DOUBLE) + 0.5) / 9007199254740992.0 AS u FROM s{len(steps)}),
+w AS (SELECT id, {draws} FROM u GROUP BY id),
+v AS (SELECT *, 100 + 25 * sqrt(-2 * ln(u3)) * cos(2 * pi() * u4)
+        + CASE WHEN u0 < 0.004 THEN CASE WHEN u5 < 0.5 THEN -1 ELSE 1 END * (100 + 100 * u6) ELSE 0 END AS value,
+      80 + 18 * sqrt(-2 * ln(u7)) * cos(2 * pi() * u8) AS q FROM w)
+SELECT printf('S%06d', CAST(floor(u2 * 5000) AS INT)) AS sensor_id,
+  CASE WHEN u1 < 0.25 THEN 'eu-west' WHEN u1 < 0.33 THEN 'eu-north' WHEN u1 < 0.63 THEN 'us-east'
+       WHEN u1 < 0.75 THEN 'us-west' WHEN u1 < 0.81 THEN 'sa-east' WHEN u1 < 0.91 THEN 'ap-south'
+       WHEN u1 < 0.97 THEN 'ap-north' ELSE 'af-south' END AS region,
+  CAST(floor(u9 * 2592000) AS BIGINT) AS ts, round(value, 6) AS value,
+  round((value - 100) / 25, 6) AS value_norm,
+  CAST(trunc(least(greatest(q, 0), 100)) AS INT) AS quality
+FROM v"""
+
+
 ORACLES: dict[str, str] = {
+    "generate_telemetry": _generated(),
     "anomaly_profile": ENRICHED,
     "profile_sink": ENRICHED,
     "top_anomalies": _top(20),
@@ -319,8 +363,8 @@ UNION ALL SELECT 1, 'o_orderkey', * FROM k
 UNION ALL SELECT 2, 'o_totalprice', count(*), min(o_totalprice), max(o_totalprice) FROM orders""",
     **{f"normalize_{mode}": _line(mode) for mode in SCALES},
     **{f"normalize_array_{mode}": _array(mode) for mode in SCALES},
-    "normalize_by_key": _by_key("l_returnflag"),
-    "normalize_by_many_keys": _by_key("l_partkey"),
+    "normalize_by_key": _by_key("l_returnflag", "l_returnflag"),
+    "normalize_by_many_keys": _by_key("CASE WHEN l_orderkey % 3 = 0 THEN -1 ELSE l_partkey END", "k"),
     "normalize_fixed": "SELECT event_id, round((value - 100) / 25, 6) AS value_norm FROM events",
     "normalize_float32": """WITH st AS (SELECT CAST(avg(x) AS FLOAT) AS mu, CAST(1.0 / stddev_pop(x) AS FLOAT) AS sc
   FROM (SELECT CAST(CAST(l_extendedprice AS FLOAT) AS DOUBLE) AS x FROM lineitem) AS f)

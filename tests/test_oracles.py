@@ -5,7 +5,7 @@ import pytest
 import __spark_entry__ as entry
 from oracle import compare, connect
 
-ROWS_ONLY: set[str] = {"generate_telemetry"}
+ROWS_ONLY: set[str] = set()
 
 
 @pytest.fixture(scope="module")
