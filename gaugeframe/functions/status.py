@@ -70,7 +70,8 @@ def run_warnings(backend: Column, groups_differ: Column, rate: Column) -> Column
 
 
 def verdict(speedup: Column) -> Column:
+    inverse = F.when(speedup == 0, F.lit(float("inf"))).otherwise(F.try_divide(F.lit(1.0), speedup))
     return (F.when(speedup >= 1.5, F.format_string(VERDICT_FASTER, speedup))
              .when(speedup >= 1.0, F.format_string(VERDICT_MARGINAL, speedup))
-             .when(speedup.isNotNull(), F.format_string(VERDICT_SLOWER, F.try_divide(F.lit(1.0), speedup)))
+             .when(speedup.isNotNull(), F.format_string(VERDICT_SLOWER, inverse))
              .otherwise(F.lit(VERDICT_NONE)))

@@ -96,7 +96,7 @@ def bench_pivot(df: DataFrame) -> DataFrame:
     """One row per size ``n`` of a benchmark table: times side by side, speedups, efficiency.
 
     Sizes without a one-thread row are left out. Of several rows for one column the one with
-    the most threads, then the lowest time, is used.
+    the most threads, then the lowest time, is used. A ratio over a time of zero is NULL.
     """
     cpu = F.col("impl") == "cpu_omp"
     picked = {
@@ -125,8 +125,8 @@ def bench_pivot(df: DataFrame) -> DataFrame:
 
 
 def effective_gbps(n: Column, ms: Column) -> Column:
-    """Two reads and one write of float32 per element."""
-    return F.try_divide(n * 12.0, ms * 1e6)
+    """Two reads and one write of float32 per element; 0 for a time of zero."""
+    return F.when(ms > 0, F.try_divide(n * 12.0, ms * 1e6)).when(ms.isNotNull(), F.lit(0.0))
 
 
 def metrics_record(profile: DataFrame, times_s: list[float], pipeline: str, input: str) -> DataFrame:

@@ -124,6 +124,7 @@ SELECT job_id, round(rate, 6) AS anomaly_rate, rdd_s, dataframe_s, round(s, 6) A
   total_s,
   CASE WHEN s >= 1.5 THEN printf('DataFrame es %.2fx más rápido que RDD', round(s, 2))
        WHEN s >= 1.0 THEN printf('DataFrame es marginalmente más rápido (%.2fx)', round(s, 2))
+       WHEN s = 0 THEN 'RDD resultó más rápido (Infinityx): revise el tamaño del dataset'
        WHEN s IS NOT NULL THEN printf('RDD resultó más rápido (%.2fx): revise el tamaño del dataset', round(1 / s, 2))
        ELSE 'sólo se ejecutó un pipeline: sin comparación disponible' END AS verdict,
   concat_ws('; ',
@@ -139,10 +140,12 @@ BENCH_PIVOT = """WITH b AS (
 w AS (SELECT n, max(ms) FILTER (kind = 'cpu1') AS c1, max(ms) FILTER (kind = 'cpun') AS cn,
              max(ms) FILTER (kind = 'gpu') AS g FROM b GROUP BY n)
 SELECT n, round(c1, 6) AS cpu1_ms, round(cn, 6) AS cpun_ms, round(g, 6) AS gpu_ms,
-  round(g * 0.5, 6) AS kernel_ms, round(c1 / cn, 6) AS cpu_speedup,
-  round(c1 / cn / 8 * 100, 6) AS cpu_efficiency_pct, round(c1 / g, 6) AS gpu_speedup_vs_1,
-  round(cn / g, 6) AS gpu_speedup_vs_n, round((g * 0.25 + g * 0.125) / g * 100, 6) AS transfer_pct,
-  round(n * 12.0::DOUBLE / (c1 * 1e6), 6) AS cpu1_gbps, round(n * 12.0::DOUBLE / (cn * 1e6), 6) AS cpun_gbps
+  round(g * 0.5, 6) AS kernel_ms, round(c1 / nullif(cn, 0), 6) AS cpu_speedup,
+  round(c1 / nullif(cn, 0) / 8 * 100, 6) AS cpu_efficiency_pct,
+  round(c1 / nullif(g, 0), 6) AS gpu_speedup_vs_1, round(cn / nullif(g, 0), 6) AS gpu_speedup_vs_n,
+  round((g * 0.25 + g * 0.125) / nullif(g, 0) * 100, 6) AS transfer_pct,
+  round(CASE WHEN c1 > 0 THEN n * 12.0::DOUBLE / (c1 * 1e6) WHEN c1 = 0 THEN 0 END, 6) AS cpu1_gbps,
+  round(CASE WHEN cn > 0 THEN n * 12.0::DOUBLE / (cn * 1e6) WHEN cn = 0 THEN 0 END, 6) AS cpun_gbps
 FROM w WHERE c1 IS NOT NULL"""
 
 REQUESTS = """req AS (
@@ -382,8 +385,8 @@ FROM lineitem CROSS JOIN st""",
     "compare_runs": f"""WITH m AS (
   SELECT job_id, median(seconds) FILTER (pipeline = 'rdd') AS b,
          median(seconds) FILTER (pipeline = 'dataframe') AS c FROM {RUNS} GROUP BY job_id)
-SELECT job_id, round(b, 6) AS baseline_s, round(c, 6) AS candidate_s, round(b / c, 6) AS speedup,
-  round((1 - c / b) * 100, 6) AS reduction_pct FROM m""",
+SELECT job_id, round(b, 6) AS baseline_s, round(c, 6) AS candidate_s, round(b / nullif(c, 0), 6) AS speedup,
+  round((1 - c / nullif(b, 0)) * 100, 6) AS reduction_pct FROM m""",
     "job_analysis": _analysis("groups"),
     "job_analysis_readings": _analysis("readings"),
     "bench_pivot": BENCH_PIVOT,

@@ -68,12 +68,12 @@ def test_compare_runs(spark):
 
 def test_job_analysis(spark):
     norm = spark.createDataFrame([("a", "cuda", 60.0), ("b", "openmp", 90.0), ("c", "cuda", 1.0),
-                                  ("d", "cuda", 1.0), ("e", "cuda", 1.0)],
+                                  ("d", "cuda", 1.0), ("e", "cuda", 1.0), ("f", "cuda", 1.0)],
                                  "job_id string, backend string, total_s double")
     rows = [("a", "rdd", 1, 5000, 200, 42.0), ("a", "dataframe", 2, 5000, 200, 14.0),
             ("b", "rdd", 1, 100, 6, 60.0), ("b", "dataframe", 2, 101, 4, 50.0),
             ("c", "rdd", 1, 100, 0, 5.0), ("d", "rdd", 1, 10, 0, 1.0), ("d", "dataframe", 2, 10, 0, 4.0),
-            ("d", "dataframe", 3, 10, 0, 9.0)]
+            ("d", "dataframe", 3, 10, 0, 9.0), ("e", "rdd", 1, 0, 0, 0.0), ("e", "dataframe", 2, 0, 0, 2.0)]
     runs = spark.createDataFrame(
         rows, "job_id string, pipeline string, run_id int, groups long, anomalies long, median_s double")
     got = {r["job_id"]: r for r in analyze_jobs(norm, runs).collect()}
@@ -84,7 +84,8 @@ def test_job_analysis(spark):
     assert got["b"]["verdict"] == "DataFrame es marginalmente más rápido (1.20x)"
     assert got["c"]["verdict"] == "sólo se ejecutó un pipeline: sin comparación disponible"
     assert got["d"]["verdict"].startswith("RDD resultó más rápido (4.00x)")
-    assert got["e"]["anomaly_rate"] == 0.0 and got["e"]["speedup"] is None
+    assert got["e"]["anomaly_rate"] == 0.0 and "(Infinityx)" in got["e"]["verdict"]
+    assert got["f"]["anomaly_rate"] == 0.0 and got["f"]["speedup"] is None
 
 
 def test_bench_pivot(spark):
@@ -93,12 +94,13 @@ def test_bench_pivot(spark):
 
     df = spark.createDataFrame([
         row(1_000_000, "cpu_omp", 1, 1.531), row(1_000_000, "cpu_omp", 8, 0.61),
-        row(10, "cpu_omp", 8, 1.0), row(20, "cpu_omp", 1, 4.0),
+        row(10, "cpu_omp", 8, 1.0), row(30, "cpu_omp", 1, 0.0), row(30, "gpu_cuda", 4, 0.0), row(20, "cpu_omp", 1, 4.0),
         row(20, "gpu_cuda", 4, 2.0, 0.5, 0.25, 0.5)], BENCH)
     got = {r["n"]: r for r in bench_pivot(df).collect()}
-    assert set(got) == {1_000_000, 20}
+    assert set(got) == {1_000_000, 20, 30}
     assert got[1_000_000]["cpu_speedup"] == pytest.approx(2.50984, rel=1e-4)
     assert got[1_000_000]["cpu1_gbps"] == pytest.approx(7.83801, rel=1e-4)
     assert got[1_000_000]["cpu_efficiency_pct"] == pytest.approx(31.373, rel=1e-3)
     assert got[1_000_000]["gpu_ms"] is None
     assert (got[20]["gpu_speedup_vs_1"], got[20]["transfer_pct"], got[20]["cpun_ms"]) == (2.0, 50.0, None)
+    assert (got[30]["gpu_speedup_vs_1"], got[30]["transfer_pct"], got[30]["cpu1_gbps"]) == (None, None, 0.0)
