@@ -39,8 +39,8 @@ def parse_requests(df: DataFrame, json_col: str) -> DataFrame:
             .withColumn("__fields", F.transform(values, _describe))
             .withColumn("__fields", F.when(F.col("__object"), F.zip_with(rules, "__fields", _check))))
     value = {f: F.col("__fields")[i]["value"] for i, f in enumerate(FIELDS)}
-    errors = F.transform("__fields", lambda f: f["error"])
-    missing = F.when(F.col("__fields")[0]["absent"], F.lit(MISSING))
+    errors = F.transform("__fields", lambda f, i: F.when(
+        f.isNull() & (i == FIELDS.index("datasetUri")), F.lit(MISSING)).otherwise(f["error"]))
     return (read
             .withColumns({
                 "dataset_uri": value["datasetUri"],
@@ -50,23 +50,22 @@ def parse_requests(df: DataFrame, json_col: str) -> DataFrame:
                 "callback_url": value["callbackUrl"],
                 "force_cpu": F.coalesce(value["forceCpu"] == "true", F.lit(False)),
                 "column": value["column"],
-                "parse_errors": F.when(F.col("__object"), F.array_compact(F.concat(
-                    F.slice(errors, 1, 1), F.array(missing), F.slice(errors, 2, len(FIELDS)))))
+                "parse_errors": F.when(F.col("__object"), F.array_compact(errors))
                 .otherwise(F.array(F.lit(NOT_AN_OBJECT))),
             })
             .drop("__body", "__object", "__fields"))
 
 
 def _describe(raw: Column) -> Column:
-    return F.struct(F.coalesce(F.schema_of_variant(raw), F.lit("VOID")).alias("kind"),
-                    F.trim(F.try_variant_get(raw, "$", "string"), F.lit(_BLANKS)).alias("text"),
-                    raw.alias("raw"))
+    """Type and trimmed text of a field; NULL for a missing or JSON-null one."""
+    given = raw.isNotNull() & ~F.is_variant_null(raw)
+    text = F.trim(F.try_variant_get(raw, "$", "string"), F.lit(_BLANKS))
+    return F.when(given, F.struct(F.schema_of_variant(raw).alias("kind"), text.alias("text"),
+                                  raw.alias("raw")))
 
 
 def _check(rule: Column, field: Column) -> Column:
     good = (field["kind"] == rule["kind"]) & (field["text"] != "")
-    absent = field["kind"] == "VOID"
-    return F.struct(
-        F.when(good, field["text"]).alias("value"),
-        F.when(~good & ~absent, F.concat(rule["message"], F.to_json(field["raw"]))).alias("error"),
-        absent.alias("absent"))
+    error = F.when(~good, F.concat(rule["message"], F.to_json(field["raw"])))
+    return F.when(field.isNotNull(), F.struct(F.when(good, field["text"]).alias("value"),
+                                              error.alias("error")))
