@@ -3,6 +3,8 @@
 import pytest
 
 import __spark_entry__ as entry
+from gaugeframe.plans import catalog
+from oracles import ORACLES
 from oracle import compare, connect
 
 ROWS_ONLY: set[str] = set()
@@ -14,11 +16,16 @@ def con(sf_dir):
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == ROWS_ONLY
+    assert set(catalog.queries()) - set(ORACLES) == ROWS_ONLY
+    assert set(ORACLES) <= set(catalog.queries())
+
+
+def test_entry_lists_every_query():
+    assert set(catalog.queries()) <= set(entry.queries())
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query(spark, con, sf_dir, name):
     assert compare(entry.queries()[name](spark, sf_dir), con, entry.oracle_sql()[name]) == []
 
