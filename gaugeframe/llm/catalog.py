@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .secret_scan import op2_secret_scan
+from .warc import op6_warc
 
-QUERIES = [op2_secret_scan]
+QUERIES = [op2_secret_scan, op6_warc]
 ORACLES: dict[str, str] = {}
 
 
