@@ -7,9 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .secret_scan import op2_secret_scan
+from .language_id import op5_language_id
+from .quality import op3_quality
 from .warc import op6_warc
 
-QUERIES = [op2_secret_scan, op6_warc]
+QUERIES = [op2_secret_scan, op3_quality, op5_language_id, op6_warc]
 ORACLES: dict[str, str] = {}
 
 

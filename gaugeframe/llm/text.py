@@ -8,6 +8,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 BLOCK_BYTES = 4 << 20
 
@@ -58,3 +60,8 @@ def crc32_of(ids: pa.Array) -> np.ndarray:
     from zlib import crc32
     return np.fromiter((crc32(str(i).encode() if i is not None else b"") for i in ids.to_pylist()),
                        np.int64, len(ids))
+
+
+def with_fields(df: DataFrame, fields: str) -> T.StructType:
+    """The schema of ``df`` with more columns, given as a DDL text."""
+    return T.StructType([*df.schema.fields, *T.StructType.fromDDL(fields).fields])
