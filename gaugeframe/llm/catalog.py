@@ -6,14 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .decontaminate import OP1_SQL, op1_decontaminate
 from .language_id import op5_language_id
 from .mixing import OP10_SQL, op10_mix_sources
 from .quality import op3_quality
 from .secret_scan import op2_secret_scan
 from .warc import op6_warc
 
-QUERIES = [op2_secret_scan, op3_quality, op5_language_id, op6_warc, op10_mix_sources]
-ORACLES: dict[str, str] = {"op10_mix_sources": OP10_SQL}
+QUERIES = [op1_decontaminate, op2_secret_scan, op3_quality, op5_language_id, op6_warc, op10_mix_sources]
+ORACLES: dict[str, str] = {"op1_decontaminate": OP1_SQL, "op10_mix_sources": OP10_SQL}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
