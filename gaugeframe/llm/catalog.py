@@ -8,12 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .decontaminate import OP1_SQL, op1_decontaminate
 from .language_id import op5_language_id
+from .line_dedup import op8_line_dedup
 from .mixing import OP10_SQL, op10_mix_sources
 from .quality import op3_quality
 from .secret_scan import op2_secret_scan
 from .warc import op6_warc
 
-QUERIES = [op1_decontaminate, op2_secret_scan, op3_quality, op5_language_id, op6_warc, op10_mix_sources]
+QUERIES = [op1_decontaminate, op2_secret_scan, op3_quality, op5_language_id, op6_warc, op8_line_dedup,
+           op10_mix_sources]
 ORACLES: dict[str, str] = {"op1_decontaminate": OP1_SQL, "op10_mix_sources": OP10_SQL}
 
 
