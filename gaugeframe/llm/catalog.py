@@ -12,9 +12,10 @@ from .line_dedup import op8_line_dedup
 from .mixing import OP10_SQL, op10_mix_sources
 from .quality import op3_quality
 from .secret_scan import op2_secret_scan
+from .suffix_lm import op9_suffix_lm
 from .warc import op6_warc
 
-QUERIES = [op1_decontaminate, op2_secret_scan, op3_quality, op5_language_id, op6_warc, op8_line_dedup,
+QUERIES = [op1_decontaminate, op2_secret_scan, op3_quality, op5_language_id, op6_warc, op8_line_dedup, op9_suffix_lm,
            op10_mix_sources]
 ORACLES: dict[str, str] = {"op1_decontaminate": OP1_SQL, "op10_mix_sources": OP10_SQL}
 

@@ -14,9 +14,19 @@ from pyspark.sql import types as T
 BLOCK_BYTES = 4 << 20
 
 
+def rebased(texts: pa.Array) -> pa.Array:
+    """The same large strings without nulls, with offsets that begin at 0: Arrow's ASCII
+    transforms misread slices whose offsets begin elsewhere."""
+    at = np.frombuffer(texts.buffers()[1], np.int64, len(texts) + 1, texts.offset * 8)
+    if not len(texts) or at[0] == 0 and texts.offset == 0:
+        return texts
+    data = texts.buffers()[2].slice(int(at[0]), int(at[-1] - at[0])) if at[-1] > at[0] else pa.py_buffer(b"")
+    return pa.Array.from_buffers(texts.type, len(texts), [None, pa.py_buffer(at - at[0]), data])
+
+
 def text_column(batch: pa.RecordBatch, name: str) -> pa.Array:
     """The column as text without nulls (null reads as empty)."""
-    return pc.fill_null(batch.column(name).cast(pa.large_string()), "")
+    return rebased(pc.fill_null(batch.column(name).cast(pa.large_string()), ""))
 
 
 def blocks(batch: pa.RecordBatch, name: str, limit: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
@@ -36,7 +46,7 @@ def split_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
     Returns the code of every word, the offsets of each text's words (one more than texts),
     and the distinct words by code.
     """
-    parts = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+    parts = pc.ascii_split_whitespace(pc.ascii_lower(rebased(texts)))
     if isinstance(parts, pa.ChunkedArray):
         parts = parts.combine_chunks()
     words, offsets = parts.flatten(), parts.offsets.to_numpy().astype(np.int64)
