@@ -1,15 +1,93 @@
-"""A corpus pipeline of five stages: each reads what the one before it kept."""
+"""A corpus pipeline of five stages: each reads what the one before it kept.
+
+Stages get the columns of ``documents`` (doc_id, text, lang, source, n_chars; more pass through)
+and give them back; the last adds ``copy`` and ``mix_order``. Null texts, repeated rows and empty
+tables have the results that each operator's module states.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from gaugeframe.llm.decontaminate import contamination
+from gaugeframe.llm.language_id import fit_language_id, predict_language
+from gaugeframe.llm.line_dedup import dedup_lines
+from gaugeframe.llm.mixing import mix_sources
+from gaugeframe.llm.ngram_join import similar_components
+from gaugeframe.llm.shared import shared_path
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
-STAGES: list[tuple[str, Stage]] = []
+
+#: A document goes if this many of its words, or this share of them, lie in benchmark windows.
+HIT_WORDS, HIT_SHARE = 1, 0.0
+
+
+def same_row(docs: DataFrame, found: DataFrame) -> Column:
+    """Documents and what was found for them meet by id and a hash of the text."""
+    return docs["doc_id"].eqNullSafe(found["_id"]) & (F.xxhash64(docs["text"]) == found["_fp"])
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a language (null, or no letter) go; ``lang`` of the others becomes the
+    predicted one. Learned from the rows that have a language."""
+    net = fit_language_id(docs.filter(F.col("lang").isNotNull()))
+    named = predict_language(docs.withColumnRenamed("lang", "_given"), net)
+    kept = named.filter(F.col("lang_pred") != "und")
+    return kept.withColumn("lang", F.col("lang_pred")).select(*docs.columns)
+
+
+def dedup_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines that an earlier document or line already has go. A document of which no word is
+    left goes; ``n_chars`` follows the text."""
+    cleaned = dedup_lines(docs)
+    left = F.col("text").rlike("[^\\x20\\x09-\\x0D]") | (F.col("n_dropped") == 0)
+    return cleaned.filter(left).withColumn("n_chars", F.when(F.col("n_dropped") > 0, F.char_length("text").cast(
+        docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))).select(*docs.columns)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near duplicates the document with the smallest id stays, one row of it."""
+    found = similar_components(docs).select(F.col("id").alias("_id"), F.col("fp").alias("_fp"), "n_shingles",
+                                            "component_id")
+    first = (F.col("n_shingles") == 0) | F.col("_id").eqNullSafe(F.col("component_id"))
+    kept = found.filter(first).select("_id", "_fp").distinct()
+    return docs.join(kept, same_row(docs, kept), "left_semi").dropDuplicates(["doc_id"])
+
+
+def remove_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a window of a benchmark item go."""
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text")
+    hit = contamination(docs, items).filter(
+        (F.col("n_hit") >= HIT_WORDS) & (F.col("n_hit") >= HIT_SHARE * F.col("n_words")))
+    hit = hit.select(F.col("id").alias("_id"), F.col("fp").alias("_fp")).distinct()
+    return docs.join(hit, same_row(docs, hit), "left_anti")
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sources weighed by the square root of their size, copies in one random order."""
+    return mix_sources(docs)
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("language_id", identify_language),
+    ("line_dedup", dedup_repeated_lines),
+    ("ngram_jaccard", drop_near_duplicates),
+    ("decontaminate", remove_benchmarks),
+    ("mix_sources", mix),
+]
+
+# The language network can't be expressed in SQL.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over ``documents``, each result written and read again."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES[:-1]:
+        path = shared_path(spark, name)
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
+    return STAGES[-1][1](spark, docs, sf_dir)
