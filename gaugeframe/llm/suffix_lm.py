@@ -40,14 +40,10 @@ CHUNK_BYTES = 8 << 20
 BLOCK = 2 << 20
 
 
-def mask(k: int) -> int:
-    """The bits of a context of ``k`` bytes and its next symbol, the next symbol lowest."""
-    return (1 << 8 * (k + 1)) - 1
-
-
 def codes_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """For each symbol of each text (its bytes and the end): ``DEPTH`` bytes of context and the
-    symbol as one number; and how many symbols each text has."""
+    """For each symbol of each text (its bytes and the end): ``DEPTH`` bytes of context, the
+    latest highest, and the symbol, lowest, as one number; and how many symbols each text has.
+    In the order of these numbers, contexts that end alike stand together at every length."""
     raw = pc.ascii_lower(texts).cast(pa.large_binary())
     at = np.frombuffer(raw.buffers()[1], np.int64, len(raw) + 1, raw.offset * 8)
     sizes = np.diff(at)
@@ -64,7 +60,7 @@ def codes_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     wide = held.astype(np.uint64)
     code = wide.copy()
     for k in range(1, DEPTH + 1):
-        code[k:] |= wide[:-k] << np.uint64(8 * k)
+        code[k:] |= wide[:-k] << np.uint64(8 * (DEPTH + 1 - k))
     return code[~starts], sizes + 1
 
 
@@ -113,8 +109,8 @@ class SuffixTree:
         for k in range(DEPTH + 1):
             if not len(self.codes[k]) or not len(alive):
                 break
-            code = codes[alive] & np.uint64(mask(k))
-            context = code >> np.uint64(8)
+            context = codes[alive] >> np.uint64(8 * (DEPTH + 1 - k))
+            code = context << np.uint64(8) | codes[alive] & np.uint64(0xFF)
             at = np.minimum(np.searchsorted(self.contexts[k], context), len(self.contexts[k]) - 1)
             known = self.contexts[k][at] == context
             alive, at, code = alive[known], at[known], code[known]
@@ -143,8 +139,9 @@ def fit_suffix_tree(texts: DataFrame, p_min: float = P_MIN, gain: float = GAIN)
     deepest = texts.select("text").mapInArrow(_count, "code bigint, n bigint").groupBy("code").agg(
         F.sum("n").alias("n"))
     levels = {DEPTH: written(deepest, "contexts")}
+    # Without its earliest byte: the lowest of the context, above the symbol.
+    shorter = F.shiftleft(F.shiftrightunsigned("code", 16), 8).bitwiseOR(F.col("code").bitwiseAND(F.lit(0xFF)))
     for k in range(DEPTH - 1, -1, -1):
-        shorter = F.col("code").bitwiseAND(F.lit(mask(k)))
         levels[k] = written(levels[k + 1].groupBy(shorter.alias("code")).agg(F.sum("n").alias("n")), "contexts")
     symbols = levels[0].agg(F.sum("n")).first()[0] or 0
     least = max(1, math.ceil(p_min * symbols))
@@ -157,12 +154,11 @@ def fit_suffix_tree(texts: DataFrame, p_min: float = P_MIN, gain: float = GAIN)
     for k in range(DEPTH, 0, -1):
         mine = levels[k].withColumn("context", F.shiftrightunsigned("code", 8)).join(
             totals(levels[k]).filter(F.col("total") >= least), "context")
-        short = F.col("code").bitwiseAND(F.lit(mask(k - 1)))
         parent = levels[k - 1].select(F.col("code").alias("short"), F.col("n").alias("short_n"),
                                       F.shiftrightunsigned("code", 8).alias("short_context"))
         parent = parent.join(totals(levels[k - 1]).select(F.col("context").alias("short_context"),
                                                           F.col("total").alias("short_total")), "short_context")
-        both = mine.withColumn("short", short).join(parent, "short")
+        both = mine.withColumn("short", shorter).join(parent, "short")
         ratio = F.log(F.col("n") / F.col("total") / (F.col("short_n") / F.col("short_total")))
         tested = both.groupBy("context").agg(F.sum(F.col("n") * ratio).alias("gain")).filter(
             F.col("gain") >= gain).select("context")
@@ -170,7 +166,7 @@ def fit_suffix_tree(texts: DataFrame, p_min: float = P_MIN, gain: float = GAIN)
             tested = tested.union(below).distinct()
         retained = written(tested, "retained")
         kept[k] = mine.join(retained, "context", "left_semi").select("code", "n")
-        below = retained.select(F.col("context").bitwiseAND(F.lit((1 << 8 * (k - 1)) - 1)).alias("context")).distinct()
+        below = retained.select(F.shiftrightunsigned("context", 8).alias("context")).distinct()
     kept[0] = levels[0].select("code", "n")
     out = []
     for k in range(DEPTH + 1):
