@@ -31,10 +31,12 @@ from pyspark.sql.window import Window
 
 from .shared import written
 
-NEIGHBOURS = 20
-REVERSE = 12  # nodes that have a node as neighbour, of which so many join it in a round
-ORDERS = 6  # random orders that give first neighbours
-BLOCK_NODES = 256
+RESULTS = 20
+NEIGHBOURS = 32  # of a node in the graph
+REVERSE = 16  # nodes that have a node as neighbour, of which so many join it in a round
+ORDERS = 24  # random orders that give first neighbours
+BLOCK_NODES = 1024  # nodes of an order that are compared with each other
+FIRST = 12  # neighbours that one order gives
 ROUNDS = 6
 STOP = 0.02  # share of neighbours that change
 POOL = 64
@@ -116,8 +118,8 @@ def _lifted(nodes: DataFrame) -> DataFrame:
     return nodes.select("node", "vec").mapInArrow(lift, "node bigint, small binary")
 
 
-def _first_neighbours(small: DataFrame, size: int, k: int, seed: int) -> DataFrame:
-    """(node, other, sim) from exact search within blocks of one random order."""
+def _ordered(small: DataFrame, size: int) -> DataFrame:
+    """(turn, key, node, small): every node once in each random order, at its place there."""
     bits = max(1, min(60, int(np.ceil(np.log2(max(size / BLOCK_NODES, 1)))) + 3))
 
     def place(batches):
@@ -127,58 +129,92 @@ def _first_neighbours(small: DataFrame, size: int, k: int, seed: int) -> DataFra
             if not len(x):
                 continue
             if planes is None:
-                planes = np.random.default_rng(seed).normal(size=(x.shape[1], bits)).astype(np.float32)
-            signs = ((x @ planes) > 0).astype(np.int64)
-            key = np.zeros(len(x), np.int64)
-            flip = np.zeros(len(x), np.int64)
-            for b in range(bits):  # a Gray code, so that neighbouring cells differ in one sign
-                flip = flip ^ signs[:, b]
-                key = key << 1 | flip
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(key)], names=["node", "small", "key"])
-
-    placed = small.mapInArrow(place, "node bigint, small binary, key bigint")
-    parts = max(1, -(-size // (64 * BLOCK_NODES)))
-    placed = placed.repartitionByRange(parts, "key", "node").sortWithinPartitions("key", "node")
-
-    def meet(batches):
-        ids, held = np.zeros(0, np.int64), []
-
-        def best(ids, held):
-            x = np.frombuffer(b"".join(held), np.int8).reshape(len(held), -1).astype(np.float32)
-            sims = x @ x.T
-            np.fill_diagonal(sims, -np.inf)
-            n = min(k, len(ids) - 1)
-            if n < 1:
-                return None
-            top = np.argpartition(-sims, n - 1, axis=1)[:, :n]
-            return pa.RecordBatch.from_arrays(
-                [pa.array(np.repeat(ids, n)), pa.array(ids[top].reshape(-1)),
-                 pa.array(np.take_along_axis(sims, top, 1).reshape(-1).astype(np.float32))],
-                names=["node", "other", "sim"])
-
-        for batch in batches:
-            ids = np.r_[ids, batch.column("node").to_numpy()]
-            held = held + batch.column("small").to_pylist()
+                planes = np.random.default_rng(0).normal(size=(ORDERS, x.shape[1], bits)).astype(np.float32)
+            for turn in range(ORDERS):
+                signs = ((x @ planes[turn]) > 0).astype(np.int64)
+                key, flip = np.zeros(len(x), np.int64), np.zeros(len(x), np.int64)
+                for b in range(bits):  # a Gray code, so that neighbouring cells differ in one sign
+                    flip = flip ^ signs[:, b]
+                    key = key << 1 | flip
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(x), turn, np.int32)), pa.array(key), *batch.columns],
+                    names=["turn", "key", "node", "small"])
+
+    parts = max(1, -(-size * ORDERS // (32 * BLOCK_NODES)))
+    placed = small.mapInArrow(place, "turn int, key bigint, node bigint, small binary")
+    return placed.repartitionByRange(parts, "turn", "key", "node").sortWithinPartitions("turn", "key", "node")
+
+
+OFFER = "node bigint, others binary, sims binary, old boolean"
+
+
+def _offers(nodes, others, sims, old: bool) -> pa.RecordBatch:
+    """Packed neighbours that are offered to each node."""
+    return pa.RecordBatch.from_arrays(
+        [pa.array(nodes, pa.int64()), pa.array([o.astype(np.int64).tobytes() for o in others], pa.binary()),
+         pa.array([s.astype(np.float32).tobytes() for s in sims], pa.binary()),
+         pa.array(np.full(len(nodes), old))], names=["node", "others", "sims", "old"])
+
+
+def _meet_in_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The nearest of each node within its block of an order."""
+    def best(ids, held):
+        x = np.frombuffer(b"".join(held), np.int8).reshape(len(held), -1).astype(np.float32)
+        sims = x @ x.T
+        np.fill_diagonal(sims, -np.inf)
+        n = min(FIRST, len(ids) - 1)
+        top = np.argpartition(-sims, n - 1, axis=1)[:, :n]
+        return _offers(ids, ids[top], np.take_along_axis(sims, top, 1), False)
+
+    at, ids, held = None, np.zeros(0, np.int64), []
+    for batch in batches:
+        turns = batch.column("turn").to_numpy()
+        for turn in np.unique(turns):
+            if turn != at:
+                if len(ids) > 1:
+                    yield best(ids, held)
+                at, ids, held = turn, np.zeros(0, np.int64), []
+            a, b = np.searchsorted(turns, [turn, turn + 1])
+            ids = np.r_[ids, batch.column("node").to_numpy()[a:b]]
+            held = held + batch.column("small").slice(a, b - a).to_pylist()
             while len(ids) >= 2 * BLOCK_NODES:
                 yield best(ids[:BLOCK_NODES], held[:BLOCK_NODES])
                 ids, held = ids[BLOCK_NODES:], held[BLOCK_NODES:]
-        if len(ids) > 1:
-            yield best(ids, held)
+    if len(ids) > 1:
+        yield best(ids, held)
 
-    return placed.select("node", "small").mapInArrow(meet, "node bigint, other bigint, sim float")
 
+def _nearest(offers: DataFrame, k: int) -> DataFrame:
+    """(node, others, sims, new): the k nearest of all that is offered to a node, nearest first,
+    and whether each is new to it."""
+    listed = offers.groupBy("node").agg(F.collect_list(F.struct("others", "sims", "old")).alias("offers"))
 
-def _nearest(found: DataFrame, k: int) -> DataFrame:
-    """(node, near array<struct<sim, other>>) of the k nearest of (node, other, sim)."""
-    listed = found.groupBy("node").agg(F.collect_set(F.struct("sim", "other")).alias("near"))
-    return listed.select("node", F.slice(F.sort_array("near", asc=False), 1, k).alias("near"))
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = [[], [], []]
+            for offers in batch.column("offers"):
+                offers = sorted(offers.as_py(), key=lambda o: not o["old"])
+                others = np.frombuffer(b"".join(o["others"] for o in offers), np.int64)
+                sims = np.frombuffer(b"".join(o["sims"] for o in offers), np.float32)
+                known = sum(len(o["others"]) // 8 for o in offers if o["old"])
+                other, first = np.unique(others, return_index=True)
+                top = np.lexsort((other, -sims[first]))[:k]
+                out[0].append(other[top])
+                out[1].append(sims[first][top])
+                out[2].append(first[top] >= known)
+            kinds = (pa.list_(pa.int64()), pa.list_(pa.float32()), pa.list_(pa.bool_()))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("node"), *[pa.array(o, t) for o, t in zip(out, kinds)]],
+                names=["node", "others", "sims", "new"])
 
+    return listed.mapInArrow(merge, "node bigint, others array<bigint>, sims array<float>, new array<boolean>")
 
-def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Nodes that meet propose each other where that improves on the worst known neighbour and
-    one of the two is new there."""
+
+def _meet_at_host(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Nodes that meet offer themselves to each other where that improves on the worst known
+    neighbour and one of the two is new there."""
     for batch in batches:
-        out = [[], [], []]
+        nodes, others, sims_of = [], [], []
         for guests in batch.column("guests"):
             guests = guests.as_py()
             ids = np.array([g["node"] for g in guests])
@@ -187,18 +223,21 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             new = np.array([g["new"] for g in guests])
             sims = x @ x.T
             good = (sims > worst[:, None]) & (new[:, None] | new[None, :]) & (ids[:, None] != ids[None, :])
-            a, b = np.nonzero(good)
-            out[0].append(ids[a])
-            out[1].append(ids[b])
-            out[2].append(sims[a, b])
-        if out[0]:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(out[0])), pa.array(np.concatenate(out[1])),
-                 pa.array(np.concatenate(out[2]).astype(np.float32))], names=["node", "other", "sim"])
+            for i in np.flatnonzero(good.any(1)):
+                nodes.append(ids[i])
+                others.append(ids[good[i]])
+                sims_of.append(sims[i, good[i]])
+        yield _offers(nodes, others, sims_of, False)
+
+
+def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        lists = [[np.array(x) for x in batch.column(c).to_pylist()] for c in ("others", "sims")]
+        yield _offers(batch.column("node").to_pylist(), *lists, True)
 
 
 def build_index(table: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding",
-                k: int = NEIGHBOURS, members: int = NEIGHBOURS + 1) -> Index:
+                k: int = NEIGHBOURS, members: int = RESULTS + 1) -> Index:
     """An index of every row; equal vectors keep their ``members`` smallest ids."""
     rows = packed_vectors(table, id_col, vec_col).distinct()
     rank = Window.partitionBy("vec").orderBy("id")
@@ -207,38 +246,31 @@ def build_index(table: DataFrame, id_col: str = "vec_id", vec_col: str = "embedd
     nodes = written(nodes.select(F.col("members")[0].alias("node"), "vec", "members"), "nodes")
     size = nodes.count()
     small = written(_lifted(nodes), "small-vectors")
-    found = None
-    for seed in range(ORDERS):
-        part = _first_neighbours(small, size, k, seed)
-        found = part if found is None else found.unionByName(part)
-    graph = written(_nearest(found, k).withColumn("new", F.transform("near", lambda _: F.lit(True))), "graph")
+    graph = written(_nearest(_ordered(small, size).mapInArrow(_meet_in_blocks, OFFER), k), "graph")
     for _ in range(ROUNDS):
-        edges = graph.select("node", F.inline(F.arrays_zip(F.col("near.other").alias("other"),
-                                                           F.col("new").alias("new"))))
+        edges = graph.select("node", F.inline(F.arrays_zip("others", "new"))).withColumnRenamed("others", "other")
         # A node goes to its neighbours, and some of those that have it come to it.
         turn = Window.partitionBy("host").orderBy(F.desc("new"), F.xxhash64("host", "node"))
         back = edges.select(F.col("other").alias("host"), "node", "new")
         back = back.withColumn("r", F.row_number().over(turn)).filter(F.col("r") <= REVERSE).drop("r")
         visits = edges.select(F.col("node").alias("host"), F.col("other").alias("node"), "new").unionByName(back)
         visits = visits.groupBy("host", "node").agg(F.max("new").alias("new"))
-        worst = graph.select("node", F.when(F.size("near") < k, F.lit(float("-inf"))).otherwise(
-            F.array_min("near.sim")).cast("float").alias("worst")).join(small, "node")
+        worst = graph.select("node", F.when(F.size("sims") < k, F.lit(float("-inf"))).otherwise(
+            F.array_min("sims")).cast("float").alias("worst")).join(small, "node")
         guests = visits.join(worst, "node").groupBy("host").agg(
             F.collect_list(F.struct("node", "small", "worst", "new")).alias("guests"))
-        proposed = guests.select("guests").mapInArrow(_meet, "node bigint, other bigint, sim float")
-        known = graph.select("node", F.inline("near")).select("node", "other", "sim")
-        near = _nearest(proposed.unionByName(known), k)
-        then = near.join(graph.select("node", F.col("near.other").alias("old")), "node").select(
-            "node", "near", F.transform("near", lambda x: ~F.array_contains("old", x["other"])).alias("new"))
-        graph = written(then, "graph")
+        offers = guests.select("guests").mapInArrow(_meet_at_host, OFFER).unionByName(
+            graph.select("node", "others", "sims").mapInArrow(_pack, OFFER))
+        graph = written(_nearest(offers, k), "graph")
         changed = graph.agg(F.sum(F.size(F.filter("new", lambda x: x)))).first()[0] or 0
         if changed <= STOP * size * k:
             break
     # The search graph has the edges both ways, of the reverse ones the nearest k.
-    edges = graph.select("node", F.inline("near"))
-    turn = Window.partitionBy("other").orderBy(F.desc("sim"), "node")
+    edges = graph.select("node", F.inline(F.arrays_zip("others", "sims"))).withColumnRenamed("others", "other")
+    turn = Window.partitionBy("other").orderBy(F.desc("sims"), "node")
     back = edges.withColumn("r", F.row_number().over(turn)).filter(F.col("r") <= k)
-    both = edges.select("node", "other").unionByName(back.select(F.col("other").alias("node"), F.col("node").alias("other")))
+    both = edges.select("node", "other").unionByName(
+        back.select(F.col("other").alias("node"), F.col("node").alias("other")))
     return Index(nodes, written(both.groupBy("node").agg(F.collect_set("other").alias("near")), "graph"), size)
 
 
@@ -280,7 +312,7 @@ def search(index: Index, queries: DataFrame, pool: int = POOL) -> DataFrame:
 
 
 def nearest(table: DataFrame, is_query, id_col: str = "vec_id", vec_col: str = "embedding",
-            count: int = NEIGHBOURS) -> DataFrame:
+            count: int = RESULTS) -> DataFrame:
     """The ``count`` nearest other rows of each row for which ``is_query``: (query_id, rank,
     vec_id, score), nearest first, ties to the smaller id."""
     index = build_index(table, id_col, vec_col, members=count + 1)
