@@ -46,8 +46,8 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 class LineHashes:
     """Hashes of word ranges of lines, from sums of word hash times a power of ``BASE``."""
 
-    def __init__(self, lines: pa.Array, seed: int = 0):
-        codes, self.offsets, vocabulary = split_words(lines)
+    def __init__(self, words: tuple[np.ndarray, np.ndarray, pa.Array], seed: int = 0):
+        codes, self.offsets, vocabulary = words
         hashes = hash_words(vocabulary, seed)[codes] if len(codes) else np.zeros(0, np.uint64)
         n = len(codes)
         self.down = np.cumprod(np.r_[np.uint64(1), np.full(n, INVERSE, np.uint64)], dtype=np.uint64)
@@ -96,8 +96,8 @@ def _hash_lines(min_words: int):
         for batch in batches:
             for block in blocks(batch, "text", BLOCK):
                 owner, number, lines = _lines(block)
-                hashes = LineHashes(lines)
-                again = LineHashes(lines, seed=1)
+                words = split_words(lines)
+                hashes, again = LineHashes(words), LineHashes(words, seed=1)
                 kept = np.flatnonzero(hashes.words > 0)
                 full = [h.of(h.offsets[:-1], h.offsets[1:])[kept] for h in (hashes, again)]
                 long = hashes.words[kept] >= min_words
@@ -125,7 +125,7 @@ def _emit_variants(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             chosen = np.sort(first[rows] + pairs)
             owner, number = owner[chosen], number[chosen]
             texts = lines.take(pa.array(chosen))
-            hashes = LineHashes(texts)
+            hashes = LineHashes(split_words(texts))
             line, place, key = hashes.without_each()
             line = np.r_[np.arange(len(chosen)), line]
             place = np.r_[np.full(len(chosen), -1), place]
