@@ -68,16 +68,17 @@ class LineHashes:
         return line, at - begin, _mixed(left * self.down[begin] + (self.words[line] - 1).astype(np.uint64))
 
     def halves(self) -> list[np.ndarray]:
-        """Six keys a line: its first and second half as a line of n words among lines of n, as
-        the longer of n and n - 1, and as the shorter of n + 1 and n."""
+        """Four keys a line: its first and last words as one of a pair whose longer line has as
+        many words as it has, and as one of a pair whose longer line has one more.
+
+        Of n words in the longer line, the first m = (n - 1) // 2 are the same in both lines if
+        the edit is at place m or later, else the last n - 1 - m are."""
         begin, end, n = self.offsets[:-1], self.offsets[1:], self.words
         keys = []
-        # A pair of n and m <= n words shares its first n // 2 words, or the rest is the same
-        # but for the first n // 2 of the longer line.
-        for longest, kind in ((n, 0), (n, 1), (n + 1, 1)):
-            half = np.minimum(np.where(kind == 1, (longest - 1) // 2, longest // 2), n)
-            tail = np.minimum(longest - half - kind, n)
-            salt = (longest.astype(np.uint64) * np.uint64(4) + np.uint64(2 * kind))
+        for longest in (n, n + 1):
+            half = np.minimum((longest - 1) // 2, n)
+            tail = np.clip(longest - 1 - half, 0, n)
+            salt = longest.astype(np.uint64) * np.uint64(2)
             for part, key in ((0, self.of(begin, begin + half)), (1, self.of(end - tail, end))):
                 keys.append(_mixed(key.view(np.uint64) + _mixed(salt + np.uint64(part)).view(np.uint64)))
         return keys
@@ -103,7 +104,7 @@ def _hash_lines(min_words: int):
                 long = hashes.words[kept] >= min_words
                 halves = np.stack(hashes.halves(), 1)[kept]
                 keys = pa.ListArray.from_arrays(
-                    pa.array(np.r_[0, np.cumsum(6 * long)].astype(np.int32)), pa.array(halves[long].reshape(-1)))
+                    pa.array(np.r_[0, np.cumsum(4 * long)].astype(np.int32)), pa.array(halves[long].reshape(-1)))
                 yield pa.RecordBatch.from_arrays(
                     [block.column("id").take(pa.array(owner[kept])),
                      block.column("fp").take(pa.array(owner[kept])),
@@ -175,7 +176,7 @@ def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     exact = copies.filter(F.struct(*POS) > F.col("first")).select(*POS)
 
     # Of the others, those that share half of their words with another line.
-    half = lines.filter(F.size("halves") > 0).select("f", F.explode("halves").alias("half")).distinct()
+    half = lines.filter(F.size("halves") > 0).select("f", F.explode("halves").alias("half"))
     shared = half.groupBy("half").agg(F.min("f").alias("low"), F.max("f").alias("high")).filter("low < high")
     partnered = half.join(shared, "half", "left_semi").select("f").distinct()
     wanted = firsts.join(partnered, "f", "left_semi").select("first.*")
