@@ -34,6 +34,7 @@ MIN_WORDS = 8
 BASE = np.uint64(0x9E3779B97F4A7C15)  # odd, so it has an inverse modulo 2^64
 INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
 BLOCK = 1 << 20
+BROADCAST_LINES = 1_000_000
 POS = ["id", "fp", "line_no"]
 
 
@@ -159,6 +160,11 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select(POS).filter(good)
 
 
+def _sized(df: DataFrame, lines: int) -> DataFrame:
+    """Broadcast while it lists few lines; beyond that, the documents are shuffled to it."""
+    return F.broadcast(df) if lines <= BROADCAST_LINES else df
+
+
 def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     min_words: int = MIN_WORDS) -> DataFrame:
     """(id, fp, line_no) of the lines to drop; ``fp`` is a hash of the text, lines count from 0."""
@@ -181,7 +187,8 @@ def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     partnered = half.join(shared, "half", "left_semi").select("f").distinct()
     wanted = firsts.join(partnered, "f", "left_semi").select("first.*")
     per_doc = wanted.groupBy("id", "fp").agg(F.sort_array(F.collect_set("line_no")).alias("wanted"))
-    per_doc = per_doc.select(F.col("id").alias("_id"), F.col("fp").alias("_fp"), "wanted")
+    per_doc = written(per_doc.select(F.col("id").alias("_id"), F.col("fp").alias("_fp"), "wanted"), "wanted-lines")
+    per_doc = _sized(per_doc, per_doc.agg(F.sum(F.size("wanted"))).first()[0] or 0)
     texts = rows.join(per_doc, F.col("id").eqNullSafe(F.col("_id")) & (F.col("fp") == F.col("_fp")))
     texts = texts.select("id", "fp", "text", "wanted")
 
