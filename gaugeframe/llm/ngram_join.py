@@ -173,7 +173,8 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     order = docs.sparkSession.sparkContext.broadcast(counts)  # of fixed size
 
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """(shingle, salt, node, n, i) of each different set of the task."""
+        """(shingle, salt, node, place) of each different set of the task; ``place`` packs the
+        size of the set and where in it the shingle stands."""
         often, met = order.value, set()
         for batch in batches:
             for block in blocks(batch, "text", BLOCK):
@@ -187,20 +188,24 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                     first = np.argsort(count, kind="stable")[:n - -(-PERCENT * n // 100) + 1]
                     split = count[first] // SPLIT_ROWS + 1
                     parts.append((held[first].view(np.int64), (node & 0x7FFFFFFF) % split,
-                                  np.full(len(first), node), np.full(len(first), n), np.arange(len(first))))
+                                  np.full(len(first), node), (n << 32) + np.arange(len(first))))
                 if parts:
                     columns = [np.concatenate(c) for c in zip(*parts)]
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(columns[0]), pa.array(columns[1].astype(np.int32)), pa.array(columns[2]),
-                         pa.array(columns[3].astype(np.int32)), pa.array(columns[4].astype(np.int32))],
-                        names=["shingle", "salt", "node", "n", "i"])
+                         pa.array(columns[3])], names=["shingle", "salt", "node", "place"])
 
-    # One exchange serves both sides. A frequent shingle is dealt over several groups and always kept.
-    token = rows.select("text").mapInArrow(prefixes, "shingle bigint, salt int, node bigint, n int, i int")
+    # One exchange serves both sides, as both read the same columns. A frequent shingle is dealt
+    # over several groups and always kept.
+    token = rows.select("text").mapInArrow(prefixes, "shingle bigint, salt int, node bigint, place bigint")
     token = token.repartition("shingle", "salt")
-    met = token.groupBy("shingle", "salt").agg(F.min("node").alias("low"), F.max("node").alias("high"))
-    met = met.filter("low < high OR salt > 0").select("shingle", "salt")
-    shared = written(token.join(met, ["shingle", "salt"]).select("shingle", "node", "n", "i").distinct(), "shared")
+    met = token.groupBy("shingle", "salt").agg(
+        F.min("node").alias("low"), F.max("node").alias("high"), F.max("place").alias("place"))
+    met = met.filter("(low < high OR salt > 0) AND place >= 0").select("shingle", "salt")
+    shared = token.join(met, ["shingle", "salt"]).select(
+        "shingle", "node", F.shiftright("place", 32).cast("int").alias("n"),
+        F.col("place").bitwiseAND(F.lit(0xFFFFFFFF)).cast("int").alias("i"))
+    shared = written(shared.distinct(), "shared")
 
     # The sets of the classes that share something, cut into fragments of the global order.
     cuts = _cuts(counts)
