@@ -42,6 +42,7 @@ SLICES = 64  # pieces in which bucket counts are summed
 FRAGMENTS = 4
 SPLIT_ROWS = 200_000  # a shingle that occurs more often is dealt out over several groups
 STAR_ROUNDS = 2
+BROADCAST_CLASSES = 1_000_000
 BASE = np.uint64(0x9E3779B97F4A7C15)
 BLOCK = 2 << 20
 
@@ -225,7 +226,9 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     one = sets.filter("n > 0").groupBy("node").agg(F.min(F.struct("id", "fp")).alias("of"))
     one = one.join(shared.select("node").distinct(), "node", "left_semi")
-    one = one.select("node", F.col("of.id").alias("_id"), F.col("of.fp").alias("_fp")).distinct()
+    one = written(one.select("node", F.col("of.id").alias("_id"), F.col("of.fp").alias("_fp")), "classes")
+    if one.count() <= BROADCAST_CLASSES:  # else the documents are shuffled to them
+        one = F.broadcast(one)
     chosen = rows.join(one, F.col("id").eqNullSafe(F.col("_id")) & (F.col("fp") == F.col("_fp")))
     segments = written(chosen.select("node", "text").mapInArrow(
         cut, "node bigint, fragment int, held binary").dropDuplicates(["node", "fragment"]), "segments")
