@@ -18,9 +18,20 @@ VERDICT_NONE = "sólo se ejecutó un pipeline: sin comparación disponible"
 
 # What makes a failure worth a retry.
 RETRY_MESSAGES = ["HTTP 5", "HTTP 429", "timeout", "Connection refused"]
-RETRY_CLASSES = ["TimeoutException", "SocketTimeoutException", "ConnectException", "IOException",
-                 "SocketException", "EOFException", "FileNotFoundException"]
 FINAL_CLASSES = ["NonRetryable", "UnknownHostException"]
+RETRY_CLASSES = ["TimeoutException"]
+# The I/O exceptions of java.io, java.net, java.nio.channels and javax.net.ssl whose
+# names do not say so. A name that ends in IOException is one as well.
+IO_CLASSES = ["SocketTimeoutException", "ConnectException", "SocketException", "BindException",
+              "NoRouteToHostException", "PortUnreachableException", "EOFException",
+              "FileNotFoundException", "MalformedURLException", "ProtocolException",
+              "UnknownServiceException", "HttpRetryException", "CharConversionException",
+              "UTFDataFormatException", "UnsupportedEncodingException", "SyncFailedException",
+              "ObjectStreamException", "InvalidClassException", "InvalidObjectException",
+              "NotSerializableException", "StreamCorruptedException", "ClosedChannelException",
+              "AsynchronousCloseException", "ClosedByInterruptException", "FileLockInterruptionException",
+              "InterruptedByTimeoutException", "SSLException", "SSLHandshakeException", "SSLKeyException",
+              "SSLPeerUnverifiedException", "SSLProtocolException"]
 
 # Launcher states by family.
 STATES_OK = ["SUCCESS", "COMPLETED"]
@@ -49,15 +60,18 @@ def run_family(state: Column | str) -> Column:
              .otherwise(F.lit("pending")))
 
 
-def failure_retryable(error_class: Column | str, message: Column | str) -> Column:
-    """Transient failures only. A known class decides; any other error goes by its message."""
+def failure_retryable(error_class: Column | str, message: Column | str,
+                      io_classes: list[str] = IO_CLASSES) -> Column:
+    """Transient failures only. Any I/O exception may be retried, an ``Error`` never; other
+    exceptions go by their message."""
     name = F.coalesce(F.element_at(F.split(_col(error_class), r"\."), -1), F.lit(""))
     text = F.coalesce(_col(message), F.lit(""))
     by_message = F.lit(False)
     for part in RETRY_MESSAGES:
         by_message = by_message | text.contains(part)
     return (F.when(name.isin(FINAL_CLASSES), F.lit(False))
-             .when(name.isin(RETRY_CLASSES), F.lit(True))
+             .when(name.isin(RETRY_CLASSES + io_classes) | name.endswith("IOException"), F.lit(True))
+             .when(name.endswith("Error"), F.lit(False))
              .otherwise(by_message))
 
 

@@ -29,8 +29,8 @@ def equivalent(a: DataFrame, b: DataFrame, tol: float = EQUIVALENCE_TOLERANCE,
     totals = left.select("l", right.scalar().alias("r")).select(F.inline(F.array(*[
         _problem(name, F.lit(None).cast("int"), F.col(f"l.{name}") != F.col(f"r.{name}"),
                  F.col(f"l.{name}"), F.col(f"r.{name}")) for name in ("groups", "anomalies")])))
-    other = F.col("l.sensor_id") != F.col("r.sensor_id")
-    far = F.abs(F.col("l.anomaly_ratio") - F.col("r.anomaly_ratio")) > tol
+    other = ~F.col("l.sensor_id").eqNullSafe(F.col("r.sensor_id"))
+    far = _apart(F.col("l.anomaly_ratio"), F.col("r.anomaly_ratio"), tol)
     pairs = _ranked(a, k, "l").join(_ranked(b, k, "r"), "position").select(F.inline(F.array(
         _problem("top_sensor", F.col("position"), other, F.col("l.sensor_id"),
                  F.col("r.sensor_id")),
@@ -90,6 +90,9 @@ def _apart(left: Column, right: Column, tol: float) -> Column:
 
 def max_rel_error(df: DataFrame, ref: str, got: str,
                   floor: float = RELATIVE_ERROR_FLOOR) -> DataFrame:
-    """Largest ``|ref - got| / max(floor, |ref|)`` over the table."""
+    """Largest ``|ref - got| / max(floor, |ref|)`` over the table, the ``compared`` rows that
+    have both values, and the ``one_sided`` rows that have only one."""
     error = F.abs(F.col(ref) - F.col(got)) / F.greatest(F.lit(floor), F.abs(F.col(ref)))
-    return df.agg(F.max(error).alias("max_rel_error"))
+    has_ref, has_got = F.col(ref).isNotNull(), F.col(got).isNotNull()
+    return df.agg(F.max(error).alias("max_rel_error"), F.count_if(has_ref & has_got).alias("compared"),
+                  F.count_if(has_ref != has_got).alias("one_sided"))

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.status import failure_retryable, is_terminal, stage_name
-from ..schema import RECENT_JOBS, RETENTION_DAYS, STAGES
+from ..functions.status import failure_retryable, is_terminal
+from ..plans.skew import key_alias, rename_keys, same_key
+from ..schema import RECENT_JOBS, RETENTION_DAYS
 
 # The stage a job is in after each event. A retry leaves it where it was.
 STAGE_AFTER = {
@@ -32,20 +33,12 @@ def _last(value: str, *event_types: str, where: str = "true") -> str:
     return f"max_by({value}, struct(at, seq)) FILTER (WHERE {_of(*event_types)} AND {where})"
 
 
-def _attempts() -> str:
-    """Last recorded attempt per stage, as a map of at most one entry per stage of the domain."""
-    known = ", ".join(repr(s) for s in STAGES)
-    checked = f"CASE WHEN stage IN ({known}) THEN stage ELSE 'failed' END"
-    last_of = [_last("attempt", RETRY_EVENT, where=f"{checked} = '{s}'") for s in STAGES]
-    entries = ", ".join(f"struct('{s}', {last})" for s, last in zip(STAGES, last_of))
-    return f"map_from_entries(filter(array({entries}), e -> e.col2 IS NOT NULL))"
-
-
 def fold_jobs(events: DataFrame, now: Column | None = None) -> DataFrame:
     """Current state per job of ``job_id, seq, at, event_type, stage, attempt, reason, payload``.
 
-    One aggregation of last-write-wins values: every job keeps a fixed number of them, so a
-    job with very many events is combined before the shuffle. ``now`` adds ``elapsed_s``.
+    Last-write-wins values: every job keeps a fixed number of them, so a job with very many
+    events is combined before the shuffle. ``attempts`` maps each retried stage, by the name in
+    the event, to its last recorded attempt. ``now`` adds ``elapsed_s``.
     """
     after = " ".join(f"WHEN '{event}' THEN '{stage}'" for event, stage in STAGE_AFTER.items())
     error = f"CASE event_type WHEN 'job_failed' THEN {FAILED_TEXT} ELSE {RETRY_TEXT} END"
@@ -53,14 +46,18 @@ def fold_jobs(events: DataFrame, now: Column | None = None) -> DataFrame:
         "stage": f"coalesce({_last(f'CASE event_type {after} END', *STAGE_AFTER)}, 'received')",
         "created_at": f"coalesce({_last('at', 'job_accepted')}, min(at))",
         "updated_at": "max(at)",
-        "attempts": _attempts(),
         "request": _last("payload", "job_accepted", "input_validated"),
         "gpu": _last("payload", "gpu_completed"),
         "runs": _last("payload", "spark_completed"),
         "analysis": _last("payload", "analysis_completed"),
         "error": _last(error, "job_failed", RETRY_EVENT),
     }.items()])
-    state = state.withColumn("is_terminal", is_terminal("stage"))
+    attempts = rename_keys(job_attempts(events).groupBy("job_id").agg(
+        F.map_from_entries(F.collect_list(F.struct(F.coalesce("stage", F.lit("")), "attempts"))).alias("attempts")),
+        ["job_id"])
+    state = state.join(attempts, same_key(["job_id"]), "left").drop(key_alias("job_id")).withColumns({
+        "attempts": F.coalesce("attempts", F.create_map().cast("map<string,int>")),
+        "is_terminal": is_terminal("stage")})
     if now is not None:
         state = state.withColumn("elapsed_s", elapsed_seconds(F.col("created_at"), now))
     return state
@@ -76,8 +73,9 @@ def elapsed_seconds(since: Column, now: Column) -> Column:
 
 
 def job_attempts(events: DataFrame) -> DataFrame:
-    """``job_id, stage, attempts``: the last recorded attempt of each retried stage."""
-    return (events.filter(F.col("event_type") == RETRY_EVENT).groupBy("job_id", stage_name("stage").alias("stage"))
+    """``job_id, stage, attempts``: the last recorded attempt of each retried stage, by the name
+    in the event: names outside the domain stay apart."""
+    return (events.filter(F.col("event_type") == RETRY_EVENT).groupBy("job_id", "stage")
             .agg(F.max_by("attempt", F.struct("at", "seq")).alias("attempts")))
 
 

@@ -1,98 +1,56 @@
-"""Exact middle values per key, safe for keys of any size."""
+"""Exact middle values per key, whatever the size of a key and the range of its values."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import clean_number
-from ..plans.skew import heaviest_keys, key_alias, rename_keys, same_key_sql, without_keys
+from ..plans.skew import HOT_KEYS, attach_by_key
 
-HOT_ROWS = 1_000_000
-# Fewer than for a join: each hot key costs up to 2 * BUCKETS counters in a map task.
-HOT_KEYS = 5_000
-BUCKETS = 4096
+# A sketch of this accuracy misses a rank by at most one in ACCURACY rows of its key.
+ACCURACY = 10_000
 
 
-def middle_values(df: DataFrame, keys: list[str], value: str, hot_rows: int = HOT_ROWS,
-                  hot_keys: int = HOT_KEYS, rounds: int = 2, buckets: int = BUCKETS) -> DataFrame:
+def middle_values(df: DataFrame, keys: list[str], value: str, hot_keys: int = HOT_KEYS,
+                  accuracy: int = ACCURACY) -> DataFrame:
     """``keys, lower_middle, upper_middle``: the elements at ranks (n-1)//2 and n//2.
 
-    Their mean is the usual median, the second alone the upper one. Keys of ordinary size are
-    ranked by a window, which sorts and spills to disk. The at most ``hot_keys`` heaviest keys,
-    if of ``hot_rows`` rows or more, are never brought together: counting narrows each to the
-    value range that holds the wanted rank.
+    Their mean is the usual median, the second alone the upper one. A quantile sketch per key,
+    mergeable on the map side, brackets the wanted ranks. A second pass counts what lies below
+    the bracket and each distinct value inside it: about six in ``accuracy`` of a key's rows,
+    whatever the distribution.
     """
     if not keys:
         raise ValueError("middle_values needs at least one key")
-    rows = (df.select(*keys, clean_number(value).alias("__v")).filter("__v IS NOT NULL"))
-    sizes = rows.groupBy(*keys).agg(F.expr("count(1) AS __n"), F.expr("min(__v) AS __lo"),
-                                    F.expr("max(__v) AS __hi"))
-    hot = heaviest_keys(sizes, keys, "__n", hot_keys, hot_rows)
-    return (_by_window(without_keys(rows, hot, keys), keys)
-            .unionByName(_by_narrowing(rows, hot, keys, rounds, buckets)))
-
-
-def _middle(found: DataFrame, keys: list[str]) -> DataFrame:
-    return found.groupBy(*keys).agg(F.expr("min(__v) AS lower_middle"),
-                                    F.expr("max(__v) AS upper_middle"))
-
-
-def _by_window(rows: DataFrame, keys: list[str]) -> DataFrame:
-    window = f"PARTITION BY {_names(keys)} ORDER BY __v"
-    ranked = rows.selectExpr(
-        "*", f"row_number() OVER ({window}) - 1 AS __rank",
-        f"count(1) OVER ({window} ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS __n")
-    return _middle(ranked.filter("__rank IN (shiftright(__n - 1, 1), shiftright(__n, 1))"), keys)
-
-
-def _by_narrowing(rows: DataFrame, hot: DataFrame, keys: list[str], rounds: int,
-                  buckets: int) -> DataFrame:
-    own = [key_alias(k) for k in keys]
-    # One row per (key, wanted rank): where that rank can lie, and how many values lie below.
-    bracket = rename_keys(hot, keys).selectExpr(
-        *_quoted(own), "__lo", "__hi", "0L AS __below",
-        "explode(array_distinct(array(shiftright(__n - 1, 1), shiftright(__n, 1)))) AS __rank")
-    for _ in range(rounds):
-        counted = (_inside(rows, bracket, keys)
-                   .selectExpr(*_quoted(own), "__rank", "__below", "__v",
-                               f"{_bucket_sql(buckets)} AS __bucket")
-                   .groupBy(*own, "__rank", "__below", "__bucket")
-                   .agg(F.expr("count(1) AS __c"), F.expr("min(__v) AS __lo"),
-                        F.expr("max(__v) AS __hi")))
-        bracket = _holding_rank(counted, own, "__bucket")
-    distinct = (_inside(rows, bracket, keys).groupBy(*own, "__rank", "__below", "__v")
-                .agg(F.expr("count(1) AS __c")))
-    middle = _middle(_holding_rank(distinct, own, "__v"), own)
-    return middle.selectExpr(*[f"`{o}` AS `{k}`" for o, k in zip(own, keys)],
-                             "lower_middle", "upper_middle")
-
-
-def _quoted(columns: list[str]) -> list[str]:
-    return [f"`{c}`" for c in columns]
-
-
-def _names(columns: list[str]) -> str:
-    return ", ".join(_quoted(columns))
-
-
-def _inside(rows: DataFrame, bracket: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows within their key's bracket; at most two brackets for each of the bounded hot keys."""
-    return rows.join(F.broadcast(bracket),
-                     F.expr(f"{same_key_sql(keys)} AND __v BETWEEN __lo AND __hi"))
-
-
-def _bucket_sql(buckets: int) -> str:
-    """Non-decreasing in the value; one bucket for all where the width is 0 or not finite."""
-    share = "nanvl(coalesce(try_divide(__v - __lo, __hi - __lo), 0.0D), 1.0D)"
-    return f"CAST(least(floor({share} * {buckets}), {buckets - 1}) AS INT)"
-
-
-def _holding_rank(counted: DataFrame, own: list[str], order: str) -> DataFrame:
-    """The one row per (key, rank) whose values cover the rank, with the count below it."""
-    window = f"PARTITION BY {_names(own)}, __rank ORDER BY {order}"
-    kept = [c for c in counted.columns if c not in ("__below", "__c", "__bucket")]
-    return (counted
-            .selectExpr("*", f"__below + sum(__c) OVER ({window} ROWS UNBOUNDED PRECEDING) AS __upto")
-            .filter("__upto - __c <= __rank AND __rank < __upto")
-            .selectExpr(*_quoted(kept), "__upto - __c AS __below"))
+    rows = df.select(*keys, clean_number(value).alias("__v")).filter("__v IS NOT NULL")
+    counted = count_inside(attach_by_key(rows, bracket_values(rows, keys, accuracy), keys, "__n", hot_keys), keys)
+    names = ", ".join(f"`{k}`" for k in keys)
+    ranked = counted.selectExpr(
+        "*", f"sum(__c) OVER (PARTITION BY {names} ORDER BY __v NULLS FIRST ROWS UNBOUNDED PRECEDING) AS __upto")
+
+    def at(rank: str) -> Column:
+        # The sketch's bound makes a miss impossible; a wrong value would be worse than an error.
+        below = F.expr("coalesce(max(CASE WHEN __v IS NULL THEN __upto END), 0)")
+        found = F.expr(f"min(CASE WHEN __v IS NOT NULL AND __upto > {rank} THEN __v END)")
+        wrong = (below > F.expr(f"first({rank})")) | found.isNull()
+        return F.when(wrong, F.raise_error(F.lit("a middle rank lies outside its bracket"))).otherwise(found)
+
+    return ranked.groupBy(*keys).agg(at("shiftright(__n - 1, 1)").alias("lower_middle"),
+                                     at("shiftright(__n, 1)").alias("upper_middle"))
+
+
+def bracket_values(rows: DataFrame, keys: list[str], accuracy: int = ACCURACY) -> DataFrame:
+    """``keys, __n, __lo, __hi``: per key, its rows and a sketch's answers on either side of the
+    middle, further away than they can be wrong."""
+    side = 3.0 / accuracy
+    sketch = f"percentile_approx(__v, array({0.5 - side}D, {0.5 + side}D), {accuracy})"
+    found = rows.groupBy(*keys).agg(F.expr("count(1) AS __n"), F.expr(f"{sketch} AS __q"))
+    return found.select(*keys, "__n", F.col("__q")[0].alias("__lo"), F.col("__q")[1].alias("__hi"))
+
+
+def count_inside(attached: DataFrame, keys: list[str]) -> DataFrame:
+    """``keys, __n, __v, __c``: rows at each distinct value inside the bracket, and those below
+    it under NULL."""
+    inside = attached.filter("__v <= __hi").withColumn("__v", F.expr("CASE WHEN __v >= __lo THEN __v END"))
+    return inside.groupBy(*keys, "__n", "__v").agg(F.expr("count(1) AS __c"))

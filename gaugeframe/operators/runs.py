@@ -7,32 +7,32 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import clean_number
 from ..functions.status import run_warnings, verdict
-from ..plans.skew import rename_keys, same_key
+from ..plans.skew import HOT_KEYS, rename_keys, same_key
 from ..schema import TOP_CHECKED
-from .order_stats import HOT_ROWS, middle_values
+from .order_stats import middle_values
 from .profile import GROUP_KEYS, profile_totals, top_anomalies
 
 
 def medians(runs: DataFrame, by: list[str], value: str, median: str = "mid",
-            hot_rows: int = HOT_ROWS) -> DataFrame:
+            hot_keys: int = HOT_KEYS) -> DataFrame:
     """``by, median``: ``mid`` averages the two middle values, ``upper`` takes the second."""
     if median not in ("mid", "upper"):
         raise ValueError(f"median must be 'mid' or 'upper', got {median!r}")
-    middle = middle_values(runs, by, value, hot_rows)
+    middle = middle_values(runs, by, value, hot_keys)
     upper = F.col("upper_middle")
     return middle.select(*by, (upper if median == "upper"
                                else (F.col("lower_middle") + upper) / 2).alias("median"))
 
 
 def timing_summary(runs: DataFrame, by: list[str], value: str, median: str = "mid",
-                   hot_rows: int = HOT_ROWS) -> DataFrame:
+                   hot_keys: int = HOT_KEYS) -> DataFrame:
     """runs, median, mean, sample stdev, min, max and CV% per group; one run has stdev and CV 0."""
     x = clean_number(value)
     spread = F.when(F.count(x) > 0, F.coalesce(F.stddev_samp(x), F.lit(0.0)))
     stats = runs.groupBy(*by).agg(
         F.count(x).alias("runs"), F.avg(x).alias("mean"), spread.alias("stdev"),
         F.min(x).alias("min"), F.max(x).alias("max"))
-    middle = rename_keys(medians(runs, by, value, median, hot_rows), by)
+    middle = rename_keys(medians(runs, by, value, median, hot_keys), by)
     return (stats.join(middle, same_key(by), "left")
             .select(*by, "runs", "median", "mean", "stdev", "min", "max",
                     F.when(F.col("runs") > 1, F.try_divide(F.col("stdev"), F.col("mean")) * 100)
@@ -41,13 +41,13 @@ def timing_summary(runs: DataFrame, by: list[str], value: str, median: str = "mi
 
 def compare_runs(runs: DataFrame, baseline: str, candidate: str, job: str = "job_id",
                  pipeline: str = "pipeline", value: str = "seconds",
-                 hot_rows: int = HOT_ROWS) -> DataFrame:
+                 hot_keys: int = HOT_KEYS) -> DataFrame:
     """Per job: medians of two pipelines, speedup, and time saved in percent.
 
     A job that lacks one of the two, or divides by zero, has NULLs.
     """
     both = runs.filter(F.col(pipeline).isin(baseline, candidate))
-    per_run = medians(both, [job, pipeline], value, hot_rows=hot_rows)
+    per_run = medians(both, [job, pipeline], value, hot_keys=hot_keys)
 
     def of(name: str) -> Column:
         return F.max(F.when(F.col(pipeline) == name, F.col("median")))

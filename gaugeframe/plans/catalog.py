@@ -155,9 +155,9 @@ def q_timing_summary(spark, sf_dir):
 
 
 def q_timing_summary_hot(spark, sf_dir):
-    """The same over few large groups, ranked by narrowing instead of a window."""
+    """The same over few large groups, with one key by broadcast and the others by shuffle."""
     out = timing_summary(views.table(spark, sf_dir, "events"), ["event_type"], "value",
-                         hot_rows=100)
+                         hot_keys=2)
     return _round(out, "median", "mean", "stdev", "cv_pct")
 
 
@@ -202,7 +202,7 @@ def q_diff_tables(spark, sf_dir):
 
 def q_max_rel_error(spark, sf_dir):
     lines = views.table(spark, sf_dir, "lineitem").withColumn(
-        "got", F.col("l_extendedprice").cast("float").cast("double"))
+        "got", F.when(F.col("l_orderkey") % 50 != 0, F.col("l_extendedprice").cast("float").cast("double")))
     return _round(max_rel_error(lines, "l_extendedprice", "got"), "max_rel_error", digits=12)
 
 

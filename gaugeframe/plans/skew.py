@@ -33,14 +33,13 @@ def same_key(keys: list[str]) -> Column:
     return F.expr(same_key_sql(keys))
 
 
-def heaviest_keys(per_key: DataFrame, keys: list[str], weight: str, limit: int = HOT_KEYS,
-                  at_least: int = 0) -> DataFrame:
+def heaviest_keys(per_key: DataFrame, keys: list[str], weight: str, limit: int = HOT_KEYS) -> DataFrame:
     """At most ``limit`` rows of ``per_key``: all of them if it has no more, else the keys
     whose ``weight`` is 1/limit of the whole or more. A filter, so nothing is sorted or
     gathered, and every evaluation picks the same keys."""
     whole = per_key.agg(F.expr(f"struct(sum(`{weight}`) AS total, count(1) AS keys) AS size")).scalar()
     share = (whole["keys"] <= limit) | (F.col(weight) * limit >= whole["total"])
-    return per_key.filter(share & (F.col(weight) >= at_least) if at_least else share)
+    return per_key.filter(share)
 
 
 def without_keys(df: DataFrame, hot: DataFrame, keys: list[str]) -> DataFrame:
@@ -55,6 +54,9 @@ def attach_by_key(rows: DataFrame, per_key: DataFrame, keys: list[str], weight:
     Rows of heavy keys meet a bounded broadcast table and are never shuffled; the other
     rows are shuffled by key.
     """
+    # Every use below reads the same columns, so the aggregate behind it is exchanged once.
+    values = [c for c in per_key.columns if c not in (*keys, weight)]
+    per_key = per_key.filter(" OR ".join([f"`{weight}` >= 0", *[f"`{v}` IS NULL" for v in values]]))
     hot = heaviest_keys(per_key, keys, weight, hot_keys)
     renamed = [key_alias(k) for k in keys]
     by_broadcast = rows.join(F.broadcast(rename_keys(hot, keys)), same_key(keys)).drop(*renamed)

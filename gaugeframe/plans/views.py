@@ -136,7 +136,7 @@ def job_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select(
         F.col("user_id").alias("job_id"), event.alias("seq"), F.col("ts").alias("at"),
         kind.alias("event_type"),
-        _ladder(event % 3, {0: "gpu", 1: "spark"}, "analyzing").alias("stage"),
+        _ladder(event % 7, {0: "gpu", 1: "spark", 2: "warmup", 3: "drain"}, "analyzing").alias("stage"),
         (event % 5 + 1).cast("int").alias("attempt"),
         F.concat(F.lit("HTTP "), (500 + event % 4).cast("string")).alias("reason"),
         F.col("props").alias("payload"))
@@ -155,8 +155,10 @@ def failures(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Error events as a failure log."""
     event = F.col("event_id")
     return table(spark, sf_dir, "events").filter(F.col("event_type") == "error").select(
-        _ladder(event % 5, {0: "java.net.SocketTimeoutException", 1: "NonRetryable",
-                            2: "java.net.UnknownHostException", 3: "java.io.IOException"},
+        _ladder(event % 9, {0: "java.net.SocketTimeoutException", 1: "NonRetryable",
+                            2: "java.net.UnknownHostException", 3: "java.io.IOException",
+                            4: "java.net.MalformedURLException", 5: "javax.net.ssl.SSLException",
+                            6: "java.lang.OutOfMemoryError", 7: "com.example.StorageIOException"},
                 "java.lang.RuntimeException").alias("error_class"),
         F.when(event % 7 == 0, F.lit("read timeout"))
         .otherwise(F.concat(F.lit("launcher HTTP "), (400 + event % 4 * 43).cast("string")))

@@ -227,7 +227,8 @@ LOG = """log AS (
       WHEN 'view' THEN 'gpu_completed' WHEN 'error' THEN 'stage_retry_scheduled'
       ELSE CASE event_id % 4 WHEN 0 THEN 'spark_completed' WHEN 1 THEN 'analysis_completed'
                 WHEN 2 THEN 'response_delivered' ELSE 'job_failed' END END AS event_type,
-    CASE event_id % 3 WHEN 0 THEN 'gpu' WHEN 1 THEN 'spark' ELSE 'analyzing' END AS stage,
+    CASE event_id % 7 WHEN 0 THEN 'gpu' WHEN 1 THEN 'spark' WHEN 2 THEN 'warmup' WHEN 3 THEN 'drain'
+      ELSE 'analyzing' END AS stage,
     CAST(event_id % 5 + 1 AS INT) AS attempt, concat('HTTP ', 500 + event_id % 4) AS reason,
     props AS payload FROM events),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY job_id ORDER BY "at", seq) AS pos FROM log),
@@ -394,7 +395,8 @@ SELECT job_id, round(b, 6) AS baseline_s, round(c, 6) AS candidate_s, round(b /
     "profile_equivalence": EQUIVALENCE,
     "diff_tables": DIFF,
     "max_rel_error": """SELECT round(max(abs(l_extendedprice - CAST(CAST(l_extendedprice AS FLOAT) AS DOUBLE))
-  / greatest(1e-6, abs(l_extendedprice))), 12) AS max_rel_error FROM lineitem""",
+  / greatest(1e-6, abs(l_extendedprice))) FILTER (l_orderkey % 50 <> 0), 12) AS max_rel_error,
+  count(*) FILTER (l_orderkey % 50 <> 0) AS compared, count(*) FILTER (l_orderkey % 50 = 0) AS one_sided FROM lineitem""",
     "validate_requests": f"""WITH {REQUESTS}
 SELECT job_id, dataset_uri, mode, pipeline, callback_url,
   CASE WHEN len(errs) = 0 THEN coalesce(output_uri,
@@ -425,12 +427,14 @@ SELECT run_id, CASE upper(coalesce(state, 'PENDING')) WHEN 'SUCCESS' THEN 'succe
 SELECT job_id, seq, "at", payload, (SELECT count(*) FROM log AS o WHERE o.job_id = ranked.job_id) - 1 AS rejected
 FROM ranked WHERE pos = 1""",
     "classify_failures": """WITH f AS (
-  SELECT CASE event_id % 5 WHEN 0 THEN 'java.net.SocketTimeoutException' WHEN 1 THEN 'NonRetryable'
+  SELECT CASE event_id % 9 WHEN 0 THEN 'java.net.SocketTimeoutException' WHEN 1 THEN 'NonRetryable'
     WHEN 2 THEN 'java.net.UnknownHostException' WHEN 3 THEN 'java.io.IOException'
-    ELSE 'java.lang.RuntimeException' END AS error_class, event_id % 5 AS kind,
+    WHEN 4 THEN 'java.net.MalformedURLException' WHEN 5 THEN 'javax.net.ssl.SSLException'
+    WHEN 6 THEN 'java.lang.OutOfMemoryError' WHEN 7 THEN 'com.example.StorageIOException'
+    ELSE 'java.lang.RuntimeException' END AS error_class, event_id % 9 AS kind,
     CASE WHEN event_id % 7 = 0 THEN 'read timeout' ELSE concat('launcher HTTP ', 400 + event_id % 4 * 43) END AS message
   FROM events WHERE event_type = 'error')
-SELECT error_class, CASE WHEN kind IN (1, 2) THEN false WHEN kind IN (0, 3) THEN true
+SELECT error_class, CASE WHEN kind IN (1, 2, 6) THEN false WHEN kind IN (0, 3, 4, 5, 7) THEN true
   ELSE contains(message, 'HTTP 5') OR contains(message, 'HTTP 429') OR contains(message, 'timeout')
     OR contains(message, 'Connection refused') END AS retryable, count(*) AS failures
 FROM f GROUP BY 1, 2""",

@@ -44,4 +44,12 @@ def test_diff_kinds(spark):
 
 def test_max_rel_error(spark):
     df = spark.createDataFrame([(2.0, 2.0), (0.0, 1e-7), (-4.0, -5.0)], "ref double, got double")
-    assert max_rel_error(df, "ref", "got").first()[0] == 0.25
+    assert tuple(max_rel_error(df, "ref", "got").first()) == (0.25, 3, 0)
+    df = spark.createDataFrame([(2.0, None), (None, 1.0), (None, None)], "ref double, got double")
+    assert tuple(max_rel_error(df, "ref", "got").first()) == (None, 0, 2)
+
+
+def test_missing_sensor_is_a_problem(spark):
+    base, other = [(None, "r", 9.0, 80)], [("x", "r", 9.0, 80)]
+    found = equivalent(profile(spark, base), profile(spark, other)).collect()
+    assert [tuple(r) for r in found] == [("top_sensor", 1, None, "x")]

@@ -41,10 +41,12 @@ def test_retry_keeps_the_stage_and_failure_ends_it(spark):
     assert got["c"]["stage"] == "received"
 
 
-def test_unknown_stage_reads_as_failed(spark):
-    df = log(spark, ("a", "stage_retry_scheduled", "nowhere", 3, "x"), ("a", "stage_retry_scheduled", "spark", 1, "x"))
-    assert fold_jobs(df).first()["attempts"] == {"failed": 3, "spark": 1}
-    assert {(r["stage"], r["attempts"]) for r in job_attempts(df).collect()} == {("failed", 3), ("spark", 1)}
+def test_unknown_stages_stay_apart(spark):
+    df = log(spark, ("a", "stage_retry_scheduled", "nowhere", 3, "x"), ("a", "stage_retry_scheduled", "else", 2, "x"),
+             ("a", "stage_retry_scheduled", "spark", 1, "x"))
+    assert fold_jobs(df).first()["attempts"] == {"nowhere": 3, "else": 2, "spark": 1}
+    assert {(r["stage"], r["attempts"]) for r in job_attempts(df).collect()} == {
+        ("nowhere", 3), ("else", 2), ("spark", 1)}
 
 
 def test_recent_lookup_retain(spark):
@@ -75,6 +77,8 @@ def test_failure_triage(spark):
              ("java.net.UnknownHostException", "timeout", False), ("NonRetryable", "HTTP 503", False),
              ("java.io.IOException", "", True), ("java.lang.RuntimeException", "a HTTP 503", True),
              ("java.lang.RuntimeException", "a HTTP 429", True), ("java.lang.RuntimeException", "a HTTP 404", False),
+             ("java.net.MalformedURLException", "", True), ("java.nio.channels.ClosedChannelException", None, True),
+             ("javax.net.ssl.SSLException", "x", True), ("java.lang.OutOfMemoryError", "timeout", False),
              (None, "Connection refused", True), (None, None, False)]
     df = spark.createDataFrame(cases, "c string, m string, want boolean")
     assert df.filter(~failure_retryable("c", "m").eqNullSafe(F.col("want"))).collect() == []

@@ -4,7 +4,6 @@ import re
 
 import pytest
 
-import __spark_entry__ as entry
 from gaugeframe.operators import retain
 from gaugeframe.plans import catalog, views
 
@@ -53,9 +52,9 @@ def test_statistics_read_one_column(spark, sf_dir):
     assert "ReadSchema: struct<l_quantity:double>" in text
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - ROUND_TRIPS))
+@pytest.mark.parametrize("name", sorted(set(catalog.queries()) - ROUND_TRIPS))
 def test_no_product_joins_and_python_only_where_needed(spark, sf_dir, name):
-    text = plan(entry.queries()[name](spark, sf_dir))
+    text = plan(catalog.queries()[name](spark, sf_dir))
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
     python = re.search(r"ArrowEvalPython|BatchEvalPython|MapInArrow|MapInPandas", text)
     assert bool(python) == (name in PYTHON_QUERIES)

@@ -4,6 +4,7 @@ import statistics
 
 import pytest
 
+from gaugeframe.operators.order_stats import bracket_values, count_inside
 from gaugeframe.operators import (analyze_jobs, bench_pivot, compare_runs, middle_values,
                                   timing_summary)
 from gaugeframe.schema import BENCH
@@ -22,9 +23,7 @@ def groups():
     }
 
 
-@pytest.mark.parametrize("options", [{}, {"hot_rows": 1}, {"hot_rows": 5, "hot_keys": 3},
-                                     {"hot_rows": 1, "rounds": 1, "buckets": 2},
-                                     {"hot_rows": 1, "rounds": 3, "buckets": 8}])
+@pytest.mark.parametrize("options", [{}, {"hot_keys": 1}, {"hot_keys": 3, "accuracy": 100}, {"accuracy": 10}])
 def test_middle_values_are_exact(spark, options):
     data = groups()
     rows = [(k, v) for k, vs in data.items() for v in vs] + [("even", None), ("one", math.nan)]
@@ -35,12 +34,12 @@ def test_middle_values_are_exact(spark, options):
     assert got == want
 
 
-@pytest.mark.parametrize("hot_rows", [1, 1_000_000])
-def test_timing_summary(spark, hot_rows):
+@pytest.mark.parametrize("hot_keys", [1, 1_000])
+def test_timing_summary(spark, hot_keys):
     data = {k: [abs(x) + 1 for x in v] for k, v in groups().items() if k not in ("infinite", "extreme", "wide")}
     df = spark.createDataFrame([(k, v) for k, vs in data.items() for v in vs] + [("none", None)],
                                "k string, v double")
-    got = {r["k"]: r for r in timing_summary(df, ["k"], "v", hot_rows=hot_rows).collect()}
+    got = {r["k"]: r for r in timing_summary(df, ["k"], "v", hot_keys=hot_keys).collect()}
     for k, vs in data.items():
         sd = statistics.stdev(vs) if len(vs) > 1 else 0.0
         assert tuple(got[k])[1:] == pytest.approx(
@@ -104,3 +103,16 @@ def test_bench_pivot(spark):
     assert got[1_000_000]["gpu_ms"] is None
     assert (got[20]["gpu_speedup_vs_1"], got[20]["transfer_pct"], got[20]["cpun_ms"]) == (2.0, 50.0, None)
     assert (got[30]["gpu_speedup_vs_1"], got[30]["transfer_pct"], got[30]["cpu1_gbps"]) == (None, None, 0.0)
+
+
+@pytest.mark.parametrize("value", [
+    "rand(1)", "CASE id WHEN 7 THEN 1e9D WHEN 8 THEN 1e18D ELSE rand(1) END", "pow(rand(1), -3)",
+    "CASE id WHEN 7 THEN double('-inf') WHEN 8 THEN double('inf') ELSE rand(1) END", "1.0D"])
+def test_middle_values_narrow_any_range(spark, value):
+    rows = spark.range(200_000).selectExpr("1 AS k", f"{value} AS __v")
+    bracket = bracket_values(rows, ["k"])
+    left = count_inside(rows.join(bracket, "k"), ["k"])
+    assert left.count() <= 1_000
+    got = middle_values(rows.withColumnRenamed("__v", "v"), ["k"], "v").first()
+    v = sorted(r[0] for r in rows.select("__v").collect())
+    assert (got["lower_middle"], got["upper_middle"]) == (v[99_999], v[100_000])
