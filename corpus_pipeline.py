@@ -49,12 +49,17 @@ def dedup_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document with the smallest id stays, one row of it."""
-    found = similar_components(docs).select(F.col("id").alias("_id"), F.col("fp").alias("_fp"), "n_shingles",
-                                            "component_id")
-    first = (F.col("n_shingles") == 0) | F.col("_id").eqNullSafe(F.col("component_id"))
-    kept = found.filter(first).select("_id", "_fp").distinct()
-    return docs.join(kept, same_row(docs, kept), "left_semi").dropDuplicates(["doc_id"])
+    """Of each group of near duplicates the document with the smallest id stays, one row of it.
+    Documents without words are in no group and stay."""
+    found = similar_components(docs).select(F.col("id").alias("_id"), F.col("fp").alias("_fp"), "group")
+    grouped = found.filter(F.col("group").isNotNull())
+    first = grouped.groupBy("group").agg(F.min(F.struct(F.col("_id").isNull().alias("last"), "_id", "_fp")).alias("f"))
+    first = first.select("f._id", "f._fp")
+    worded = F.coalesce(F.col("text").rlike("[^\\x20\\x09-\\x0D]"), F.lit(False))
+    kept = docs.filter(worded).join(first, same_row(docs, first), "left_semi")
+    if not grouped.groupBy("_id", "_fp").count().filter("count > 1").isEmpty():  # rows given twice
+        kept = kept.dropDuplicates(["doc_id", "text"])
+    return kept.unionByName(docs.filter(~worded))
 
 
 def remove_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -158,8 +158,9 @@ def _possible(x: str, y: str) -> Column:
 
 
 def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row of ``docs``: its id, fp (a hash of its text), n_shingles and component_id, the
-    smallest id that it reaches by links."""
+    """Per row of ``docs``: its id, fp (a hash of its text), n_shingles, component_id, the
+    smallest id that it reaches by links, and group, a number of its component (null for an empty
+    set), which tells components apart also where ids repeat."""
     rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("fp"),
                        F.col(text_col).cast("string").alias("text"))
     kind = rows.schema["id"].dataType
@@ -253,10 +254,11 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     rooted = per_class.join(roots.withColumnRenamed("node", "of"), F.col("node") == F.col("of"), "left").select(
         "node", "low", "copies", F.coalesce("root", "node").alias("root"))
     named = written(rooted.join(rooted.groupBy("root").agg(F.min("low").alias("component_id")), "root").select(
-        "node", "copies", "component_id"), "components")
+        "node", "copies", "component_id", F.col("root").alias("group")), "components")
     # One class may hold a third of all rows: heavy classes meet a bounded broadcast.
-    full = attach_by_key(sets.filter("n > 0"), named, ["node"], "copies").select("id", "fp", "n", "component_id")
-    out = full.unionByName(sets.filter("n = 0").select("id", "fp", "n", F.col("id").alias("component_id")))
+    full = attach_by_key(sets.filter("n > 0"), named, ["node"], "copies").select("id", "fp", "n", "component_id", "group")
+    out = full.unionByName(sets.filter("n = 0").select("id", "fp", "n", F.col("id").alias("component_id"),
+                                                       F.lit(None).cast("bigint").alias("group")))
     return out.withColumnRenamed("n", "n_shingles")
 
 

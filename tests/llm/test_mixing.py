@@ -1,0 +1,45 @@
+"""Poisson mixing against its SQL, plain inversion, and wanted shares."""
+
+import math
+
+import pytest
+from pyspark.sql import functions as F
+
+from gaugeframe.llm.mixing import OP10_SQL, mix_sources, op10_mix_sources, poisson
+from oracle import compare, connect
+
+SCHEMA = "doc_id bigint, source string, text string, copy string"
+
+
+def test_sql(spark, sf_dir):
+    assert compare(op10_mix_sources(spark, sf_dir), connect(sf_dir), OP10_SQL) == []
+
+
+@pytest.mark.parametrize("mean", [0.01, 0.7, 3.0, 16.0])
+def test_inversion(spark, mean):
+    rows = spark.range(2000).select(((F.col("id") + 0.5) / 2000).alias("u"), poisson((F.col("id") + 0.5) / 2000, F.lit(mean)).alias("k"))
+    for u, k in rows.collect():
+        below = sum(math.exp(-mean + i * math.log(mean) - math.lgamma(i + 1)) for i in range(k))
+        assert below < u <= below + math.exp(-mean + k * math.log(mean) - math.lgamma(k + 1)) + 1e-12
+
+
+def test_shares_and_order(spark):
+    docs = spark.range(6000).selectExpr("id AS doc_id", "CASE WHEN id % 3 = 0 THEN 'hot' WHEN id < 20 THEN 'tiny' WHEN id % 3 = 1 THEN 'b' END AS source",
+                                        "'t' AS text", "'x' AS copy")
+    weights = spark.createDataFrame([("hot", 1.0), ("tiny", 1.0), (None, 2.0), ("gone", 4.0), ("b", 0.0)], "source string, weight double")
+    got = mix_sources(docs, weights.filter("source IS NULL OR source <> 'gone'"), epochs=2.0)
+    n = {r.source: r.n for r in got.groupBy("source").agg(F.count("*").alias("n")).collect()}
+    assert "b" not in n and abs(n["hot"] / 3000 - 1) < 0.1 and abs(n["tiny"] / 3000 - 1) < 0.1 and abs(n[None] / 6000 - 1) < 0.1
+    order = [r.mix_order for r in got.collect()]
+    assert order == sorted(order) and got.columns == ["doc_id", "source", "text", "copy", "mix_order"]
+    assert sum(n.values()) == mix_sources(docs.repartition(7), weights.filter("source IS NULL OR source <> 'gone'"), epochs=2.0).count()
+
+
+def test_edges(spark):
+    rows = [(1, None, None, "x"), (1, None, None, "x"), (None, "s", "t", "x"), (2, "s", "x" * 100_000, None)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    out = mix_sources(df, epochs=50.0).collect()
+    ones = [r.copy for r in out if r.doc_id == 1]
+    assert len(out) > 50 and len(ones) % 2 == 0  # equal rows draw the same number
+    assert mix_sources(df.limit(0)).count() == 0
+    assert mix_sources(df, spark.createDataFrame([("s", 0.0)], "source string, weight double")).count() == 0
