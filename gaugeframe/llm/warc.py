@@ -30,6 +30,7 @@ from .shared import shared_path, written
 MAGIC = b"\x1f\x8b\x08"
 SPLIT_BYTES = 8 << 20
 FILE_BYTES = 256 << 20
+MAX_TASKS = 50_000
 HEAD = b"WARC/1."
 DATE = "1970-01-01T00:00:00Z"
 RECORD = ("path string, offset bigint, record_type string, record_id string, refers_to string, "
@@ -248,7 +249,10 @@ def read_warc(files: DataFrame, split_bytes: int = SPLIT_BYTES) -> DataFrame:
                 if rows:
                     yield pa.RecordBatch.from_pylist(rows, schema)
 
-    return ranges.repartition("path", "start").mapInArrow(read, RECORD)
+    # The list of ranges is small, so the number of tasks is given, not derived from its size.
+    ranges = written(ranges, "warc-ranges")
+    tasks = max(1, min(ranges.count(), MAX_TASKS))
+    return ranges.repartition(tasks, "path", "start").mapInArrow(read, RECORD)
 
 
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
