@@ -57,7 +57,3 @@ def epoch_seconds(col: Column | str) -> Column:
     days = F.datediff(ts.cast("date"), F.lit("1970-01-01").cast("date")).cast("long")
     return (days * 86400 + F.hour(ts) * 3600 + F.minute(ts) * 60
             + F.floor(F.second(ts))).cast("long")
-
-
-def try_ratio(left: Column, right: Column) -> Column:
-    return F.try_divide(left, right)

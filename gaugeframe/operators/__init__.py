@@ -1,7 +1,7 @@
 from .compare import diff_tables, equivalent, max_rel_error
 from .enrich import enrich
 from .jobs import (accept_starts, classify_failures, fold_jobs, job_attempts, job_counts,
-                   lookup_job, recent_jobs, retain)
+                   job_status_json, lookup_job, parse_job_status, recent_jobs, retain)
 from .normalize import (column_stats, normalize, normalize_fixed, normalize_modes,
                         normalize_summary)
 from .order_stats import middle_values
@@ -13,8 +13,9 @@ from .runs import analyze_jobs, bench_pivot, compare_runs, metrics_record, timin
 __all__ = [
     "accept_starts", "analyze_jobs", "anomaly_profile", "bench_pivot", "classify_failures",
     "column_stats", "compare_runs", "diff_tables", "enrich", "equivalent", "filter_quality",
-    "fold_jobs", "job_attempts", "job_counts", "lookup_job", "max_rel_error", "metrics_record",
+    "fold_jobs", "job_attempts", "job_counts", "job_status_json", "lookup_job", "max_rel_error",
+    "metrics_record",
     "middle_values", "normalize", "normalize_fixed", "normalize_modes", "normalize_summary",
-    "profile_totals", "project_profile_input", "recent_jobs", "retain", "split_requests",
+    "parse_job_status", "profile_totals", "project_profile_input", "recent_jobs", "retain", "split_requests",
     "timing_summary", "top_anomalies", "validate_requests",
 ]

@@ -79,6 +79,29 @@ def job_attempts(events: DataFrame) -> DataFrame:
             .agg(F.max_by("attempt", F.struct("at", "seq")).alias("attempts")))
 
 
+INSTANT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
+
+
+def job_status_json(jobs: DataFrame) -> DataFrame:
+    """``job_id, status``: the folded state as a JSON text, instants in ISO form. A field that is
+    NULL is left out."""
+    status = F.to_json(F.struct(
+        F.col("job_id").alias("jobId"), "stage", F.date_format("created_at", INSTANT).alias("createdAt"),
+        F.date_format("updated_at", INSTANT).alias("updatedAt"), F.col("is_terminal").alias("isTerminal"), "error"))
+    return jobs.select("job_id", status.alias("status"))
+
+
+def parse_job_status(df: DataFrame, json_col: str, id_type: str = "bigint") -> DataFrame:
+    """The columns of ``job_status_json`` back from its text; a malformed text gives NULLs."""
+    body = F.from_json(json_col, f"jobId {id_type}, stage string, createdAt string, updatedAt string, "
+                                 "isTerminal boolean, error string")
+    instant = [F.to_timestamp_ntz(F.col(f"__s.{c}"), F.lit(INSTANT)).alias(name)
+               for c, name in (("createdAt", "created_at"), ("updatedAt", "updated_at"))]
+    return df.withColumn("__s", body).select(
+        *df.columns, F.col("__s.jobId").alias("parsed_id"), "__s.stage", *instant,
+        F.col("__s.isTerminal").alias("is_terminal"), "__s.error")
+
+
 def recent_jobs(jobs: DataFrame, n: int = RECENT_JOBS) -> DataFrame:
     return jobs.orderBy(F.col("updated_at").desc(), "job_id").limit(n)
 

@@ -12,8 +12,8 @@ from ..functions import decode_f32, normalize_array, run_family
 from ..operators import (
     accept_starts, analyze_jobs, anomaly_profile, bench_pivot, classify_failures, column_stats,
     compare_runs, diff_tables, enrich, equivalent, filter_quality, fold_jobs, job_attempts,
-    job_counts, lookup_job, max_rel_error, metrics_record, normalize, normalize_modes,
-    normalize_summary, profile_totals, project_profile_input, recent_jobs, retain,
+    job_counts, job_status_json, lookup_job, max_rel_error, metrics_record, normalize, normalize_modes,
+    normalize_summary, parse_job_status, profile_totals, project_profile_input, recent_jobs, retain,
     split_requests, timing_summary, top_anomalies, validate_requests,
 )
 from ..sources import (
@@ -239,6 +239,11 @@ def _job_states(spark, sf_dir):
         "job_id", "stage", "created_at", "updated_at", "is_terminal")
 
 
+def q_job_status_json(spark, sf_dir):
+    states = fold_jobs(views.job_log(spark, sf_dir))
+    return parse_job_status(job_status_json(states), "status")
+
+
 def q_recent_jobs(spark, sf_dir):
     return recent_jobs(_job_states(spark, sf_dir))
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+# The columns of the tables in files.
 TELEMETRY = T.StructType([
     T.StructField("sensor_id", T.StringType(), False),
     T.StructField("region", T.StringType(), False),

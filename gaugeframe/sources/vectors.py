@@ -67,7 +67,7 @@ def read_npy(spark: SparkSession, path: str, glob: str = "*.npy",
                     if fortran and len(shape) > 1:
                         idx = np.ravel_multi_index(np.unravel_index(idx, shape, order="F"), shape)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([uri] * (hi - lo)), pa.array(idx.astype(np.int64)),
+                        [pa.repeat(uri, hi - lo), pa.array(idx.astype(np.int64)),
                          pa.array(np.frombuffer(raw, dtype).astype(np.float32))],
                         names=["path", "idx", "value"])
 

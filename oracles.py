@@ -412,6 +412,14 @@ m AS (SELECT job_id, string_agg(concat(stage, '=', attempts), ',' ORDER BY stage
 SELECT f.*, coalesce(attempts, '') AS attempts, stage IN ('completed', 'failed') AS is_terminal,
   round(floor((epoch_us(TIMESTAMP '2024-02-15 00:00:00') - epoch_us(created_at)) / 1000) / 1000.0, 3) AS elapsed_s
 FROM folded AS f LEFT JOIN m ON f.job_id = m.job_id""",
+    "job_status_json": f"""WITH {LOG},
+s AS (SELECT *, stage IN ('completed', 'failed') AS is_terminal, strftime(created_at, '%Y-%m-%dT%H:%M:%S.%fZ') AS c,
+      strftime(updated_at, '%Y-%m-%dT%H:%M:%S.%fZ') AS u FROM folded)
+SELECT job_id, CAST(CASE WHEN error IS NULL
+    THEN json_object('jobId', job_id, 'stage', stage, 'createdAt', c, 'updatedAt', u, 'isTerminal', is_terminal)
+    ELSE json_object('jobId', job_id, 'stage', stage, 'createdAt', c, 'updatedAt', u, 'isTerminal', is_terminal,
+                     'error', error) END AS VARCHAR) AS status,
+  job_id AS parsed_id, stage, created_at, updated_at, is_terminal, error FROM s""",
     "job_attempts": f"WITH {LOG} SELECT job_id, stage, attempts FROM retries",
     "recent_jobs": f"{JOB_STATES} ORDER BY updated_at DESC, job_id LIMIT 100",
     "lookup_job": f"{JOB_STATES} WHERE job_id = 7",

@@ -23,7 +23,9 @@ def main() -> int:
         t0 = time.time()
         try:
             df = fn(spark, sf_dir)
-            problems = compare(df, con, texts[name]) if name in texts else [][: df.count() * 0]
+            problems = compare(df, con, texts[name]) if name in texts else []
+            if name not in texts:
+                df.count()
         except Exception:
             problems = [traceback.format_exc()[-1500:]]
         bad += bool(problems)
