@@ -40,7 +40,7 @@ FIRST = 12  # neighbours that one order gives
 ROUNDS = 6
 STOP = 0.02  # share of neighbours that change
 POOL = 64
-EXPAND = 4  # nodes of its pool that a query expands in a step
+EXPAND = 16  # nodes of its pool that a query expands in a step
 STEPS = 16
 ENTRIES = 32  # where a search begins whose query is no node
 
