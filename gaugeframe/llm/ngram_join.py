@@ -140,10 +140,12 @@ def linked_pairs(pairs: DataFrame, segments: DataFrame) -> DataFrame:
     summed per pair."""
     wanted = pairs.select("a", "b", F.expr(
         f"CAST(ceil({PERCENT}D * (na + nb) / {100 + PERCENT}D) AS BIGINT)").alias("need"))
-    own = segments.select(F.col("node").alias("b"), "fragment", F.col("held").alias("right"))
-    met = wanted.join(own, "b")
-    lead = segments.select(F.col("node").alias("a"), "fragment", F.col("held").alias("left"))
-    met = met.join(lead, ["a", "fragment"]).select("a", "b", "need", "left", "right")
+    # Both sides of a pair read the same exchange of the segments.
+    segments = segments.repartition("node")
+    met = wanted.join(segments, F.col("b") == F.col("node")).select(
+        "a", "b", "need", F.col("fragment").alias("part"), F.col("held").alias("right"))
+    met = met.join(segments, (F.col("a") == F.col("node")) & (F.col("part") == F.col("fragment"))).select(
+        "a", "b", "need", F.col("held").alias("left"), "right")
     partial = met.mapInArrow(_count_overlap, "a bigint, b bigint, need bigint, overlap bigint")
     whole = partial.groupBy("a", "b", "need").agg(F.sum("overlap").alias("overlap"))
     return whole.filter("overlap >= need").select("a", "b")
@@ -209,7 +211,7 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         F.col("place").bitwiseAND(F.lit(0xFFFFFFFF)).cast("int").alias("i"))
     shared = written(shared.distinct(), "shared")
 
-    # The sets of the classes that share something, cut into fragments of the global order.
+    # The sets of the classes to compare, cut into fragments of the global order.
     cuts = _cuts(counts)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -225,14 +227,19 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                     [pa.array(nodes, pa.int64()), pa.array(parts, pa.int32()), pa.array(helds, pa.binary())],
                     names=["node", "fragment", "held"])
 
-    one = sets.filter("n > 0").groupBy("node").agg(F.min(F.struct("id", "fp")).alias("of"))
-    one = one.join(shared.select("node").distinct(), "node", "left_semi")
-    one = written(one.select("node", F.col("of.id").alias("_id"), F.col("of.fp").alias("_fp")), "classes")
-    if one.count() <= BROADCAST_CLASSES:  # else the documents are shuffled to them
-        one = F.broadcast(one)
-    chosen = rows.join(one, F.col("id").eqNullSafe(F.col("_id")) & (F.col("fp") == F.col("_fp")))
-    segments = written(chosen.select("node", "text").mapInArrow(
-        cut, "node bigint, fragment int, held binary").dropDuplicates(["node", "fragment"]), "segments")
+    one = written(sets.filter("n > 0").groupBy("node").agg(F.min(F.struct("id", "fp")).alias("of")).select(
+        "node", F.col("of.id").alias("_id"), F.col("of.fp").alias("_fp")), "classes")
+    repeated = not sets.filter("n > 0").groupBy("id", "fp").count().filter("count > 1").isEmpty()
+
+    def segments_of(pairs: DataFrame) -> DataFrame:
+        """(node, fragment, held) of the classes in the pairs."""
+        nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+        wanted = written(one.join(nodes, "node", "left_semi"), "wanted-classes")
+        if wanted.count() <= BROADCAST_CLASSES:  # else the documents are shuffled to them
+            wanted = F.broadcast(wanted)
+        chosen = rows.join(wanted, F.col("id").eqNullSafe(F.col("_id")) & (F.col("fp") == F.col("_fp")))
+        held = chosen.select("node", "text").mapInArrow(cut, "node bigint, fragment int, held binary")
+        return held.dropDuplicates(["node", "fragment"]) if repeated else held
 
     links = None
     grouped = shared.withColumn("comp", F.col("node"))
@@ -244,7 +251,8 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
             pairs = _star_pairs(grouped, turn)
         else:
             pairs = _cross_pairs(grouped)
-        found = written(linked_pairs(written(pairs, "pairs"), segments), "links")
+        pairs = written(pairs, "pairs")
+        found = written(linked_pairs(pairs, segments_of(pairs)), "links")
         links = found if links is None else links.unionByName(found)
         roots = components(links)
         if turn < STAR_ROUNDS:
