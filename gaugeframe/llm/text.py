@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
@@ -59,17 +59,32 @@ def split_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
     return coded.indices.to_numpy().astype(np.int64), offsets, coded.dictionary
 
 
-def hash_words(words: pa.Array, seed: int = 0) -> np.ndarray:
-    """A 64-bit hash of each word."""
-    digest = xxhash.xxh3_64_intdigest
-    return np.fromiter((digest(w, seed) for w in words.to_pylist()), np.uint64, len(words))
+@cache
+def _hash_tables(seed: int) -> tuple[np.ndarray, int]:
+    rng = np.random.default_rng(seed)
+    return rng.integers(0, 1 << 64, 256, np.uint64), int(rng.integers(0, 1 << 64, dtype=np.uint64)) | 1
+
 
+def mixed(x: np.ndarray) -> np.ndarray:
+    """Each number with its bits mixed, one to one."""
+    x = (x ^ (x >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
+    x = (x ^ (x >> np.uint64(33))) * np.uint64(0xC4CEB9FE1A85EC53)
+    return x ^ (x >> np.uint64(33))
 
-def crc32_of(ids: pa.Array) -> np.ndarray:
-    """crc32 of each id as text; a null id reads as empty text."""
-    from zlib import crc32
-    return np.fromiter((crc32(str(i).encode() if i is not None else b"") for i in ids.to_pylist()),
-                       np.int64, len(ids))
+
+def hash_words(words: pa.Array, seed: int = 0) -> np.ndarray:
+    """A 64-bit hash of each word: a random number for each byte value, weighed by powers of an
+    odd base, summed over the word's bytes and mixed with its length. All words at once."""
+    raw = words.cast(pa.large_binary())
+    at = np.frombuffer(raw.buffers()[1], np.int64, len(raw) + 1, raw.offset * 8)
+    if not len(raw) or at[-1] == at[0]:
+        return np.zeros(len(raw), np.uint64)
+    data, at = np.frombuffer(raw.buffers()[2], np.uint8)[at[0]:at[-1]], at - at[0]
+    table, base = _hash_tables(seed)
+    powers = [np.cumprod(np.r_[np.uint64(1), np.full(len(data), b, np.uint64)], dtype=np.uint64)
+              for b in (base, pow(base, -1, 1 << 64))]
+    sums = np.r_[np.uint64(0), np.cumsum(table[data] * powers[0][:-1], dtype=np.uint64)]
+    return mixed((sums[at[1:]] - sums[at[:-1]]) * powers[1][at[:-1]] + np.diff(at).astype(np.uint64))
 
 
 def with_fields(df: DataFrame, fields: str) -> T.StructType:
