@@ -195,15 +195,18 @@ def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     variants = written(texts.mapInArrow(
         _emit_variants, f"id {kind}, fp bigint, line_no int, place int, key bigint, line string"),
         "line-variants").withColumn("pos", place)
-    by_place = variants.groupBy("key", "place").agg(F.min("pos").alias("least"), F.count(F.lit(1)).alias("n"))
+    text = variants.filter("place < 0").select("pos", "line")
+    # Most variants have no partner; only those with one go on.
+    twice = variants.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key")
+    variants = written(variants.select("key", "place", "pos").join(twice, "key", "left_semi"), "shared-variants")
+    by_place = variants.groupBy("key", "place").agg(F.min("pos").alias("least"))
     by_key = by_place.groupBy("key").agg(
         F.min(F.when(F.col("place") < 0, F.col("least"))).alias("whole"),
-        F.min(F.when(F.col("place") >= 0, F.col("least"))).alias("cut"), F.sum("n").alias("n"))
-    both = by_place.join(by_key.filter("n > 1").drop("n"), "key").select("key", "place", F.array_min(F.array_compact(
+        F.min(F.when(F.col("place") >= 0, F.col("least"))).alias("cut"))
+    both = by_place.join(by_key, "key").select("key", "place", F.array_min(F.array_compact(
         F.when(F.col("place") < 0, F.array("least", "cut")).otherwise(F.array("least", "whole")))).alias("other"))
     found = written(variants.join(both, ["key", "place"]).filter(F.col("other") < F.col("pos"))
                     .select("pos", "other").distinct(), "line-pairs")
-    text = variants.filter("place < 0").select("pos", "line")
     pairs = found.join(text, "pos").join(text.select(F.col("pos").alias("other"), F.col("line").alias("against")),
                                          "other")
     near = pairs.select("pos.*", "line", "against").mapInArrow(_verify, f"id {kind}, fp bigint, line_no int")
