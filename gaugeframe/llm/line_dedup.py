@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from ..plans.skew import attach_by_key
 from .shared import written
-from .text import blocks, hash_words, split_words, text_column
+from .text import blocks, hash_words, mixed, split_words, text_column
 
 MIN_WORDS = 8
 BASE = np.uint64(0x9E3779B97F4A7C15)  # odd, so it has an inverse modulo 2^64
@@ -38,10 +38,8 @@ BROADCAST_LINES = 1_000_000
 POS = ["id", "fp", "line_no"]
 
 
-def _mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
-    x = (x ^ (x >> np.uint64(33))) * np.uint64(0xC4CEB9FE1A85EC53)
-    return (x ^ (x >> np.uint64(33))).view(np.int64)
+def _key(x: np.ndarray) -> np.ndarray:
+    return mixed(x).view(np.int64)
 
 
 class LineHashes:
@@ -58,7 +56,7 @@ class LineHashes:
 
     def of(self, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
         """A key of the words from ``begin`` to ``end``, the same wherever they stand."""
-        return _mixed((self.sums[end] - self.sums[begin]) * self.down[begin] + (end - begin).astype(np.uint64))
+        return _key((self.sums[end] - self.sums[begin]) * self.down[begin] + (end - begin).astype(np.uint64))
 
     def without_each(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(line, place, key) of every line with the word at that place left out."""
@@ -66,7 +64,7 @@ class LineHashes:
         at = np.arange(len(line))
         begin, end = self.offsets[:-1][line], self.offsets[1:][line]
         left = (self.sums[at] - self.sums[begin]) + (self.sums[end] - self.sums[at + 1]) * INVERSE
-        return line, at - begin, _mixed(left * self.down[begin] + (self.words[line] - 1).astype(np.uint64))
+        return line, at - begin, _key(left * self.down[begin] + (self.words[line] - 1).astype(np.uint64))
 
     def halves(self) -> list[np.ndarray]:
         """Four keys a line: its first and last words as one of a pair whose longer line has as
@@ -81,7 +79,7 @@ class LineHashes:
             tail = np.clip(longest - 1 - half, 0, n)
             salt = longest.astype(np.uint64) * np.uint64(2)
             for part, key in ((0, self.of(begin, begin + half)), (1, self.of(end - tail, end))):
-                keys.append(_mixed(key.view(np.uint64) + _mixed(salt + np.uint64(part)).view(np.uint64)))
+                keys.append(_key(key.view(np.uint64) + _key(salt + np.uint64(part)).view(np.uint64)))
         return keys
 
 

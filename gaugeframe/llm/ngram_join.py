@@ -33,7 +33,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 from ..plans.skew import attach_by_key
 from .components import components
 from .shared import written
-from .text import blocks, hash_words, split_words, text_column
+from .text import blocks, hash_words, mixed, split_words, text_column
 
 SHINGLE = 5
 PERCENT = 75  # 100 * intersection >= PERCENT * union
@@ -47,12 +47,6 @@ BASE = np.uint64(0x9E3779B97F4A7C15)
 BLOCK = 2 << 20
 
 
-def _mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
-    x = (x ^ (x >> np.uint64(33))) * np.uint64(0xC4CEB9FE1A85EC53)
-    return x ^ (x >> np.uint64(33))
-
-
 def shingle_sets(texts: pa.Array) -> list[np.ndarray]:
     """The sorted distinct shingle hashes of each text."""
     codes, offsets, vocabulary = split_words(texts)
@@ -63,7 +57,7 @@ def shingle_sets(texts: pa.Array) -> list[np.ndarray]:
     rolled = np.zeros(len(hashes), np.uint64)
     for k in range(SHINGLE):
         rolled = rolled * BASE + padded[k:k + len(hashes)]
-    rolled = _mixed(rolled)
+    rolled = mixed(rolled)
     out = []
     for a, b in zip(offsets[:-1], offsets[1:]):
         if b - a >= SHINGLE:
@@ -73,7 +67,7 @@ def shingle_sets(texts: pa.Array) -> list[np.ndarray]:
             with np.errstate(over="ignore"):
                 for h in hashes[a:b]:
                     one = one * BASE + h
-            out.append(_mixed(np.array([one], np.uint64)))
+            out.append(mixed(np.array([one], np.uint64)))
         else:
             out.append(np.zeros(0, np.uint64))
     return out
