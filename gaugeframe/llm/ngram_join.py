@@ -153,6 +153,16 @@ def _possible(x: str, y: str) -> Column:
         >= {PERCENT} * ({x}.n + {y}.n)""")
 
 
+def _enough(met: DataFrame) -> DataFrame:
+    """(a, b, na, nb) of the pairs (a, b, na, nb, shingle) that share enough shingles of their
+    prefixes. What they share up to where the first prefix ends lies in both prefixes; beyond
+    that they share no more than what is left of that set."""
+    counted = met.groupBy("a", "b", "na", "nb").agg(F.count(F.lit(1)).alias("c"))
+    rest = f"({PERCENT} * greatest(na, nb) + 99) DIV 100 - 1"
+    need = f"({PERCENT} * (na + nb) + {99 + PERCENT}) DIV {100 + PERCENT}"
+    return counted.filter(f"c + {rest} >= {need}").drop("c")
+
+
 def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row of ``docs``: its id, fp (a hash of its text), n_shingles, component_id, the
     smallest id that it reaches by links, and group, a number of its component (null for an empty
@@ -185,7 +195,7 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                     count = often[(held & np.uint64(BUCKETS - 1)).astype(np.int64)]
                     first = np.argsort(count, kind="stable")[:n - -(-PERCENT * n // 100) + 1]
                     split = count[first] // SPLIT_ROWS + 1
-                    parts.append((held[first].view(np.int64), (node & 0x7FFFFFFF) % split,
+                    parts.append((held[first].view(np.int64), np.where(split > 1, 1 + (node & 0x7FFFFFFF) % split, 0),
                                   np.full(len(first), node), (n << 32) + np.arange(len(first))))
                 if parts:
                     columns = [np.concatenate(c) for c in zip(*parts)]
@@ -272,30 +282,32 @@ def _relabel(grouped: DataFrame, roots: DataFrame) -> DataFrame:
 
 
 def _star_pairs(grouped: DataFrame, turn: int) -> DataFrame:
-    """Each class with one leader of every shingle it shares, where the two are not yet one
-    component and can reach the threshold. The leader is another one in each round."""
+    """Each class with the leaders of shingles it shares, where the two are not yet one component
+    and share enough of the shingles that one leads. The leader is another one in each round."""
     rank = F.xxhash64("node", F.lit(turn))
     lead = grouped.groupBy("shingle").agg(F.min(F.struct(rank.alias("rank"), "node", "n", "i", "comp")).alias("l"))
     met = grouped.alias("y").join(lead.select("shingle", "l.*").alias("x"), "shingle")
     met = met.filter((F.col("x.comp") != F.col("y.comp")) & _possible("x", "y"))
-    return met.select(F.col("x.node").alias("a"), F.col("y.node").alias("b"), F.col("x.n").alias("na"),
-                      F.col("y.n").alias("nb")).distinct()
+    return _enough(met.select(F.col("x.node").alias("a"), F.col("y.node").alias("b"), F.col("x.n").alias("na"),
+                              F.col("y.n").alias("nb")))
 
 
 def _cross_pairs(grouped: DataFrame) -> DataFrame:
-    """All pairs of classes that share a shingle, lie in different components and can reach the
-    threshold. Members of a shingle's largest component do not meet each other."""
+    """All pairs of classes that share enough shingles of their prefixes and lie in different
+    components. Members of a shingle's largest component do not meet each other."""
     held = grouped.groupBy("shingle", "comp").agg(F.count(F.lit(1)).alias("size"))
     most = held.groupBy("shingle").agg(F.max_by("comp", F.struct("size", "comp")).alias("most"))
-    rest = grouped.join(most, "shingle").filter(F.col("comp") != F.col("most")).drop("most")
+    rest = grouped.join(most, "shingle").filter(F.col("comp") != F.col("most"))
     met = rest.alias("x").join(grouped.alias("y"), "shingle")
-    met = met.filter((F.col("x.comp") != F.col("y.comp")) & _possible("x", "y"))
+    # Two that are both outside the largest component meet twice; one time counts.
+    once = (F.col("y.comp") == F.col("x.most")) | (F.col("x.node") < F.col("y.node"))
+    met = met.filter((F.col("x.comp") != F.col("y.comp")) & once & _possible("x", "y"))
     low = F.col("x.node") < F.col("y.node")
-    return met.select(
+    return _enough(met.select(
         F.when(low, F.col("x.node")).otherwise(F.col("y.node")).alias("a"),
         F.when(low, F.col("y.node")).otherwise(F.col("x.node")).alias("b"),
         F.when(low, F.col("x.n")).otherwise(F.col("y.n")).alias("na"),
-        F.when(low, F.col("y.n")).otherwise(F.col("x.n")).alias("nb")).distinct()
+        F.when(low, F.col("y.n")).otherwise(F.col("x.n")).alias("nb")))
 
 
 def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
