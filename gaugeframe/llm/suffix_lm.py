@@ -1,16 +1,22 @@
 """Language-model scoring with a probabilistic suffix tree over bytes.
 
 The text with A-Z lower-cased, as UTF-8 bytes with an end symbol, is predicted byte by byte.
-States are contexts of 0 to ``DEPTH`` bytes. A context is a candidate if it makes up at least
-``P_MIN`` of all training symbols, which bounds the tree whatever the corpus is. It is retained if
-its next-symbol distribution diverges from that of its suffix (count times Kullback-Leibler
-divergence of at least ``GAIN`` nats), or if a longer retained context ends with it. A state's
-distribution is smoothed with that of the next shorter state, by the number of different symbols
-seen (Witten-Bell); each byte is scored by the longest retained suffix of what comes before it.
+States are contexts of 0 to ``DEPTH`` bytes. A context is a candidate if it was seen ``LEAST``
+times in training, so the tree grows with the corpus. Candidates of up to ``SHORT`` bytes are
+retained; a longer one is if its next-symbol distribution diverges from that of its suffix (count
+times Kullback-Leibler divergence of at least ``GAIN`` nats), or if a longer retained context ends
+with it. A state's distribution is smoothed with that of the next shorter state, by the number of
+different symbols seen (Witten-Bell); each byte is scored by the longest retained suffix of what
+comes before it.
+
+No task holds the tree. Bounded chunks of documents are listed as their distinct codes (context
+and symbol) with training counts, and these lists are cut into ranges of the last ``SHORT`` + 1
+bytes of context. Contexts that end alike fall in one range, so each range grows its part of the
+tree, from the counts of all chunks, and looks up the codes of each chunk there.
 
 Beside it stands the base: add-one unigram probabilities of words ``[^\\x20\\x09-\\x0D]+`` and an
-end token. Word counts are joined to the words of bounded chunks of documents, so that a task
-holds the counts of its own words only.
+end token. Word counts are joined to the words of the same chunks, so that a task holds the
+counts of its own words only.
 
 A null text is empty and has the end symbol alone. Rows with equal ids are scored each for
 itself. Without training rows every probability is uniform. An empty table gives an empty result.
@@ -32,12 +38,15 @@ from .shared import written
 from .text import blocks, split_words, text_column
 
 DEPTH = 6
-P_MIN = 2e-6
+SHORT = 2
+LEAST = 20
 GAIN = 8.0
 SYMBOLS = 257  # 256 byte values and the end
 EDGE = 0xFF  # never in UTF-8: the end symbol, and what stands before a text
 CHUNK_BYTES = 8 << 20
 BLOCK = 2 << 20
+RANGE_CODES = 1 << 20  # codes of all chunks in a range, about
+SAMPLES = 256  # codes of a chunk that place the ranges
 
 
 def codes_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -64,28 +73,44 @@ def codes_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return code[~starts], sizes + 1
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(code, n), each code once a task as far as ``limit`` codes fit."""
-    limit, codes, counts = 4 << 20, np.zeros(0, np.uint64), np.zeros(0, np.int64)
+def pack(numbers: np.ndarray) -> bytes:
+    """8-byte numbers, compressed byte place by byte place."""
+    planes = np.ascontiguousarray(numbers.view(np.uint8).reshape(-1, 8).T)
+    return len(numbers).to_bytes(8, "little") + pa.compress(planes.tobytes(), "zstd", asbytes=True)
 
-    def packed():
-        return pa.RecordBatch.from_arrays([pa.array(codes.view(np.int64)), pa.array(counts)], names=["code", "n"])
 
-    for batch in batches:
-        for block in blocks(batch, "text", BLOCK):
-            found = np.sort(codes_of(text_column(block, "text"))[0])
-            first = np.flatnonzero(np.r_[True, found[1:] != found[:-1]])
-            n = np.diff(np.r_[first, len(found)])
-            both, more = np.r_[codes, found[first]], np.r_[counts, n]
-            order = np.argsort(both, kind="stable")
-            both, more = both[order], more[order]
-            first = np.flatnonzero(np.r_[True, both[1:] != both[:-1]])
-            codes, counts = both[first], np.add.reduceat(more, first)
-            if len(codes) > limit:
-                yield packed()
-                codes, counts = codes[:0], counts[:0]
-    if len(codes):
-        yield packed()
+def unpack(packed: bytes, kind) -> np.ndarray:
+    n = int.from_bytes(packed[:8], "little")
+    planes = np.frombuffer(pa.decompress(packed[8:], 8 * n, "zstd", asbytes=True), np.uint8)
+    return np.ascontiguousarray(planes.reshape(8, n).T).view(kind).reshape(-1)
+
+
+def distinct_codes(texts: pa.Array, learned: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct codes of texts, in order, and how often each is in those learned from."""
+    marked = []
+    for block in blocks(pa.RecordBatch.from_arrays([texts, pa.array(learned)], names=["text", "learned"]),
+                        "text", BLOCK):
+        codes, sizes = codes_of(text_column(block, "text"))
+        flags = np.repeat(block.column("learned").to_numpy(zero_copy_only=False), sizes)
+        marked.append(codes << np.uint64(1) | flags.astype(np.uint64))
+    marked = np.sort(np.concatenate(marked) if marked else np.zeros(0, np.uint64))
+    codes = marked >> np.uint64(1)
+    first = np.flatnonzero(np.r_[True, codes[1:] != codes[:-1]]) if len(codes) else np.zeros(0, int)
+    n = np.add.reduceat((marked & np.uint64(1)).astype(np.int64), first) if len(first) else np.zeros(0, np.int64)
+    return codes[first], n
+
+
+def added(codes: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct codes in order, with the sums of their counts."""
+    order = np.argsort(codes, kind="stable")
+    codes, n = codes[order], n[order]
+    first = np.flatnonzero(np.r_[True, codes[1:] != codes[:-1]]) if len(codes) else np.zeros(0, int)
+    return codes[first], np.add.reduceat(n, first) if len(first) else n
+
+
+def shorter(codes: np.ndarray) -> np.ndarray:
+    """Codes without the earliest byte: the lowest of the context, above the symbol."""
+    return codes >> np.uint64(16) << np.uint64(8) | codes & np.uint64(0xFF)
 
 
 class SuffixTree:
@@ -120,112 +145,234 @@ class SuffixTree:
             p[alive] = (seen + kinds * p[alive]) / (self.totals[k][at] + kinds)
         return np.log10(p)
 
-    def score(self, texts: pa.Array) -> np.ndarray:
-        """log10 probability of each text."""
-        codes, sizes = codes_of(texts)
-        if not len(sizes):
-            return np.zeros(0)
-        order = np.argsort(codes)  # equal contexts are looked up once
-        ordered = codes[order]
-        first = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]])
-        logs = np.empty(len(codes))
-        logs[order] = np.repeat(self.log10_probs(ordered[first]), np.diff(np.r_[first, len(codes)]))
-        return np.add.reduceat(logs, np.cumsum(sizes) - sizes)
-
-
-def fit_suffix_tree(texts: DataFrame, p_min: float = P_MIN, gain: float = GAIN) -> SuffixTree:
-    """A tree from all texts of a DataFrame with the column ``text``. It has at most 1 / p_min
-    contexts of each length, so it may be held by every task."""
-    deepest = texts.select("text").mapInArrow(_count, "code bigint, n bigint").groupBy("code").agg(
-        F.sum("n").alias("n"))
-    levels = {DEPTH: written(deepest, "contexts")}
-    # Without its earliest byte: the lowest of the context, above the symbol.
-    shorter = F.shiftleft(F.shiftrightunsigned("code", 16), 8).bitwiseOR(F.col("code").bitwiseAND(F.lit(0xFF)))
-    for k in range(DEPTH - 1, -1, -1):
-        levels[k] = written(levels[k + 1].groupBy(shorter.alias("code")).agg(F.sum("n").alias("n")), "contexts")
-    symbols = levels[0].agg(F.sum("n")).first()[0] or 0
-    least = max(1, math.ceil(p_min * symbols))
-
-    def totals(level: DataFrame) -> DataFrame:
-        return level.groupBy(F.shiftrightunsigned("code", 8).alias("context")).agg(F.sum("n").alias("total"))
-
-    kept: dict[int, DataFrame] = {}
-    below = None  # contexts that a retained longer one ends with
-    for k in range(DEPTH, 0, -1):
-        mine = levels[k].withColumn("context", F.shiftrightunsigned("code", 8)).join(
-            totals(levels[k]).filter(F.col("total") >= least), "context")
-        parent = levels[k - 1].select(F.col("code").alias("short"), F.col("n").alias("short_n"),
-                                      F.shiftrightunsigned("code", 8).alias("short_context"))
-        parent = parent.join(totals(levels[k - 1]).select(F.col("context").alias("short_context"),
-                                                          F.col("total").alias("short_total")), "short_context")
-        both = mine.withColumn("short", shorter).join(parent, "short")
-        ratio = F.log(F.col("n") / F.col("total") / (F.col("short_n") / F.col("short_total")))
-        tested = both.groupBy("context").agg(F.sum(F.col("n") * ratio).alias("gain")).filter(
-            F.col("gain") >= gain).select("context")
-        if below is not None:
-            tested = tested.union(below).distinct()
-        retained = written(tested, "retained")
-        kept[k] = mine.join(retained, "context", "left_semi").select("code", "n")
-        below = retained.select(F.shiftrightunsigned("context", 8).alias("context")).distinct()
-    kept[0] = levels[0].select("code", "n")
-    out = []
-    for k in range(DEPTH + 1):
-        table = kept[k].orderBy("code").toArrow()
-        out.append((table["code"].to_numpy().astype(np.uint64), table["n"].to_numpy().astype(np.int64)))
-    return SuffixTree(out)
+
+def score_block(texts: pa.Array, listed: np.ndarray, logs: np.ndarray) -> np.ndarray:
+    """log10 probability of each text, from the log10 probabilities of the listed codes."""
+    codes, sizes = codes_of(texts)
+    if not len(sizes):
+        return np.zeros(0)
+    order = np.argsort(codes)  # equal contexts are looked up once
+    ordered = codes[order]
+    first = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]])
+    each = np.empty(len(codes))
+    each[order] = np.repeat(logs[np.searchsorted(listed, ordered[first])], np.diff(np.r_[first, len(codes)]))
+    return np.add.reduceat(each, np.cumsum(sizes) - sizes)
+
+
+def grow(deepest: tuple[np.ndarray, np.ndarray], short: list[tuple[np.ndarray, np.ndarray]],
+         least: int, gain: float) -> SuffixTree:
+    """The tree of one range: from the counts of its codes, and those of all codes of up to
+    ``SHORT`` bytes that end in it."""
+    levels = {DEPTH: deepest, **dict(enumerate(short))}
+    for k in range(DEPTH - 1, SHORT, -1):
+        levels[k] = added(shorter(levels[k + 1][0]), levels[k + 1][1])
+    out, below = [], np.zeros(0, np.uint64)  # contexts that a retained longer one ends with
+    for k in range(DEPTH, -1, -1):
+        codes, n = levels[k]
+        whole = SuffixTree([(codes, n)])
+        contexts, totals = whole.contexts[0], whole.totals[0]
+        at = np.searchsorted(contexts, codes >> np.uint64(8))
+        if k > SHORT and len(codes):
+            parent = SuffixTree([levels[k - 1]])
+            short_code = shorter(codes)
+            short_n = parent.counts[0][np.searchsorted(parent.codes[0], short_code)]
+            short_total = parent.totals[0][np.searchsorted(parent.contexts[0], short_code >> np.uint64(8))]
+            ratio = np.log(n / totals[at] / (short_n / short_total))
+            kept = (totals >= least) & ((np.bincount(at, n * ratio, len(contexts)) >= gain) | np.isin(contexts, below))
+            below = np.unique(contexts[kept] >> np.uint64(8))
+        else:
+            kept = (totals >= least) | (k == 0)
+        out.append((codes[kept[at]], n[kept[at]]))
+    return SuffixTree(out[::-1])
+
+
+def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The last SHORT + 1 bytes of context of evenly spaced codes of each chunk."""
+    for batch in batches:
+        for packed in batch.column("codes"):
+            codes = unpack(packed.as_py(), np.uint64)
+            at = np.linspace(0, len(codes) - 1, min(SAMPLES, len(codes))).astype(int)
+            yield pa.RecordBatch.from_arrays([pa.array(_endings(codes[at]))], names=["ending"])
+
+
+def _endings(codes: np.ndarray) -> np.ndarray:
+    return (codes >> np.uint64(8 * (DEPTH - SHORT))).astype(np.int64)
+
+
+def _short_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(code, n) of the codes of ``SHORT`` bytes that were learned, per chunk."""
+    for batch in batches:
+        for packed, counted in zip(batch.column("codes"), batch.column("seen")):
+            codes, n = unpack(packed.as_py(), np.uint64), unpack(counted.as_py(), np.int64)
+            codes, n = codes[n > 0], n[n > 0]
+            head = codes >> np.uint64(8 * (DEPTH + 1 - SHORT)) << np.uint64(8)
+            codes, n = added(head | codes & np.uint64(0xFF), n)
+            yield pa.RecordBatch.from_arrays([pa.array(codes.astype(np.int64)), pa.array(n)], names=["code", "n"])
+
+
+def _ranges(parts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(part, chunk, codes, seen): the codes of each chunk cut into ranges; and (part, level,
+    code, n): the learned codes of up to ``SHORT`` bytes that end in each range."""
+    total = parts.agg(F.sum("m")).first()[0] or 0
+    count = -(-total // RANGE_CODES)
+    bounds = np.zeros(0, np.int64)
+    if count > 1:
+        ends = parts.select("codes").mapInArrow(_sampled, "ending bigint").agg(F.percentile_approx(
+            "ending", [i / count for i in range(1, count)], 10 * max(1000, count))).first()[0]
+        bounds = np.unique(ends)
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for chunk, packed, counted in zip(*[batch.column(c) for c in ("chunk", "codes", "seen")]):
+                codes, n = unpack(packed.as_py(), np.uint64), unpack(counted.as_py(), np.int64)
+                at = np.r_[0, np.searchsorted(_endings(codes), bounds, "right"), len(codes)]
+                used = np.flatnonzero(at[1:] > at[:-1])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(used, pa.int64()), pa.array(np.full(len(used), chunk.as_py()), pa.int64()),
+                     *[pa.array([pack(x[at[i]:at[i + 1]]) for i in used], pa.binary()) for x in (codes, n)]],
+                    names=["part", "chunk", "codes", "seen"])
+
+    short = written(parts.select("codes", "seen").mapInArrow(_short_counts, "code bigint, n bigint")
+                    .groupBy("code").agg(F.sum("n").alias("n")), "short-contexts")
+    levels = short.withColumn("level", F.lit(SHORT))
+    for k in range(SHORT - 1, -1, -1):
+        context = F.shiftright("code", 8 * (SHORT + 1 - k))
+        levels = levels.unionByName(short.groupBy(F.shiftleft(context, 8).bitwiseOR(
+            F.col("code").bitwiseAND(F.lit(0xFF))).alias("code")).agg(F.sum("n").alias("n")).withColumn("level", F.lit(k)))
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            level, context = batch.column("level").to_numpy(), batch.column("code").to_numpy() >> 8
+            wide = 8 * (SHORT + 1 - level)
+            ends = [np.searchsorted(bounds, e, "right") for e in (context << wide, ((context + 1) << wide) - 1)]
+            yield pa.RecordBatch.from_arrays([pa.array(ends[0]), pa.array(ends[1]), *batch.columns],
+                                             names=["low", "high", *batch.schema.names])
+
+    placed = levels.select("level", "code", "n").mapInArrow(
+        place, "low bigint, high bigint, level int, code bigint, n bigint")
+    placed = placed.select(F.explode(F.sequence("low", "high")).alias("part"), "level", "code", "n")
+    return parts.select("chunk", "codes", "seen").mapInArrow(
+        cut, "part bigint, chunk bigint, codes binary, seen binary"), placed
+
+
+def _grown(lists: pa.Table, short: pa.Table, least: int, gain: float) -> tuple[SuffixTree, list[np.ndarray], np.ndarray]:
+    """The tree of a range, the codes of each chunk in it, and all of its codes."""
+    codes = [unpack(x.as_py(), np.uint64) for x in lists["codes"]]
+    seen = [unpack(x.as_py(), np.int64) for x in lists["seen"]]
+    known, n = added(np.concatenate(codes), np.concatenate(seen))
+    level, code, count = [short[c].to_numpy() for c in ("level", "code", "n")]
+    above = [added(code[level == k].astype(np.uint64), count[level == k]) for k in range(SHORT + 1)]
+    return grow((known[n > 0], n[n > 0]), above, least, gain), codes, known
+
+
+def _listed(dealt: DataFrame) -> DataFrame:
+    """(chunk, m, codes, seen, words, counts) per chunk of (chunk, train, text): its distinct codes,
+    how many, and its words, both with their counts in what is learned from."""
+    def gather(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        text = table["text"].cast(pa.large_string()).combine_chunks()
+        learned = table["train"].to_numpy()
+        codes, offsets, vocabulary = split_words(text)
+        owned = np.repeat(learned, np.diff(offsets))
+        n = np.bincount(codes[owned], minlength=len(vocabulary)) if len(codes) else np.zeros(0, int)
+        found, seen = distinct_codes(text, learned)
+        return pa.table({"chunk": table["chunk"][:1], "m": pa.array([len(found)], pa.int64()),
+                         "codes": pa.array([pack(found)], pa.binary()), "seen": pa.array([pack(seen)], pa.binary()),
+                         "words": pa.array([vocabulary.cast(pa.string())], pa.list_(pa.string())),
+                         "counts": pa.array([n], pa.list_(pa.int64()))})
+
+    return written(dealt.groupBy("chunk").applyInArrow(
+        gather, "chunk bigint, m bigint, codes binary, seen binary, words array<string>, counts array<bigint>"), "chunks")
+
+
+def fit_suffix_tree(texts: DataFrame, p_min: float | None = None, gain: float = GAIN,
+                    least: int = LEAST) -> SuffixTree:
+    """The whole tree from all texts of a DataFrame with the column ``text``, for small corpora or
+    with a share ``p_min`` of all symbols as the least count, where it has at most 1 / p_min
+    contexts of each length."""
+    text = F.coalesce(F.col("text"), F.lit(""))
+    parts = _listed(texts.select(F.pmod(F.xxhash64(text), F.lit(8)).alias("chunk"), F.lit(True).alias("train"),
+                                 text.alias("text")))
+    lists, short = _ranges(parts)
+    if p_min is not None:
+        least = max(1, math.ceil(p_min * (short.filter("level = 0 AND part = 0").agg(F.sum("n")).first()[0] or 0)))
+
+    def retained(key, lists: pa.Table, short: pa.Table) -> pa.Table:
+        if not lists.num_rows:
+            levels = []
+        else:
+            tree = _grown(lists, short, least, gain)[0]
+            levels = list(enumerate(zip(tree.codes, tree.counts)))
+        return pa.table({"level": pa.array(np.concatenate([np.zeros(0, int), *[np.full(len(c), k) for k, (c, _) in levels]]), pa.int64()),
+                         "code": pa.array(np.concatenate([np.zeros(0, np.int64), *[c.astype(np.int64) for _, (c, _) in levels]])),
+                         "n": pa.array(np.concatenate([np.zeros(0, np.int64), *[n for _, (_, n) in levels]]), pa.int64())})
+
+    table = lists.groupBy("part").cogroup(short.groupBy("part")).applyInArrow(
+        retained, "level bigint, code bigint, n bigint").distinct().orderBy("code").toArrow()
+    level, code, n = [table[c].to_numpy() for c in ("level", "code", "n")]
+    return SuffixTree([(code[level == k].astype(np.uint64), n[level == k]) for k in range(DEPTH + 1)])
 
 
 def score_texts(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str = "text",
-                p_min: float = P_MIN, gain: float = GAIN, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+                least: int = LEAST, gain: float = GAIN, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """Per row of ``docs``: its id, ``train`` as given, n_tokens, n_known, train_tokens,
     base_score and score. The rows where ``train`` is true are learned from."""
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(train, F.lit(False)).alias("train"),
                        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
-    tree = fit_suffix_tree(rows.filter("train"), p_min, gain)
     size = rows.agg(F.sum(F.octet_length("text").cast("bigint")).alias("bytes"),
                     F.count_if("train").alias("ends")).first()
     chunks = max(1, -(-(size["bytes"] or 0) // chunk_bytes))
     dealt = rows.withColumn("chunk", F.pmod(F.xxhash64("id", "text"), F.lit(chunks)))
+    parts = _listed(dealt.select("chunk", "train", "text"))
 
-    def words(table: pa.Table) -> pa.Table:
-        table = table.combine_chunks()
-        codes, offsets, vocabulary = split_words(table["text"].cast(pa.large_string()).combine_chunks())
-        learned = np.repeat(table["train"].to_numpy(), np.diff(offsets))
-        n = np.bincount(codes[learned], minlength=len(vocabulary)) if len(codes) else np.zeros(0, int)
-        return pa.table({"chunk": pa.repeat(table["chunk"][0], len(vocabulary)),
-                         "word": vocabulary.cast(pa.string()), "n": pa.array(n, pa.int64())})
-
-    held = written(dealt.groupBy("chunk").applyInArrow(words, "chunk bigint, word string, n bigint"), "chunk-words")
+    held = parts.select("chunk", F.inline(F.arrays_zip(F.col("words").alias("word"), F.col("counts").alias("n"))))
     counts = written(held.filter("n > 0").groupBy("word").agg(F.sum("n").alias("c")), "word-counts")
     whole = counts.agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).first()
     ends = size["ends"] or 0
     tokens = (whole["n"] or 0) + ends
     distinct = whole["v"] + (1 if ends else 0)
     per_chunk = held.select("chunk", "word").join(counts, "word").select("chunk", "word", "c")
-    sent = docs.sparkSession.sparkContext.broadcast(list(zip(tree.codes, tree.counts)))
+
+    def look_up(key, lists: pa.Table, short: pa.Table) -> pa.Table:
+        if not lists.num_rows:
+            return pa.table({"chunk": pa.array([], pa.int64()), "part": pa.array([], pa.int64()),
+                             "logs": pa.array([], pa.binary())})
+        tree, codes, known = _grown(lists, short, least, gain)
+        logs = tree.log10_probs(known)
+        return pa.table({"chunk": lists["chunk"], "part": lists["part"], "logs": pa.array(
+            [pack(logs[np.searchsorted(known, c)]) for c in codes], pa.binary())})
+
+    lists, short = _ranges(parts)
+    logs = lists.groupBy("part").cogroup(short.groupBy("part")).applyInArrow(
+        look_up, "chunk bigint, part bigint, logs binary")
+    answers = logs.unionByName(per_chunk, allowMissingColumns=True)
 
     def score(key, table: pa.Table, known: pa.Table) -> pa.Table:
         if not table.num_rows:
             return pa.table({n: pa.array([], t) for n, t in fields.items()})
-        model = SuffixTree(sent.value)
         text = table["text"].cast(pa.large_string()).combine_chunks()
         codes, offsets, vocabulary = split_words(text)
-        at = pc.fill_null(pc.index_in(vocabulary, value_set=known["word"].cast(pa.large_string())), -1)
-        c = np.r_[known["c"].to_numpy(), 0][at.to_numpy()]
+        words = known.filter(pc.is_null(known["part"]))
+        at = pc.fill_null(pc.index_in(vocabulary, value_set=words["word"].cast(pa.large_string())), -1)
+        c = np.r_[words["c"].to_numpy(), 0][at.to_numpy()]
         n_tokens = np.diff(offsets) + 1
         owner = np.repeat(np.arange(len(n_tokens)), n_tokens - 1)
         n_known = np.bincount(owner, (c > 0)[codes], len(n_tokens)).astype(np.int64) + (1 if ends else 0)
         base = np.bincount(owner, np.log10(c + 1.0)[codes], len(n_tokens)) + math.log10(ends + 1) - n_tokens * math.log10(tokens + distinct + 1)
+        # The ranges in order have the chunk's distinct codes in order.
+        found = known.filter(pc.is_valid(known["part"])).sort_by("part")
+        logs = np.concatenate([unpack(x.as_py(), np.float64) for x in found["logs"]])
+        listed = distinct_codes(text, np.zeros(len(text), bool))[0]
         batch = pa.RecordBatch.from_arrays([text], names=["text"])
-        scores = np.concatenate([model.score(text_column(b, "text")) for b in blocks(batch, "text", BLOCK)])
+        scores = np.concatenate([score_block(text_column(b, "text"), listed, logs) for b in blocks(batch, "text", BLOCK)])
         out = [table["id"].combine_chunks(), table["train"].combine_chunks(), pa.array(n_tokens),
                pa.array(n_known), pa.array(np.full(len(n_tokens), tokens)), pa.array(base), pa.array(scores)]
         return pa.table(dict(zip(fields, out)))
 
     fields = {"id": pa.null(), "train": pa.bool_(), "n_tokens": pa.int64(), "n_known": pa.int64(),
               "train_tokens": pa.int64(), "base_score": pa.float64(), "score": pa.float64()}
-    scored = dealt.groupBy("chunk").cogroup(per_chunk.groupBy("chunk")).applyInArrow(
+    scored = dealt.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(
         score, f"id {kind}, train boolean, n_tokens bigint, n_known bigint, train_tokens bigint, "
                "base_score double, score double")
     return scored.withColumnRenamed("id", id_col)

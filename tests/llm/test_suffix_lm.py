@@ -56,3 +56,23 @@ def test_tree_is_a_distribution_of_longest_suffixes(spark):
     codes, sizes = codes_of(pa.array(["Ab", ""], pa.large_string()))
     assert sizes.tolist() == [3, 1]
     assert [int(c) & 255 for c in codes] == [97, 98, EDGE, EDGE] and int(codes[1]) >> 48 == 97
+
+
+def test_contexts_grow_with_the_corpus_and_ranges_agree(spark, monkeypatch):
+    import random
+
+    from gaugeframe.llm import suffix_lm
+
+    rng = random.Random(3)
+    texts = [" ".join(rng.choice("abcdefghijklmnop") * 2 + rng.choice("xyz") for _ in range(30)) for _ in range(400)]
+    df = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], SCHEMA)
+    few, many = (fit_suffix_tree(df.filter(F.col("doc_id") < n), gain=0.0) for n in (40, 400))
+    assert len(many.contexts[4]) > 1.5 * len(few.contexts[4])
+    assert min(t.min() for t in many.totals[1:]) >= suffix_lm.LEAST
+    # In many ranges and chunks, scores are those of the whole tree.
+    monkeypatch.setattr(suffix_lm, "RANGE_CODES", 500)
+    tree = fit_suffix_tree(df.filter("doc_id % 2 = 0"))
+    got = {r.doc_id: r.score for r in score_texts(df, F.col("doc_id") % 2 == 0, chunk_bytes=9000).collect()}
+    codes, sizes = codes_of(pa.array(texts, pa.large_string()))
+    want = np.add.reduceat(tree.log10_probs(codes), np.cumsum(sizes) - sizes)
+    assert np.allclose([got[i] for i in range(400)], want)
