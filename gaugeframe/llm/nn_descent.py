@@ -2,7 +2,9 @@
 
 Nearness is the inner product. For the graph, vectors are lifted to equal length (one more
 coordinate), where a larger inner product is a smaller distance, and held with 8 bits a
-coordinate; scores of search results are computed in double precision from the vectors as given.
+coordinate and a scale for each vector, so that a long vector costs short ones no precision;
+distances take the added coordinate from the lengths. Searches begin at the query and at the
+longest vectors. Scores of search results are computed in double precision from the vectors as given.
 
 Equal vectors are one node with its smallest ids, as many as any result can need. First neighbours
 come from blocks of neighbouring nodes in a few random orders (sign patterns of random
@@ -42,7 +44,7 @@ STOP = 0.02  # share of neighbours that change
 POOL = 64
 EXPAND = 16  # nodes of its pool that a query expands in a step
 STEPS = 16
-ENTRIES = 32  # where a search begins whose query is no node
+ENTRIES = 32  # longest nodes, where every search begins, and others if its query is no node
 
 
 @dataclass
@@ -52,6 +54,7 @@ class Index:
     nodes: DataFrame
     graph: DataFrame
     size: int
+    longest: list[int]
 
 
 def _matrix(column: pa.Array, kind) -> np.ndarray:
@@ -85,37 +88,52 @@ def packed_vectors(table: DataFrame, id_col: str, vec_col: str) -> DataFrame:
     return rows.filter(F.size("v") == width).filter(F.lit(width > 0)).mapInArrow(pack, "id bigint, vec binary")
 
 
-def _lifted(nodes: DataFrame) -> DataFrame:
-    """(node, small): the lifted vector with 8 bits a coordinate."""
+def _small(nodes: DataFrame) -> DataFrame:
+    """(node, small, length): 8 bits a coordinate after the scale of the vector (8 bytes), where
+    the longest vector of all has length 1; and the length."""
     def longest(batches):
         for batch in batches:
             x = _matrix(batch.column("vec"), np.float32).astype(float)
             if len(x):
-                yield pa.RecordBatch.from_arrays([pa.array([float((x * x).sum(1).max())]),
-                                                  pa.array([float(np.abs(x).max())])], names=["square", "top"])
+                yield pa.RecordBatch.from_arrays([pa.array([float(_lengths(x).max())])], names=["length"])
 
-    most = nodes.select("vec").mapInArrow(longest, "square double, top double").agg(
-        F.max("square").alias("square"), F.max("top").alias("top")).first()
-    square, top = most["square"] or 1.0, most["top"] or 1.0
+    most = nodes.select("vec").mapInArrow(longest, "length double").agg(F.max("length")).first()[0] or 1.0
 
-    def lift(batches):
+    def reduce(batches):
         for batch in batches:
             x = _matrix(batch.column("vec"), np.float32).astype(float)
             if not len(x):
                 continue
-            more = np.sqrt(np.maximum(square - (x * x).sum(1), 0))
-            # The added coordinate may be larger than the others; it is split to keep the scale.
-            parts = max(1, int(np.ceil(np.sqrt(square) / top)) ** 2)
-            parts = min(parts, 16)
-            extra = np.repeat((more / np.sqrt(parts))[:, None], parts, 1)
-            y = np.c_[x, extra] if more.max() > 1e-3 * np.sqrt(square) else x
-            y = np.pad(y, ((0, 0), (0, x.shape[1] + parts - y.shape[1])))
-            scale = 127 / max(top, float(np.sqrt(square / parts)))
-            small = np.clip(np.rint(y * scale), -127, 127).astype(np.int8)
+            top = np.abs(x).max(1)
+            small = np.rint(x / top[:, None] * 127).astype(np.int8)
+            scales = top / most / 127
             yield pa.RecordBatch.from_arrays(
-                [batch.column("node"), pa.array([s.tobytes() for s in small], pa.binary())], names=["node", "small"])
+                [batch.column("node"), pa.array([c.tobytes() + s.tobytes() for c, s in zip(scales, small)], pa.binary()),
+                 pa.array(_lengths(x) / most)], names=["node", "small", "length"])
 
-    return nodes.select("node", "vec").mapInArrow(lift, "node bigint, small binary")
+    return nodes.select("node", "vec").mapInArrow(reduce, "node bigint, small binary, length double")
+
+
+def _lengths(x: np.ndarray) -> np.ndarray:
+    top = np.abs(x).max(1)
+    return np.sqrt(np.square(x / top[:, None]).sum(1)) * top
+
+
+def _scaled(column) -> tuple[np.ndarray, np.ndarray]:
+    """Coordinates of 8 bits, as float32, and the scale of each vector."""
+    held = np.frombuffer(b"".join(column), np.int8).reshape(len(column), -1)
+    return held[:, 8:].astype(np.float32), np.ascontiguousarray(held[:, :8]).view(np.float64).reshape(-1)
+
+
+def _similar(column) -> np.ndarray:
+    """Minus the squared distance of lifted vectors, of each to each."""
+    x, scales = _scaled(column)
+    inner = (x @ x.T) * scales[:, None] * scales
+    square = np.diag(inner).copy()
+    extra = np.sqrt(np.maximum(1 - square, 0))
+    # The difference of the added coordinates, from that of the squares where it is small.
+    apart = (square - square[:, None]) / np.maximum(extra + extra[:, None], 1e-9)
+    return -(np.maximum(square + square[:, None] - 2 * inner, 0) + apart * apart).astype(np.float32)
 
 
 def _ordered(small: DataFrame, size: int) -> DataFrame:
@@ -125,9 +143,9 @@ def _ordered(small: DataFrame, size: int) -> DataFrame:
     def place(batches):
         planes = None
         for batch in batches:
-            x = _matrix(batch.column("small"), np.int8).astype(np.float32)
-            if not len(x):
+            if not batch.num_rows:
                 continue
+            x = _scaled(batch.column("small").to_pylist())[0]
             if planes is None:
                 planes = np.random.default_rng(0).normal(size=(ORDERS, x.shape[1], bits)).astype(np.float32)
             for turn in range(ORDERS):
@@ -159,8 +177,7 @@ def _offers(nodes, others, sims, old: bool) -> pa.RecordBatch:
 def _meet_in_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The nearest of each node within its block of an order."""
     def best(ids, held):
-        x = np.frombuffer(b"".join(held), np.int8).reshape(len(held), -1).astype(np.float32)
-        sims = x @ x.T
+        sims = _similar(held)
         np.fill_diagonal(sims, -np.inf)
         n = min(FIRST, len(ids) - 1)
         top = np.argpartition(-sims, n - 1, axis=1)[:, :n]
@@ -218,10 +235,9 @@ def _meet_at_host(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         for guests in batch.column("guests"):
             guests = guests.as_py()
             ids = np.array([g["node"] for g in guests])
-            x = np.frombuffer(b"".join(g["small"] for g in guests), np.int8).reshape(len(ids), -1).astype(np.float32)
             worst = np.array([g["worst"] for g in guests], np.float32)
             new = np.array([g["new"] for g in guests])
-            sims = x @ x.T
+            sims = _similar([g["small"] for g in guests])
             good = (sims > worst[:, None]) & (new[:, None] | new[None, :]) & (ids[:, None] != ids[None, :])
             for i in np.flatnonzero(good.any(1)):
                 nodes.append(ids[i])
@@ -245,7 +261,9 @@ def build_index(table: DataFrame, id_col: str = "vec_id", vec_col: str = "embedd
     nodes = kept.groupBy("vec").agg(F.sort_array(F.collect_list("id")).alias("members"))
     nodes = written(nodes.select(F.col("members")[0].alias("node"), "vec", "members"), "nodes")
     size = nodes.count()
-    small = written(_lifted(nodes), "small-vectors")
+    measured = written(_small(nodes), "small-vectors")
+    small = measured.select("node", "small")
+    entries = [r["node"] for r in measured.orderBy(F.desc("length"), "node").limit(ENTRIES).collect()]
     graph = written(_nearest(_ordered(small, size).mapInArrow(_meet_in_blocks, OFFER), k), "graph")
     for _ in range(ROUNDS):
         edges = graph.select("node", F.inline(F.arrays_zip("others", "new"))).withColumnRenamed("others", "other")
@@ -271,7 +289,8 @@ def build_index(table: DataFrame, id_col: str = "vec_id", vec_col: str = "embedd
     back = edges.withColumn("r", F.row_number().over(turn)).filter(F.col("r") <= k)
     both = edges.select("node", "other").unionByName(
         back.select(F.col("other").alias("node"), F.col("node").alias("other")))
-    return Index(nodes, written(both.groupBy("node").agg(F.collect_set("other").alias("near")), "graph"), size)
+    return Index(nodes, written(both.groupBy("node").agg(F.collect_set("other").alias("near")), "graph"), size,
+                 entries)
 
 
 def _inner(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -287,8 +306,10 @@ def search(index: Index, queries: DataFrame, pool: int = POOL) -> DataFrame:
     """(query, node, score) of the nodes seen for each query of (query bigint, q float32 bytes,
     start bigint); ``start`` is a node to begin at, or null."""
     entry = [r["node"] for r in index.nodes.select("node").orderBy(F.xxhash64("node")).limit(ENTRIES).collect()]
-    first = queries.select("query", "q", F.explode(F.when(F.col("start").isNotNull(), F.array("start")).otherwise(
-        F.array(*[F.lit(n) for n in entry]).cast("array<bigint>"))).alias("node"))
+    listed = {k: F.array(*[F.lit(n) for n in v]).cast("array<bigint>") for k, v in
+              (("any", entry), ("long", index.longest))}
+    begin = F.when(F.col("start").isNotNull(), F.array("start")).otherwise(listed["any"])
+    first = queries.select("query", "q", F.explode(F.array_union(begin, listed["long"])).alias("node"))
 
     def scored(pairs: DataFrame) -> DataFrame:
         return pairs.join(index.nodes.select("node", "vec"), "node").select("query", "node", "q", "vec").mapInArrow(

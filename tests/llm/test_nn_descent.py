@@ -57,3 +57,28 @@ def test_search_from_entries(spark, sf_dir):
                                            F.lit(None).cast("bigint").alias("start"))
     best = search(index, queries).groupBy("query").agg(F.max_by("node", "score").alias("node"))
     assert best.filter("query = node").count() >= 18
+
+
+def test_recall_with_uneven_norms_and_more_nodes_than_a_block(spark):
+    rng = np.random.default_rng(5)
+    centres = rng.normal(size=(40, 24))
+    x = centres[rng.integers(0, 40, 4000)] + 0.6 * rng.normal(size=(4000, 24))
+    x = x / np.linalg.norm(x, axis=1)[:, None] * (10 ** rng.uniform(0, 3, 4000))[:, None]
+    x = x.astype(np.float32)
+    df = spark.createDataFrame([(i, v.tolist(), "x") for i, v in enumerate(x)], SCHEMA)
+    # The graph: nearest by distance of vectors lifted to equal length.
+    wide = x.astype(float)
+    square = (wide * wide).sum(1)
+    lifted = np.c_[wide, np.sqrt(square.max() - square)]
+    near = {r.node: set(r.near) for r in build_index(df).graph.collect()}
+    kept = 0
+    for i in range(0, 4000, 40):
+        far = np.square(lifted - lifted[i]).sum(1)
+        far[i] = np.inf
+        kept += len(set(np.argsort(far)[:32].tolist()) & near[i])
+    assert kept / (100 * 32) >= 0.9
+    got, hit = nearest(df, F.col("vec_id") % 40 == 0).toPandas(), 0
+    for q, g in got.groupby("query_id"):
+        hit += len(set(truth(np.arange(4000), wide, q, 20)) & set(g.vec_id))
+    print("graph", kept / 3200, "recall", hit / 2000)
+    assert hit / 2000 >= 0.95
