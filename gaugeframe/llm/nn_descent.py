@@ -49,12 +49,13 @@ ENTRIES = 32  # longest nodes, where every search begins, and others if its quer
 
 @dataclass
 class Index:
-    """Nodes (node, vec float32 bytes, members) and the graph (node, near array<bigint>)."""
+    """Nodes (node, vec bytes of ``kind``, members) and the graph (node, near array<bigint>)."""
 
     nodes: DataFrame
     graph: DataFrame
     size: int
     longest: list[int]
+    kind: type
 
 
 def _matrix(column: pa.Array, kind) -> np.ndarray:
@@ -64,8 +65,14 @@ def _matrix(column: pa.Array, kind) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), kind).reshape(len(column), -1)
 
 
+def component_kind(table: DataFrame, vec_col: str) -> type:
+    """float32 for a column of floats, which it holds as given, else float64."""
+    return np.float32 if table.schema[vec_col].dataType.simpleString() == "array<float>" else np.float64
+
+
 def packed_vectors(table: DataFrame, id_col: str, vec_col: str) -> DataFrame:
-    """(id, vec) of the rows that take part, vectors as float32 bytes."""
+    """(id, vec) of the rows that take part, vectors as bytes of ``component_kind``."""
+    held = component_kind(table, vec_col)
     rows = table.select(F.col(id_col).cast("bigint").alias("id"),
                         F.col(vec_col).cast("array<double>").alias("v")).filter("id IS NOT NULL AND v IS NOT NULL")
     size = rows.groupBy(F.size("v").alias("size")).agg(F.count(F.lit(1)).alias("n")).orderBy(
@@ -78,7 +85,7 @@ def packed_vectors(table: DataFrame, id_col: str, vec_col: str) -> DataFrame:
             for i, v in zip(batch.column("id").to_pylist(), batch.column("v").to_pylist()):
                 if None in v:
                     continue
-                x = np.asarray(v, np.float32) + np.float32(0)  # -0 reads as 0
+                x = np.asarray(v, held) + held(0)  # -0 reads as 0
                 if np.isfinite(x).all() and x.any():
                     ids.append(i)
                     vectors.append(x.tobytes())
@@ -88,12 +95,12 @@ def packed_vectors(table: DataFrame, id_col: str, vec_col: str) -> DataFrame:
     return rows.filter(F.size("v") == width).filter(F.lit(width > 0)).mapInArrow(pack, "id bigint, vec binary")
 
 
-def _small(nodes: DataFrame) -> DataFrame:
+def _small(nodes: DataFrame, kind) -> DataFrame:
     """(node, small, length): 8 bits a coordinate after the scale of the vector (8 bytes), where
     the longest vector of all has length 1; and the length."""
     def longest(batches):
         for batch in batches:
-            x = _matrix(batch.column("vec"), np.float32).astype(float)
+            x = _matrix(batch.column("vec"), kind).astype(float)
             if len(x):
                 yield pa.RecordBatch.from_arrays([pa.array([float(_lengths(x).max())])], names=["length"])
 
@@ -101,7 +108,7 @@ def _small(nodes: DataFrame) -> DataFrame:
 
     def reduce(batches):
         for batch in batches:
-            x = _matrix(batch.column("vec"), np.float32).astype(float)
+            x = _matrix(batch.column("vec"), kind).astype(float)
             if not len(x):
                 continue
             top = np.abs(x).max(1)
@@ -255,13 +262,14 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def build_index(table: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding",
                 k: int = NEIGHBOURS, members: int = RESULTS + 1) -> Index:
     """An index of every row; equal vectors keep their ``members`` smallest ids."""
+    kind = component_kind(table, vec_col)
     rows = packed_vectors(table, id_col, vec_col).distinct()
     rank = Window.partitionBy("vec").orderBy("id")
     kept = rows.withColumn("r", F.row_number().over(rank)).filter(F.col("r") <= members)
     nodes = kept.groupBy("vec").agg(F.sort_array(F.collect_list("id")).alias("members"))
     nodes = written(nodes.select(F.col("members")[0].alias("node"), "vec", "members"), "nodes")
     size = nodes.count()
-    measured = written(_small(nodes), "small-vectors")
+    measured = written(_small(nodes, kind), "small-vectors")
     small = measured.select("node", "small")
     entries = [r["node"] for r in measured.orderBy(F.desc("length"), "node").limit(ENTRIES).collect()]
     graph = written(_nearest(_ordered(small, size).mapInArrow(_meet_in_blocks, OFFER), k), "graph")
@@ -290,20 +298,22 @@ def build_index(table: DataFrame, id_col: str = "vec_id", vec_col: str = "embedd
     both = edges.select("node", "other").unionByName(
         back.select(F.col("other").alias("node"), F.col("node").alias("other")))
     return Index(nodes, written(both.groupBy("node").agg(F.collect_set("other").alias("near")), "graph"), size,
-                 entries)
+                 entries, kind)
 
 
-def _inner(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        q = _matrix(batch.column("q"), np.float32).astype(float)
-        x = _matrix(batch.column("vec"), np.float32).astype(float)
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("query"), batch.column("node"), pa.array((q * x).sum(1) if len(q) else np.zeros(0)),
-             pa.array(np.zeros(len(q), bool))], names=["query", "node", "score", "expanded"])
+def _inner(kind):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            q = _matrix(batch.column("q"), kind).astype(float)
+            x = _matrix(batch.column("vec"), kind).astype(float)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("query"), batch.column("node"), pa.array((q * x).sum(1) if len(q) else np.zeros(0)),
+                 pa.array(np.zeros(len(q), bool))], names=["query", "node", "score", "expanded"])
+    return run
 
 
 def search(index: Index, queries: DataFrame, pool: int = POOL) -> DataFrame:
-    """(query, node, score) of the nodes seen for each query of (query bigint, q float32 bytes,
+    """(query, node, score) of the nodes seen for each query of (query bigint, q as in the nodes,
     start bigint); ``start`` is a node to begin at, or null."""
     entry = [r["node"] for r in index.nodes.select("node").orderBy(F.xxhash64("node")).limit(ENTRIES).collect()]
     listed = {k: F.array(*[F.lit(n) for n in v]).cast("array<bigint>") for k, v in
@@ -313,7 +323,7 @@ def search(index: Index, queries: DataFrame, pool: int = POOL) -> DataFrame:
 
     def scored(pairs: DataFrame) -> DataFrame:
         return pairs.join(index.nodes.select("node", "vec"), "node").select("query", "node", "q", "vec").mapInArrow(
-            _inner, "query bigint, node bigint, score double, expanded boolean")
+            _inner(index.kind), "query bigint, node bigint, score double, expanded boolean")
 
     seen = written(scored(first), "seen")
     best = Window.partitionBy("query").orderBy(F.desc("score"), "node")

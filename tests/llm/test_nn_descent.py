@@ -82,3 +82,10 @@ def test_recall_with_uneven_norms_and_more_nodes_than_a_block(spark):
         hit += len(set(truth(np.arange(4000), wide, q, 20)) & set(g.vec_id))
     print("graph", kept / 3200, "recall", hit / 2000)
     assert hit / 2000 >= 0.95
+
+
+def test_doubles_stay_as_given(spark):
+    rows = [(0, [1.0, 1e-60]), (1, [1.0 + 1e-12, 0.0]), (2, [1e39, 0.0]), (3, [1e-60, 0.0]), (4, [1.0, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    got = [tuple(r) for r in nearest(df, F.col("vec_id") == 0).orderBy("rank").collect()]
+    assert got == [(0, 1, 2, 1e39), (0, 2, 1, 1.0 + 1e-12), (0, 3, 4, 1.0), (0, 4, 3, 1e-60)]
