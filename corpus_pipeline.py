@@ -12,17 +12,18 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeframe.llm.decontaminate import contamination
+from gaugeframe.llm.decontaminate import WINDOW, decontaminate
 from gaugeframe.llm.language_id import fit_language_id, predict_language
 from gaugeframe.llm.line_dedup import dedup_lines
 from gaugeframe.llm.mixing import mix_sources
 from gaugeframe.llm.ngram_join import similar_components
-from gaugeframe.llm.shared import shared_path
+from gaugeframe.llm.shared import shared_path, written
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-#: A document goes if this many of its words, or this share of them, lie in benchmark windows.
-HIT_WORDS, HIT_SHARE = 1, 0.0
+#: A document goes if it holds a full window of a benchmark item, or if this share of its words
+#: lies in items that are shorter than a window.
+SHORT_SHARE = 0.5
 
 
 def same_row(docs: DataFrame, found: DataFrame) -> Column:
@@ -63,11 +64,18 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def remove_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a window of a benchmark item go."""
+    """Documents that hold a full window of a benchmark item go, and those that consist of
+    shorter items by ``SHORT_SHARE``; a short phrase alone is no reason."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text")
-    hit = contamination(docs, items).filter(
-        (F.col("n_hit") >= HIT_WORDS) & (F.col("n_hit") >= HIT_SHARE * F.col("n_words")))
-    hit = hit.select(F.col("id").alias("_id"), F.col("fp").alias("_fp")).distinct()
+    hits, _, lengths = decontaminate(docs, items)
+    hits = written(hits, "hits")
+    full = hits.filter(F.col("span") == WINDOW).select(F.col("id").alias("_id"), F.col("fp").alias("_fp"))
+    short = hits.filter(F.col("span") < WINDOW).select("id", "fp", F.explode(F.sequence(
+        F.col("start"), F.col("start") + F.col("span") - 1)).alias("pos")).distinct()
+    short = short.groupBy(F.col("id").alias("_id"), F.col("fp").alias("_fp")).agg(F.count(F.lit(1)).alias("n_hit"))
+    mostly = short.join(lengths, F.col("id").eqNullSafe(F.col("_id")) & (F.col("fp") == F.col("_fp"))).filter(
+        F.col("n_hit") >= SHORT_SHARE * F.col("n_words"))
+    hit = full.unionByName(mostly.select("_id", "_fp")).distinct()
     return docs.join(hit, same_row(docs, hit), "left_anti")
 
 

@@ -60,3 +60,12 @@ def test_run(spark):
     assert out.join(source, "doc_id", "left_anti").count() == 0
     assert out.columns == [*source.columns, "copy", "mix_order"]
     assert out.agg(F.count("*")).first()[0] > 0.5 * source.count()
+
+
+def test_short_items_take_no_clean_documents(spark, tmp_path):
+    long_item = "one two three four five six seven eight nine ten eleven"
+    spark.createDataFrame([("a", "machine learning"), ("b", long_item)], "item_id string, text string").write.parquet(
+        f"{tmp_path}/benchmark.parquet")
+    texts = ["a clean text about machine learning and much else", "Machine learning!", "before " + long_item + " after"]
+    df = spark.createDataFrame([(i, t, "en", "a", len(t), "x") for i, t in enumerate(texts)], SCHEMA)
+    assert [r.doc_id for r in STAGES["decontaminate"](spark, df, str(tmp_path)).collect()] == [0]
