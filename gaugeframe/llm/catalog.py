@@ -15,10 +15,12 @@ from .nn_descent import op7_nn_descent
 from .quality import op3_quality
 from .secret_scan import op2_secret_scan
 from .suffix_lm import op9_suffix_lm
+from .token_records import op11_token_records
 from .warc import op6_warc
 
 QUERIES = [op1_decontaminate, op2_secret_scan, op3_quality, op4_ngram_join, op5_language_id,
-           op6_warc, op7_nn_descent, op8_line_dedup, op9_suffix_lm, op10_mix_sources]
+           op6_warc, op7_nn_descent, op8_line_dedup, op9_suffix_lm, op10_mix_sources,
+           op11_token_records]
 ORACLES: dict[str, str] = {"op1_decontaminate": OP1_SQL, "op10_mix_sources": OP10_SQL}
 
 
