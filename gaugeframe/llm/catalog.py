@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .decontaminate import OP1_SQL, op1_decontaminate
 from .language_id import op5_language_id
 from .line_dedup import op8_line_dedup
+from .merkle import OP12_SQL, op12_merkle
 from .mixing import OP10_SQL, op10_mix_sources
 from .ngram_join import op4_ngram_join
 from .nn_descent import op7_nn_descent
@@ -20,8 +21,9 @@ from .warc import op6_warc
 
 QUERIES = [op1_decontaminate, op2_secret_scan, op3_quality, op4_ngram_join, op5_language_id,
            op6_warc, op7_nn_descent, op8_line_dedup, op9_suffix_lm, op10_mix_sources,
-           op11_token_records]
-ORACLES: dict[str, str] = {"op1_decontaminate": OP1_SQL, "op10_mix_sources": OP10_SQL}
+           op11_token_records, op12_merkle]
+ORACLES: dict[str, str] = {"op1_decontaminate": OP1_SQL, "op10_mix_sources": OP10_SQL,
+                           "op12_merkle": OP12_SQL}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
