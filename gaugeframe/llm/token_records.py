@@ -19,6 +19,7 @@ give a record each. An empty table gives no file. Ids are bigint; other columns
 from __future__ import annotations
 
 import json
+import re
 import struct
 import uuid
 from collections.abc import Iterator
@@ -36,8 +37,8 @@ from .warc import open_folder
 FILE_BYTES = 256 << 20
 SPLIT_BYTES = 8 << 20
 MAX_TASKS = 50_000
-#: Pieces whose ids a task remembers; beyond it the memory starts afresh.
-KNOWN_PIECES = 1_000_000
+#: Words and pieces whose ids a task remembers; beyond it the memory starts afresh.
+KNOWN_PIECES = 400_000
 END_ID = 2
 FILES = "part int, seq int, path string, bytes bigint, records bigint, ids bigint"
 
@@ -110,6 +111,21 @@ class Crc32c:
 
 # ---- tokenizing
 
+# The normalizer and the splitting of the tokenizers whose words are cut here.
+NORMALIZER = {"type": "Sequence", "normalizers": [
+    {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
+SPLIT = {"type": "Sequence", "pretokenizers": [
+    {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"},
+     "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
+#: Words of printable ASCII without apostrophe and of Latin letters that lower-case to one such
+#: letter; what these tokenizers make of them is plain: runs of letters, digits, runs of others.
+PLAIN = re.compile("[!-&(-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u0239\u023b-\u023d\u023f-\u024f]+")
+#: A letter, then a mark: always two pieces.
+MARKS = "([A-Za-z])([.,;:!?\")\\]])"
+PIECE = re.compile("[a-z\u00df-\u00f6\u00f8-\u02af]+|[0-9]|[!-&(-/:-@\\[-`{-~]+")
+
+
 def splits_at_spaces(spec: dict) -> bool:
     """Whether a tokenizer drops white space before it forms tokens, so that the tokens of a text
     are those of its words in a row."""
@@ -121,14 +137,25 @@ def splits_at_spaces(spec: dict) -> bool:
 
 class Encoder:
     """Token ids of Arrow texts by a tokenizer given as JSON text. Where white space is dropped
-    anyway, each distinct word is encoded once and the ids of the texts are put together."""
+    anyway, each distinct word is encoded once and the ids of the texts are put together; plain
+    words of known tokenizers are cut into pieces, of which there are far fewer."""
 
     def __init__(self, spec: str):
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.by_word = Tokenizer.from_str(spec), splits_at_spaces(json.loads(spec))
+        parsed = json.loads(spec)
+        self.tokenizer, self.by_word = Tokenizer.from_str(spec), splits_at_spaces(parsed)
+        self.by_piece = self.by_word and parsed["normalizer"] == NORMALIZER and parsed["pre_tokenizer"] == SPLIT
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
         self.kind = np.dtype(f"<u{self.width}")
+        if self.by_piece:
+            suffix, vocab = parsed["model"]["end_of_word_suffix"], parsed["model"]["vocab"]
+            self.last = np.zeros(max(vocab.values()) + 1, bool)
+            self.last[[i for token, i in vocab.items() if token.endswith(suffix)]] = True
+            bare = Tokenizer.from_str(json.dumps(parsed | {"normalizer": None, "added_tokens": [], "pre_tokenizer": {
+                "type": "Sequence", "pretokenizers": [{"type": "WhitespaceSplit"}, SPLIT["pretokenizers"][1]]}}))
+            self.pieces = bare
+            self.special = [t["content"] for t in parsed["added_tokens"]]
         self._forget()
 
     def _forget(self) -> None:
@@ -136,29 +163,50 @@ class Encoder:
         self.bounds, self.pool, self.used = np.zeros(1, np.int64), np.zeros(1 << 16, self.kind), 0
 
     def _ids(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return [e.ids for i in range(0, len(texts), 1000)
+                for e in self.tokenizer.encode_batch_fast(texts[i:i + 1000], add_special_tokens=False)]
 
-    def _learn(self, words: list[str]) -> None:
-        new = [w for w in words if w not in self.places]
-        if not new:
-            return
-        found = self._ids(new)
-        sizes = np.fromiter(map(len, found), np.int64, len(found))
-        flat = np.fromiter((i for ids in found for i in ids), self.kind, int(sizes.sum()))
+    def _add(self, words: list[str], flat: np.ndarray, ends: np.ndarray) -> None:
         if self.used + len(flat) > len(self.pool):
             self.pool = np.concatenate([self.pool, np.zeros(max(len(self.pool), len(flat)), self.kind)])
         self.pool[self.used:self.used + len(flat)] = flat
         at = len(self.places)
-        self.places.update(zip(new, range(at, at + len(new))))
-        self.bounds = np.concatenate([self.bounds, self.used + np.cumsum(sizes)])
+        self.places.update(zip(words, range(at, at + len(words))))
+        self.bounds = np.concatenate([self.bounds, self.used + ends])
         self.used += len(flat)
 
+    def _learn(self, words: list[str]) -> None:
+        new = [w for w in words if w not in self.places]
+        plain, odd = new if self.by_piece else [], [] if self.by_piece else new
+        if self.by_piece:
+            flags = [PLAIN.fullmatch(w) is not None and not ("<" in w and any(t in w for t in self.special)) for w in new]
+            plain, odd = [w for w, f in zip(new, flags) if f], [w for w, f in zip(new, flags) if not f]
+        for i in range(0, len(plain), 5000):
+            some, parts, counts = plain[i:i + 5000], [], []
+            for w in some:
+                cut = [w.lower()] if w.isalpha() else PIECE.findall(w.lower())
+                parts += cut
+                counts.append(len(cut))
+            lines = [" ".join(parts[j:j + 500]) for j in range(0, len(parts), 500)]
+            ids = np.concatenate([np.array(e.ids, self.kind) for e in self.pieces.encode_batch_fast(
+                lines, add_special_tokens=False)])
+            # A piece ends with a token that ends a word.
+            self._add(some, ids, (np.flatnonzero(self.last[ids]) + 1)[np.cumsum(counts) - 1])
+        found = self._ids(odd)
+        sizes = list(map(len, found))
+        flat = np.fromiter((i for ids in found for i in ids), self.kind, sum(sizes))
+        self._add(odd, flat, np.cumsum(sizes, dtype=np.int64))
+
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in a row, and where each text begins (one more than texts)."""
         if not self.by_word:
             found = self._ids(texts.to_pylist())
             bounds = np.cumsum([0, *map(len, found)], dtype=np.int64)
             return np.fromiter((i for ids in found for i in ids), self.kind, int(bounds[-1])), bounds
+        if self.by_piece:  # fewer distinct words: marks after a letter stand alone, letters are small
+            texts = pc.replace_substring_regex(texts, MARKS, r"\1 \2")
+            if not any(pc.any(pc.match_substring(texts, t, ignore_case=True)).as_py() for t in self.special):
+                texts = pc.ascii_lower(rebased(texts))
         parts = pc.ascii_split_whitespace(rebased(texts))
         parts = parts.combine_chunks() if isinstance(parts, pa.ChunkedArray) else parts
         coded = parts.flatten().dictionary_encode()
@@ -168,11 +216,11 @@ class Encoder:
         if len(self.places) + len(words) > KNOWN_PIECES:
             self._forget()
         self._learn(words)
-        place = np.fromiter(map(self.places.__getitem__, words), np.int64, len(words))[
-            coded.indices.to_numpy().astype(np.int64)]
-        sizes = self.bounds[place + 1] - self.bounds[place]
+        place = np.fromiter(map(self.places.__getitem__, words), np.int64, len(words))
+        first, size, code = self.bounds[place], self.bounds[place + 1] - self.bounds[place], coded.indices.to_numpy()
+        sizes = size[code]
         upto = np.concatenate([np.zeros(1, np.int64), np.cumsum(sizes)])
-        at = np.repeat(self.bounds[place] - upto[:-1], sizes) + np.arange(int(upto[-1]))
+        at = np.repeat(first[code] - upto[:-1], sizes) + np.arange(int(upto[-1]))
         return self.pool[at], upto[firsts]
 
 

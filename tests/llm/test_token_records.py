@@ -42,7 +42,9 @@ def test_checksums():
 
 
 HARD = ["", " ", "a", "It's  don't\tWE'LL 12ab 3.5!!", "<|endoftext|> x<|startoftext|>y <|EndOfText|>", "é ́x",
-        "ΟΔΟΣ ΟΔΟΣ. σ Σ b", "日本語 テキスト", "\x1c\x1f\x00 \x0b\x0c", "😀😀 'S 'sx x's", "İ ẞ ﬁ", "x" * 5000]
+        "ΟΔΟΣ ΟΔΟΣ. σ Σ b", "日本語 テキスト", "\x1c\x1f\x00 \x0b\x0c", "😀😀 'S 'sx x's", "İ ẞ ﬁ", "x" * 500,
+        "Ünïted, ÉCOLE! Ɔa1 ƎB. ŉ Straße? \"Wort\" (203) [a]", "it's. x.'s y'.s don\"t ''s a.b,c;d a)(b 0a.1b",
+        "Aa,<|endoftext|>Bb. <|endOFtext|>c)", "a\u0301 e.\u0301 A\u030a\u0327 \u212b \u0344", "\u00d7\u00f7 \u01c5. \u023a"]
 
 
 def test_encoder_is_the_tokenizer():
