@@ -38,7 +38,7 @@ FILE_BYTES = 256 << 20
 SPLIT_BYTES = 8 << 20
 MAX_TASKS = 50_000
 #: Words and pieces whose ids a task remembers; beyond it the memory starts afresh.
-KNOWN_PIECES = 400_000
+KNOWN_PIECES = 300_000
 END_ID = 2
 FILES = "part int, seq int, path string, bytes bigint, records bigint, ids bigint"
 
@@ -135,27 +135,35 @@ def splits_at_spaces(spec: dict) -> bool:
             and bool(spec["model"].get("end_of_word_suffix")) and not any(set(" \t\n\r\x0b\x0c") & set(t) for t in added))
 
 
+def encoder_parts(spec: str) -> tuple[str, str | None, bytes, bool]:
+    """What an ``Encoder`` is made of: the tokenizer; the same one for pieces alone, if its way of
+    splitting is known; which of its tokens end a word; whether it drops white space."""
+    parsed = json.loads(spec)
+    by_word = splits_at_spaces(parsed)
+    if not by_word or parsed["normalizer"] != NORMALIZER or parsed["pre_tokenizer"] != SPLIT:
+        return spec, None, b"", by_word
+    suffix, vocab = parsed["model"]["end_of_word_suffix"], parsed["model"]["vocab"]
+    last = np.zeros(max(vocab.values()) + 1, bool)
+    last[[i for token, i in vocab.items() if token.endswith(suffix)]] = True
+    bare = parsed | {"normalizer": None, "added_tokens": [], "pre_tokenizer": {
+        "type": "Sequence", "pretokenizers": [{"type": "WhitespaceSplit"}, SPLIT["pretokenizers"][1]]}}
+    return spec, json.dumps(bare), last.tobytes(), True
+
+
 class Encoder:
-    """Token ids of Arrow texts by a tokenizer given as JSON text. Where white space is dropped
-    anyway, each distinct word is encoded once and the ids of the texts are put together; plain
-    words of known tokenizers are cut into pieces, of which there are far fewer."""
+    """Token ids of Arrow texts by a tokenizer given by ``encoder_parts``. Where white space is
+    dropped anyway, each distinct word is encoded once and the ids of the texts are put together;
+    plain words of known tokenizers are cut into pieces, of which there are far fewer."""
 
-    def __init__(self, spec: str):
+    def __init__(self, spec: str, pieces: str | None, last: bytes, by_word: bool):
         from tokenizers import Tokenizer
 
-        parsed = json.loads(spec)
-        self.tokenizer, self.by_word = Tokenizer.from_str(spec), splits_at_spaces(parsed)
-        self.by_piece = self.by_word and parsed["normalizer"] == NORMALIZER and parsed["pre_tokenizer"] == SPLIT
+        self.tokenizer, self.by_word = Tokenizer.from_str(spec), by_word
+        self.pieces = Tokenizer.from_str(pieces) if pieces else None
+        self.last = np.frombuffer(last, bool)
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
         self.kind = np.dtype(f"<u{self.width}")
-        if self.by_piece:
-            suffix, vocab = parsed["model"]["end_of_word_suffix"], parsed["model"]["vocab"]
-            self.last = np.zeros(max(vocab.values()) + 1, bool)
-            self.last[[i for token, i in vocab.items() if token.endswith(suffix)]] = True
-            bare = Tokenizer.from_str(json.dumps(parsed | {"normalizer": None, "added_tokens": [], "pre_tokenizer": {
-                "type": "Sequence", "pretokenizers": [{"type": "WhitespaceSplit"}, SPLIT["pretokenizers"][1]]}}))
-            self.pieces = bare
-            self.special = [t["content"] for t in parsed["added_tokens"]]
         self._forget()
 
     def _forget(self) -> None:
@@ -166,36 +174,57 @@ class Encoder:
         return [e.ids for i in range(0, len(texts), 1000)
                 for e in self.tokenizer.encode_batch_fast(texts[i:i + 1000], add_special_tokens=False)]
 
-    def _add(self, words: list[str], flat: np.ndarray, ends: np.ndarray) -> None:
+    def _add(self, flat: np.ndarray, ends: np.ndarray) -> None:
         if self.used + len(flat) > len(self.pool):
             self.pool = np.concatenate([self.pool, np.zeros(max(len(self.pool), len(flat)), self.kind)])
         self.pool[self.used:self.used + len(flat)] = flat
-        at = len(self.places)
-        self.places.update(zip(words, range(at, at + len(words))))
         self.bounds = np.concatenate([self.bounds, self.used + ends])
         self.used += len(flat)
 
-    def _learn(self, words: list[str]) -> None:
-        new = [w for w in words if w not in self.places]
-        plain, odd = new if self.by_piece else [], [] if self.by_piece else new
-        if self.by_piece:
-            flags = [PLAIN.fullmatch(w) is not None and not ("<" in w and any(t in w for t in self.special)) for w in new]
-            plain, odd = [w for w, f in zip(new, flags) if f], [w for w, f in zip(new, flags) if not f]
-        for i in range(0, len(plain), 5000):
-            some, parts, counts = plain[i:i + 5000], [], []
-            for w in some:
-                cut = [w.lower()] if w.isalpha() else PIECE.findall(w.lower())
-                parts += cut
-                counts.append(len(cut))
-            lines = [" ".join(parts[j:j + 500]) for j in range(0, len(parts), 500)]
-            ids = np.concatenate([np.array(e.ids, self.kind) for e in self.pieces.encode_batch_fast(
-                lines, add_special_tokens=False)])
-            # A piece ends with a token that ends a word.
-            self._add(some, ids, (np.flatnonzero(self.last[ids]) + 1)[np.cumsum(counts) - 1])
-        found = self._ids(odd)
+    def _add_pieces(self, pieces: list[str], counts: np.ndarray | None = None) -> None:
+        """Words of so many pieces each (one, if not given)."""
+        lines = [" ".join(pieces[j:j + 500]) for j in range(0, len(pieces), 500)]
+        ids = np.concatenate([np.array(e.ids, self.kind) for i in range(0, len(lines), 20)
+                              for e in self.pieces.encode_batch_fast(lines[i:i + 20], add_special_tokens=False)])
+        ends = np.flatnonzero(self.last[ids]) + 1  # a piece ends with a token that ends a word
+        self._add(ids, ends if counts is None else ends[np.cumsum(counts) - 1])
+
+    def _places(self, coded: pa.Array) -> np.ndarray:
+        """Where the ids of each distinct word are; new words are encoded. Those of letters alone
+        are remembered for the next texts, others seldom occur again."""
+        words = coded.to_numpy(zero_copy_only=False).tolist()
+        if len(self.places) + len(words) > KNOWN_PIECES:
+            self._forget()
+        else:  # the others of the last texts
+            self.bounds = self.bounds[:len(self.places) + 1]
+            self.used = int(self.bounds[-1])
+        place = np.array([self.places.get(w, -1) for w in words], np.int64)
+        new = place < 0
+        if self.pieces:
+            letters = pc.match_substring_regex(coded, "^[a-z]+$").to_numpy(zero_copy_only=False)
+            at = np.flatnonzero(new & letters)
+            if len(at):
+                some = [words[i] for i in at]
+                self._add_pieces(some)
+                place[at] = len(self.places) + np.arange(len(at))
+                self.places.update(zip(some, place[at].tolist()))
+            cut, counts, at = [], [], []
+            for i in np.flatnonzero(new & ~letters).tolist():
+                w = words[i]
+                if PLAIN.fullmatch(w) and not ("<" in w and any(t in w for t in self.special)):
+                    parts = [w.lower()] if w.isalpha() else PIECE.findall(w.lower())
+                    cut += parts
+                    counts.append(len(parts))
+                    at.append(i)
+            if at:
+                place[at] = len(self.bounds) - 1 + np.arange(len(at))
+                self._add_pieces(cut, np.array(counts))
+        at = np.flatnonzero(place < 0)
+        place[at] = len(self.bounds) - 1 + np.arange(len(at))
+        found = self._ids([words[i] for i in at])
         sizes = list(map(len, found))
-        flat = np.fromiter((i for ids in found for i in ids), self.kind, sum(sizes))
-        self._add(odd, flat, np.cumsum(sizes, dtype=np.int64))
+        self._add(np.fromiter((i for ids in found for i in ids), self.kind, sum(sizes)), np.cumsum(sizes, dtype=np.int64))
+        return place
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in a row, and where each text begins (one more than texts)."""
@@ -203,7 +232,7 @@ class Encoder:
             found = self._ids(texts.to_pylist())
             bounds = np.cumsum([0, *map(len, found)], dtype=np.int64)
             return np.fromiter((i for ids in found for i in ids), self.kind, int(bounds[-1])), bounds
-        if self.by_piece:  # fewer distinct words: marks after a letter stand alone, letters are small
+        if self.pieces:  # fewer distinct words: marks after a letter stand alone, letters are small
             texts = pc.replace_substring_regex(texts, MARKS, r"\1 \2")
             if not any(pc.any(pc.match_substring(texts, t, ignore_case=True)).as_py() for t in self.special):
                 texts = pc.ascii_lower(rebased(texts))
@@ -212,11 +241,7 @@ class Encoder:
         coded = parts.flatten().dictionary_encode()
         firsts = parts.offsets.to_numpy().astype(np.int64)
         firsts -= firsts[0]
-        words = coded.dictionary.to_pylist()
-        if len(self.places) + len(words) > KNOWN_PIECES:
-            self._forget()
-        self._learn(words)
-        place = np.fromiter(map(self.places.__getitem__, words), np.int64, len(words))
+        place = self._places(coded.dictionary)
         first, size, code = self.bounds[place], self.bounds[place + 1] - self.bounds[place], coded.indices.to_numpy()
         sizes = size[code]
         upto = np.concatenate([np.zeros(1, np.int64), np.cumsum(sizes)])
@@ -236,7 +261,7 @@ def write_token_records(docs: DataFrame, folder: str, tokenizer_path: str, id_co
     path, bytes, records, ids), whose order by part and seq is the order of the documents. Files
     get fresh names, so a task that runs twice damages nothing; only listed files count."""
     with open(tokenizer_path, encoding="utf-8") as f:
-        spec = f.read()  # workers need no copy of the file
+        parts = encoder_parts(f.read())  # workers need no copy of the file
     rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"))
     rows = rows.repartitionByRange("id", F.xxhash64("text")).sortWithinPartitions("id", F.xxhash64("text"))
 
@@ -244,7 +269,7 @@ def write_token_records(docs: DataFrame, folder: str, tokenizer_path: str, id_co
         from pyspark import TaskContext
 
         root, at = open_folder(folder)
-        encode, check, short = Encoder(spec), Crc32c(), Crc32c(8)
+        encode, check, short = Encoder(*parts), Crc32c(), Crc32c(8)
         end, part = np.array([end_id], encode.kind), TaskContext.get().partitionId()
         done, out, path, offset, ids, index = [], None, "", 0, 0, []
 

@@ -9,8 +9,8 @@ import pyarrow as pa
 import pytest
 
 from gaugeframe.llm.token_records import (
-    Crc32c, Encoder, RecordFile, op11_token_records, read_shuffled, read_token_records, splits_at_spaces,
-    write_token_records,
+    Crc32c, Encoder, RecordFile, encoder_parts, op11_token_records, read_shuffled, read_token_records,
+    splits_at_spaces, write_token_records,
 )
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -49,15 +49,15 @@ HARD = ["", " ", "a", "It's  don't\tWE'LL 12ab 3.5!!", "<|endoftext|> x<|startof
 
 def test_encoder_is_the_tokenizer():
     spec = open(PATH, encoding="utf-8").read()
-    encode, plain = Encoder(spec), tokenizer()
-    assert encode.by_word
+    encode, plain = Encoder(*encoder_parts(spec)), tokenizer()
+    assert encode.by_word and encode.pieces
     for _ in range(2):  # the second time from memory
         flat, bounds = encode(pa.array(HARD, pa.large_string()))
         assert [flat[a:b].tolist() for a, b in zip(bounds, bounds[1:])] == [
             plain.encode(t, add_special_tokens=False).ids for t in HARD]
     other = public_tokenizers.path("byte_bpe_50k.json")
     assert not splits_at_spaces(json.load(open(other, encoding="utf-8")))
-    flat, bounds = Encoder(open(other, encoding="utf-8").read())(pa.array(HARD, pa.large_string()))
+    flat, bounds = Encoder(*encoder_parts(open(other, encoding="utf-8").read()))(pa.array(HARD, pa.large_string()))
     assert [flat[a:b].tolist() for a, b in zip(bounds, bounds[1:])] == [
         tokenizer(other).encode(t, add_special_tokens=False).ids for t in HARD]
 
