@@ -19,6 +19,7 @@ give a record each. An empty table gives no file. Ids are bigint; other columns
 from __future__ import annotations
 
 import json
+import os
 import re
 import struct
 import uuid
@@ -156,6 +157,7 @@ class Encoder:
     plain words of known tokenizers are cut into pieces, of which there are far fewer."""
 
     def __init__(self, spec: str, pieces: str | None, last: bytes, by_word: bool):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core; threads also keep memory each
         from tokenizers import Tokenizer
 
         self.tokenizer, self.by_word = Tokenizer.from_str(spec), by_word
