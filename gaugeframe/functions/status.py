@@ -89,3 +89,21 @@ def verdict(speedup: Column) -> Column:
              .when(speedup >= 1.0, F.format_string(VERDICT_MARGINAL, speedup))
              .when(speedup.isNotNull(), F.format_string(VERDICT_SLOWER, inverse))
              .otherwise(F.lit(VERDICT_NONE)))
+
+
+def analysis_of(runs: Column, backend: Column, total_s: Column, rate_base: str = "groups") -> Column:
+    """A job's analysis as a struct, from its runs (array of pipeline, groups, anomalies,
+    medianSeconds): seconds of the first run of either pipeline, greatest counts of all."""
+    def seconds(name: str) -> Column:
+        return F.get(F.filter(runs, lambda r: r["pipeline"] == name), F.lit(0))["medianSeconds"]
+
+    def greatest(field: str) -> Column:
+        return F.coalesce(F.array_max(F.transform(runs, lambda r: r[field])), F.lit(0))
+
+    rdd, frame = seconds("rdd"), seconds("dataframe")
+    speedup = F.when(frame > 0, F.try_divide(rdd, frame))
+    rate = F.when(greatest(rate_base) > 0, greatest("anomalies") / greatest(rate_base)).otherwise(F.lit(0.0))
+    differ = F.size(F.array_distinct(F.transform(runs, lambda r: r["groups"]))) > 1
+    return F.struct(rate.alias("anomalyRate"), rdd.alias("rddSeconds"), frame.alias("dataFrameSeconds"),
+                    speedup.alias("sparkSpeedup"), backend.alias("gpuBackend"), total_s.alias("totalSeconds"),
+                    verdict(speedup).alias("verdict"), run_warnings(backend, differ, rate).alias("warnings"))

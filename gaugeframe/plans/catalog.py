@@ -9,12 +9,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import decode_f32, normalize_array, run_family
+from ..functions.instants import parse_instant, print_instant
 from ..operators import (
-    accept_starts, analyze_jobs, anomaly_profile, bench_pivot, classify_failures, column_stats,
-    compare_runs, diff_tables, enrich, equivalent, filter_quality, fold_jobs, job_attempts,
+    accept_starts, analyze_folded, analyze_jobs, anomaly_profile, bench_pivot, classify_failures, column_stats,
+    compare_runs, decode_status, diff_tables, encode_status, enrich, equivalent, filter_quality, fold_jobs, job_attempts,
     job_counts, job_status_json, lookup_job, max_rel_error, metrics_record, normalize, normalize_modes,
     normalize_summary, parse_job_status, profile_totals, project_profile_input, recent_jobs, retain,
-    split_requests, timing_summary, top_anomalies, validate_requests,
+    split_requests, timing_summary, top_anomalies, typed_jobs, validate_requests,
 )
 from ..sources import (
     parse_requests, pick_column, read_bench, read_npy, read_runs, read_telemetry,
@@ -244,6 +245,52 @@ def q_job_status_json(spark, sf_dir):
     return parse_job_status(job_status_json(states), "status")
 
 
+def q_analysis_from_log(spark, sf_dir):
+    out = analyze_folded(typed_jobs(views.result_log(spark, sf_dir)))
+    return _round(out.withColumn("warnings", F.array_join("warnings", "; ")), "anomaly_rate", "speedup", "total_s")
+
+
+def _shown(run: Column) -> Column:
+    """A run as text, its fields between bars."""
+    return F.concat_ws("|", run["pipeline"], run["runId"], run["groups"].cast("string"), run["anomalies"].cast("string"),
+                       F.format_string("%.3f", run["medianSeconds"]), F.coalesce(run["outputUri"], F.lit("-")))
+
+
+def _flat_status(jobs: DataFrame) -> DataFrame:
+    gpu, analysis, request = F.col("gpu"), F.col("analysis"), F.col("request")
+    attempts = F.array_sort(F.transform(F.map_entries("attempts"), lambda e: F.concat(
+        e["key"], F.lit("="), e["value"].cast("string"))))
+    return jobs.select(
+        "job_id", "stage", "created_at", "updated_at", F.array_join(attempts, ",").alias("attempts"),
+        request["datasetUri"].alias("dataset_uri"), request["mode"].alias("mode"), request["pipeline"].alias("pipeline"),
+        request["outputUri"].alias("request_output"), request["forceCpu"].alias("force_cpu"), request["column"].alias("column"),
+        gpu["backend"].alias("backend"), gpu["device"].alias("device"), gpu["elements"].alias("elements"),
+        gpu["mean"].alias("mean"), gpu["stddev"].alias("stddev"), gpu["kernelMs"].alias("kernel_ms"),
+        gpu["wallMs"].alias("wall_ms"), gpu["outputUri"].alias("output_uri"),
+        F.array_join(F.transform("spark", _shown), ",").alias("spark"), analysis["anomalyRate"].alias("anomaly_rate"),
+        analysis["rddSeconds"].alias("rdd_s"), analysis["gpuBackend"].alias("gpu_backend"),
+        analysis["totalSeconds"].alias("total_s"), analysis["verdict"].alias("verdict"),
+        F.array_join(analysis["warnings"], ",").alias("warnings"), "error")
+
+
+def q_typed_jobs(spark, sf_dir):
+    return _flat_status(typed_jobs(views.result_log(spark, sf_dir)))
+
+
+def q_job_status_round_trip(spark, sf_dir):
+    """Whole statuses to JSON and back; every 17th text is cut short on the way."""
+    texts = encode_status(typed_jobs(views.result_log(spark, sf_dir)))
+    cut = F.when(F.col("job_id") % 17 == 0, F.substring("status", 1, 40)).otherwise(F.col("status"))
+    back = decode_status(texts.select(F.col("job_id").alias("of"), cut.alias("status")), "status")
+    # A text that can't be read has no id: its row shows the job's own with a minus.
+    return _flat_status(back.select("decoded.*", "of").withColumn("job_id", F.coalesce("job_id", -F.col("of"))))
+
+
+def q_instants(spark, sf_dir):
+    at = parse_instant("text")
+    return views.instant_texts(spark, sf_dir).select("event_id", at.alias("at"), print_instant(at).alias("printed"))
+
+
 def q_recent_jobs(spark, sf_dir):
     return recent_jobs(_job_states(spark, sf_dir))
 

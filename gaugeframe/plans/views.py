@@ -163,3 +163,53 @@ def failures(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(event % 7 == 0, F.lit("read timeout"))
         .otherwise(F.concat(F.lit("launcher HTTP "), (400 + event % 4 * 43).cast("string")))
         .alias("message"))
+
+
+def _pick(of: Column, choices: list[str]) -> Column:
+    return F.element_at(F.array(*[F.lit(c) for c in choices]), (of % len(choices) + 1).cast("int"))
+
+
+# JSON texts of stage results, with every kind of malformed field. @ stands for the event's id and
+# # for an eighth of it.
+REQUEST_TEXTS = ['{"datasetUri": "s3://b/@.parquet", "outputUri": "s3://o/@/", "column": "value"}',
+                 '{"datasetUri": " s3://b/@ ", "mode": "minmax", "forceCpu": true}',
+                 '{"mode": "robust"}', '{"datasetUri": 5}', '{"datasetUri": "s3://b/@", "pipeline": "rdd", "mode": 7}']
+GPU_TEXTS = ['{"backend": "cuda", "device": "L4", "elements": @, "stats": {"mean": 0.5, "stddev": 1}, '
+             '"timing_ms": {"kernel_ms": #}, "wall_ms": #, "output_uri": "s3://n/@"}',
+             '{"backend": 7, "elements": "12", "stats": 5}', '{"backend": "openmp", "wall_ms": 3}',
+             '{"backend": null, "wall_ms": "3", "timing_ms": [1]}', '{bad', '[1, 2]',
+             '{"backend": "cuda", "elements": 5.75, "stats": {"mean": "x", "stddev": #}}',
+             '{"backend": true, "device": 2.5, "timing_ms": {"kernel_ms": 3}}']
+RUN_TEXTS = ['[{"pipeline": "rdd", "run_id": "r@", "groups": 1000, "anomalies": 80, "median_s": #}, '
+             '{"pipeline": "dataframe", "run_id": "d@", "groups": 1000, "anomalies": 30, "median_s": 250.5}]',
+             '[{"pipeline": "dataframe", "run_id": 9, "groups": 900, "median_s": 0}, {"pipeline": "rdd", "groups": 901, "median_s": 2.5}]',
+             '{"pipeline": "rdd", "groups": "10", "anomalies": 5.5, "median_s": "1"}', '"none"', '{bad',
+             '[{"pipeline": "dataframe", "groups": 40, "anomalies": 1, "median_s": 4, "output_uri": "s3://o"}, '
+             '{"pipeline": "rdd", "median_s": 5}, {"pipeline": "rdd", "median_s": 7}]']
+ANALYSIS_TEXTS = ['{"anomalyRate": 0.25, "rddSeconds": 2, "gpuBackend": "cuda", "totalSeconds": #, "verdict": "v@", "warnings": ["a", 5, null]}',
+                  '{"anomalyRate": "x", "warnings": "none"}', '[]', '{bad']
+
+
+def result_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``job_log`` with the stages' results as payloads."""
+    event, kind = F.col("seq"), F.col("event_type")
+    text = (F.when(kind.isin("job_accepted", "input_validated"), _pick(event, REQUEST_TEXTS))
+             .when(kind == "gpu_completed", _pick(event, GPU_TEXTS))
+             # These kinds of events fix the id's remainder by 4.
+             .when(kind == "spark_completed", _pick(F.floor(event / 4), RUN_TEXTS))
+             .when(kind == "analysis_completed", _pick(F.floor(event / 4), ANALYSIS_TEXTS)))
+    text = F.replace(F.replace(text, F.lit("@"), event.cast("string")), F.lit("#"), (event / 8).cast("decimal(18,3)").cast("string"))
+    return job_log(spark, sf_dir).withColumn("payload", text)
+
+
+def instant_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event times as instants in every form, and texts that are none."""
+    event, at = F.col("event_id"), F.col("ts")
+    whole, micros = F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss"), F.date_format(at, "SSSSSS")
+    ends = [F.lit("Z"), F.concat(F.lit("."), F.substring(micros, 1, 3), F.lit("Z")), F.concat(F.lit("."), micros, F.lit("Z")),
+            F.concat(F.lit("."), micros, F.lit("789Z")), F.lit("+02:30"), F.lit("-00:45"), F.lit(""), F.lit("Zx")]
+    end = ends[-1]
+    for i, e in enumerate(ends[:-1]):
+        end = F.when(event % len(ends) == i, e).otherwise(end)
+    text = F.when(event % 23 == 0, F.concat(F.lit("x"), whole)).otherwise(F.concat(whole, end))
+    return table(spark, sf_dir, "events").select("event_id", text.alias("text"))

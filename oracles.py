@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from gaugeframe.plans import views
+
 TEL = """
 tel AS (
   SELECT concat('S', lpad(CAST(user_id AS VARCHAR), 6, '0')) AS sensor_id,
@@ -253,6 +255,110 @@ folded AS (
 JOB_STATES = f"""WITH {LOG}
 SELECT job_id, stage, created_at, updated_at, stage IN ('completed', 'failed') AS is_terminal FROM folded"""
 
+def _sql_list(texts: list[str]) -> str:
+    return "[" + ", ".join("'" + t.replace("'", "''") + "'" for t in texts) + "]"
+
+
+# Number, text and boolean fields by JSON type, with the library's rules.
+NUMBER = "json_type({0}) IN ('UBIGINT', 'BIGINT', 'DOUBLE')"
+
+
+def _text(v: str) -> str:
+    return f"CASE WHEN json_type({v}) = 'VARCHAR' OR {NUMBER.format(v)} THEN {v} ->> '$' END"
+
+
+def _double(v: str) -> str:
+    return f"CASE WHEN {NUMBER.format(v)} THEN CAST({v} AS DOUBLE) END"
+
+
+def _long(v: str) -> str:
+    return f"CASE WHEN {NUMBER.format(v)} THEN CAST(trunc(CAST({v} AS DOUBLE)) AS BIGINT) END"
+
+
+def _string(v: str) -> str:
+    return f"CASE WHEN json_type({v}) = 'VARCHAR' AND trim({v} ->> '$') <> '' THEN trim({v} ->> '$') END"
+
+
+RESULT_LOG = LOG.replace("props AS payload FROM events)", f"""replace(replace(
+  CASE WHEN event_type IN ('signup', 'click') THEN ({_sql_list(views.REQUEST_TEXTS)})[event_id % 5 + 1]
+    WHEN event_type = 'view' THEN ({_sql_list(views.GPU_TEXTS)})[event_id % 8 + 1]
+    WHEN event_type = 'purchase' AND event_id % 4 = 0 THEN ({_sql_list(views.RUN_TEXTS)})[event_id // 4 % 6 + 1]
+    WHEN event_type = 'purchase' AND event_id % 4 = 1 THEN ({_sql_list(views.ANALYSIS_TEXTS)})[event_id // 4 % 4 + 1] END,
+  '@', CAST(event_id AS VARCHAR)), '#', printf('%.3f', event_id / 8)) AS payload FROM events)""")
+TYPED = f"""{RESULT_LOG},
+parsed AS (
+  SELECT f.*, CASE WHEN json_valid(request) THEN CAST(request AS JSON) END AS q,
+    CASE WHEN json_valid(gpu) THEN CAST(gpu AS JSON) END AS g, CASE WHEN json_valid(analysis) THEN CAST(analysis AS JSON) END AS a,
+    CASE WHEN json_valid(runs) THEN CAST(runs AS JSON) END AS s,
+    (SELECT max("at") FROM log AS l WHERE l.job_id = f.job_id AND l.event_type = 'spark_completed') AS spark_at FROM folded AS f),
+typed AS (
+  SELECT job_id, stage, created_at, updated_at, spark_at, error, {_string("q -> '$.datasetUri'")} AS dataset_uri,
+    CASE WHEN dataset_uri IS NOT NULL THEN coalesce({_string("q -> '$.mode'")}, 'zscore') END AS mode,
+    CASE WHEN dataset_uri IS NOT NULL THEN coalesce({_string("q -> '$.pipeline'")}, 'both') END AS pipeline,
+    CASE WHEN dataset_uri IS NOT NULL THEN {_string("q -> '$.outputUri'")} END AS request_output,
+    CASE WHEN dataset_uri IS NOT NULL THEN coalesce(CASE WHEN json_type(q -> '$.forceCpu') = 'BOOLEAN'
+      THEN CAST(q -> '$.forceCpu' AS BOOLEAN) END, false) END AS force_cpu,
+    CASE WHEN dataset_uri IS NOT NULL THEN {_string("q -> '$.column'")} END AS "column",
+    CASE WHEN g IS NOT NULL THEN coalesce({_text("g -> '$.backend'")}, 'unknown') END AS backend,
+    CASE WHEN g IS NOT NULL THEN coalesce({_text("g -> '$.device'")}, 'unknown') END AS device,
+    CASE WHEN g IS NOT NULL THEN coalesce({_long("g -> '$.elements'")}, 0) END AS elements,
+    CASE WHEN g IS NOT NULL THEN coalesce({_double("g -> '$.stats.mean'")}, 'nan'::DOUBLE) END AS mean,
+    CASE WHEN g IS NOT NULL THEN coalesce({_double("g -> '$.stats.stddev'")}, 'nan'::DOUBLE) END AS stddev,
+    CASE WHEN g IS NOT NULL THEN coalesce({_double("g -> '$.timing_ms.kernel_ms'")}, 0) END AS kernel_ms,
+    CASE WHEN g IS NOT NULL THEN coalesce({_double("g -> '$.wall_ms'")}, 0) END AS wall_ms,
+    CASE WHEN g IS NOT NULL THEN coalesce({_text("g -> '$.output_uri'")}, request_output, '') END AS output_uri,
+    list_transform(CASE json_type(s) WHEN 'ARRAY' THEN CAST(s AS JSON[]) WHEN 'OBJECT' THEN [s] ELSE [] END, lambda r: {{
+      'pipeline': coalesce({_text("(r -> '$.pipeline')")}, ''), 'run': coalesce({_text("(r -> '$.run_id')")}, ''),
+      'groups': coalesce({_long("(r -> '$.groups')")}, 0), 'anomalies': coalesce({_long("(r -> '$.anomalies')")}, 0),
+      'seconds': coalesce({_double("(r -> '$.median_s')")}, 0), 'output': {_text("(r -> '$.output_uri')")}}}) AS spark_runs,
+    CASE WHEN a IS NOT NULL THEN coalesce({_double("a -> '$.anomalyRate'")}, 0) END AS anomaly_rate,
+    {_double("a -> '$.rddSeconds'")} AS rdd_s, CASE WHEN a IS NOT NULL THEN coalesce({_text("a -> '$.gpuBackend'")}, 'unknown') END AS gpu_backend,
+    CASE WHEN a IS NOT NULL THEN coalesce({_double("a -> '$.totalSeconds'")}, 0) END AS total_s,
+    CASE WHEN a IS NOT NULL THEN coalesce({_text("a -> '$.verdict'")}, '') END AS verdict,
+    CASE WHEN a IS NOT NULL THEN array_to_string(list_filter(list_transform(CASE WHEN json_type(a -> '$.warnings') = 'ARRAY'
+      THEN CAST(a -> '$.warnings' AS JSON[]) ELSE [] END, lambda w: {_text("w")}), lambda w: w IS NOT NULL), ',') END AS warnings
+  FROM parsed),
+status AS (
+  SELECT t.* EXCLUDE (spark_runs, spark_at), coalesce(m.attempts, '') AS attempts,
+    array_to_string(list_transform(spark_runs, lambda r: concat_ws('|', r.pipeline, r.run, r.groups, r.anomalies,
+      printf('%.3f', r.seconds), coalesce(r.output, '-'))), ',') AS spark
+  FROM typed AS t LEFT JOIN (SELECT job_id, string_agg(concat(stage, '=', attempts), ',' ORDER BY stage) AS attempts
+                             FROM retries GROUP BY job_id) AS m ON t.job_id = m.job_id)"""
+STATUS_COLUMNS = ["stage", "created_at", "updated_at", "attempts", "dataset_uri", "mode", "pipeline", "request_output",
+                  "force_cpu", '"column"', "backend", "device", "elements", "mean", "stddev", "kernel_ms", "wall_ms",
+                  "output_uri", "spark", "anomaly_rate", "rdd_s", "gpu_backend", "total_s", "verdict", "warnings", "error"]
+FROM_LOG = f"""WITH {TYPED},
+found AS (SELECT job_id, backend, floor((epoch_us(coalesce(spark_at, updated_at)) - epoch_us(created_at)) / 1000) / 1000.0 AS total_s,
+    coalesce(list_max(list_transform(spark_runs, lambda r: r.groups)), 0) AS base,
+    coalesce(list_max(list_transform(spark_runs, lambda r: r.anomalies)), 0) AS worst,
+    list_unique(list_transform(spark_runs, lambda r: r.groups)) > 1 AS differ,
+    list_filter(spark_runs, lambda r: r.pipeline = 'rdd')[1].seconds AS rdd_s,
+    list_filter(spark_runs, lambda r: r.pipeline = 'dataframe')[1].seconds AS dataframe_s
+  FROM typed WHERE backend IS NOT NULL),
+rated AS (SELECT *, CASE WHEN base > 0 THEN worst / base ELSE 0.0 END AS rate,
+          CASE WHEN dataframe_s > 0 THEN rdd_s / dataframe_s END AS speedup FROM found)
+SELECT job_id, round(rate, 6) AS anomaly_rate, rdd_s, dataframe_s, round(speedup, 6) AS speedup, backend, round(total_s, 6) AS total_s,
+  CASE WHEN speedup >= 1.5 THEN printf('DataFrame es %.2fx más rápido que RDD', speedup)
+       WHEN speedup >= 1.0 THEN printf('DataFrame es marginalmente más rápido (%.2fx)', speedup)
+       WHEN speedup IS NOT NULL THEN printf('RDD resultó más rápido (%.2fx): revise el tamaño del dataset', 1 / speedup)
+       ELSE 'sólo se ejecutó un pipeline: sin comparación disponible' END AS verdict,
+  array_to_string(list_filter([
+    CASE WHEN backend <> 'cuda' THEN 'la fase GPU se ejecutó en CPU (OpenMP): el runtime no expuso ninguna GPU' END,
+    CASE WHEN differ THEN 'los pipelines RDD y DataFrame devolvieron cardinalidades distintas' END,
+    CASE WHEN rate > 0.05 THEN printf('tasa de anomalías inusualmente alta (%.1f%%): revise la calibración del sensor', rate * 100) END],
+    lambda w: w IS NOT NULL), '; ') AS warnings FROM rated"""
+ROUND_TRIP = f"""WITH {TYPED}
+SELECT CASE WHEN job_id % 17 = 0 THEN -job_id ELSE job_id END AS job_id,
+  {", ".join(f"CASE WHEN job_id % 17 <> 0 THEN {c} END AS {c}" for c in STATUS_COLUMNS)} FROM status"""
+INSTANTS = """WITH t AS (SELECT event_id, event_id % 8 AS form, ts FROM events),
+p AS (SELECT event_id, CASE WHEN event_id % 23 = 0 OR form >= 6 THEN NULL
+    WHEN form = 0 THEN date_trunc('second', ts) WHEN form = 1 THEN date_trunc('millisecond', ts)
+    WHEN form IN (2, 3) THEN ts WHEN form = 4 THEN date_trunc('second', ts) - INTERVAL 150 MINUTE
+    ELSE date_trunc('second', ts) + INTERVAL 45 MINUTE END AS "at" FROM t)
+SELECT event_id, CAST("at" AS TIMESTAMP) AS "at", CASE WHEN epoch_us("at") % 1000000 = 0 THEN strftime("at", '%Y-%m-%dT%H:%M:%SZ')
+  WHEN epoch_us("at") % 1000 = 0 THEN concat(strftime("at", '%Y-%m-%dT%H:%M:%S'), printf('.%03dZ', epoch_us("at") // 1000 % 1000))
+  ELSE strftime("at", '%Y-%m-%dT%H:%M:%S.%fZ') END AS printed FROM p"""
+
 STATES = """states AS (SELECT event_id AS run_id, CASE event_type WHEN 'click' THEN 'RUNNING' WHEN 'view' THEN 'success'
   WHEN 'purchase' THEN 'Completed' WHEN 'error' THEN 'CANCELLING' END AS state FROM events)"""
 
@@ -420,6 +526,10 @@ SELECT job_id, CAST(CASE WHEN error IS NULL
     ELSE json_object('jobId', job_id, 'stage', stage, 'createdAt', c, 'updatedAt', u, 'isTerminal', is_terminal,
                      'error', error) END AS VARCHAR) AS status,
   job_id AS parsed_id, stage, created_at, updated_at, is_terminal, error FROM s""",
+    "analysis_from_log": FROM_LOG,
+    "typed_jobs": f"WITH {TYPED} SELECT job_id, {', '.join(STATUS_COLUMNS)} FROM status",
+    "job_status_round_trip": ROUND_TRIP,
+    "instants": INSTANTS,
     "job_attempts": f"WITH {LOG} SELECT job_id, stage, attempts FROM retries",
     "recent_jobs": f"{JOB_STATES} ORDER BY updated_at DESC, job_id LIMIT 100",
     "lookup_job": f"{JOB_STATES} WHERE job_id = 7",

@@ -64,3 +64,9 @@ def test_retention_reaches_the_scan(spark, sf_dir):
     text = plan(catalog.q_retain_jobs(spark, sf_dir))
     assert "GreaterThan(ts," in re.search(r"PushedFilters: (.*)", text).group(1)
     assert retain.__doc__
+
+
+@pytest.mark.parametrize("name", ["fold_jobs", "first_starts", "job_attempts", "typed_jobs"])
+def test_job_logs_are_folded_by_hash(spark, sf_dir, name):
+    text = catalog.queries()[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in text and "Window" not in text
