@@ -10,6 +10,7 @@ from .profile import (anomaly_profile, filter_quality, profile_totals, project_p
 from .requests import split_requests, validate_requests
 from .results import analyze_folded, decode_status, encode_status, typed_jobs
 from .runs import analyze_jobs, bench_pivot, compare_runs, metrics_record, timing_summary
+from .sample import sample_cut, sample_exact
 
 __all__ = [
     "accept_starts", "analyze_folded", "analyze_jobs", "anomaly_profile", "bench_pivot", "classify_failures",
@@ -17,6 +18,7 @@ __all__ = [
     "fold_jobs", "job_attempts", "job_counts", "job_status_json", "lookup_job", "max_rel_error",
     "metrics_record",
     "middle_values", "normalize", "normalize_fixed", "normalize_modes", "normalize_summary",
-    "parse_job_status", "profile_totals", "project_profile_input", "recent_jobs", "retain", "split_requests",
+    "parse_job_status", "profile_totals", "project_profile_input", "recent_jobs", "retain", "sample_cut",
+    "sample_exact", "split_requests",
     "timing_summary", "top_anomalies", "typed_jobs", "validate_requests",
 ]

@@ -15,10 +15,10 @@ from ..operators import (
     compare_runs, decode_status, diff_tables, encode_status, enrich, equivalent, filter_quality, fold_jobs, job_attempts,
     job_counts, job_status_json, lookup_job, max_rel_error, metrics_record, normalize, normalize_modes,
     normalize_summary, parse_job_status, profile_totals, project_profile_input, recent_jobs, retain,
-    split_requests, timing_summary, top_anomalies, typed_jobs, validate_requests,
+    sample_exact, split_requests, timing_summary, top_anomalies, typed_jobs, validate_requests,
 )
 from ..sources import (
-    parse_requests, pick_column, read_bench, read_npy, read_runs, read_telemetry,
+    block_outlier, parse_requests, pick_column, read_bench, read_npy, read_runs, read_telemetry,
     telemetry_from_ids, write_metrics, write_normalized, write_profile, write_table,
 )
 from . import views
@@ -327,6 +327,22 @@ def q_generate_telemetry(spark, sf_dir):
     return _round(readings, "value", "value_norm")
 
 
+def q_telemetry_exact_outliers(spark, sf_dir):
+    """Events as generated readings, with exactly 4 outliers at random places in each 1,000 rows and
+    their share of the last ones."""
+    events = views.table(spark, sf_dir, "events").select("event_id")
+    bounds = events.agg(F.struct(F.min("event_id").alias("first"), F.count(F.lit(1)).alias("rows")).alias("b")).scalar()
+    numbered = events.withColumns({"number": F.col("event_id") - bounds["first"], "rows": bounds["rows"]})
+    outlier = block_outlier(F.col("number"), F.col("rows"), block_rows=1000)
+    return _round(telemetry_from_ids(numbered, "event_id", outlier=outlier), "value", "value_norm")
+
+
+def q_sample_exact(spark, sf_dir):
+    """A tenth of all events, chosen at random without replacement."""
+    events = views.table(spark, sf_dir, "events").select("event_id", "user_id", "value")
+    return sample_exact(events, ["event_id"], fraction=0.1)
+
+
 def q_csv_round_trip(spark, sf_dir):
     path = scratch_path(spark, "telemetry-csv")
     columns = ["sensor_id", "region", "ts", "value", "value_norm", "quality"]

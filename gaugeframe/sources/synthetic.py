@@ -8,6 +8,8 @@ import time
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.sampling import PRIME, permuted
+
 # Shape of the generated telemetry.
 REGION_WEIGHTS = [
     ("eu-west", 0.25), ("eu-north", 0.08), ("us-east", 0.30), ("us-west", 0.12),
@@ -19,9 +21,6 @@ QUALITY_MEAN, QUALITY_STDDEV = 80.0, 18.0
 SPAN_SECONDS = 86_400 * 30
 BLOCK_ROWS = 2_000_000
 
-# A prime above any block size, so multiplying by it permutes the ids of a block.
-_STRIDE = 15_485_863
-
 
 def _uniform(row: Column, seed: int, draw: int) -> Column:
     """Uniform in (0, 1): the top 53 bits of a hash, moved off zero."""
@@ -71,22 +70,25 @@ def telemetry_from_ids(df: DataFrame, id_col: str, sensors: int = 5_000,
             ))
 
 
+def block_outlier(number: Column, rows: Column, anomaly_rate: float = 0.004, seed: int = 42,
+                  block_rows: int = BLOCK_ROWS) -> Column:
+    """Whether a row, numbered from 0 to ``rows`` - 1, is an outlier: in each block of
+    ``block_rows`` rows a random sample of exactly ``int(size * anomaly_rate)`` is."""
+    if not 0 < block_rows < PRIME:
+        raise ValueError(f"block_rows must be in 1..{PRIME - 1}")
+    block = F.floor(number / block_rows).cast("bigint")
+    size = F.least(F.lit(block_rows).cast("bigint"), rows - block * block_rows)
+    place = permuted(number % block_rows, size, block * 7_919 + F.lit(seed))
+    return place < F.floor(size * anomaly_rate)
+
+
 def generate_telemetry(spark: SparkSession, rows: int, sensors: int = 5_000,
                        anomaly_rate: float = 0.004, seed: int = 42, base_ts: int | None = None,
                        block_rows: int = BLOCK_ROWS, partitions: int | None = None) -> DataFrame:
-    """``rows`` telemetry rows with exactly ``int(size * anomaly_rate)`` outliers per block.
-
-    The outliers of a block are the ids a seeded permutation of it puts first: an exact
-    count without a sort or a shuffle.
-    """
-    if not 0 < block_rows < _STRIDE:
-        raise ValueError(f"block_rows must be in 1..{_STRIDE - 1}")
+    """``rows`` telemetry rows with exactly ``int(size * anomaly_rate)`` outliers per block, at
+    random places, without a sort or a shuffle."""
     if base_ts is None:
         base_ts = int(time.time()) - SPAN_SECONDS
-    block = F.floor(F.col("id") / block_rows).cast("long")
-    size = F.least(F.lit(block_rows).cast("long"), F.lit(rows) - block * block_rows)
-    start = F.pmod(F.xxhash64(block, F.lit(seed)), F.lit(block_rows).cast("long"))
-    place = F.pmod(F.pmod(F.col("id"), F.lit(block_rows)) * _STRIDE + start, size)
-    outlier = place < F.floor(size * anomaly_rate)
+    outlier = block_outlier(F.col("id"), F.lit(rows), anomaly_rate, seed, block_rows)
     return telemetry_from_ids(spark.range(0, rows, 1, partitions), "id", sensors, anomaly_rate,
                               seed, base_ts, outlier)

@@ -395,8 +395,9 @@ UNION ALL SELECT 'top_ratio', position, CAST(lr AS VARCHAR), CAST(rr AS VARCHAR)
   FROM pairs WHERE ls = rs AND abs(lr - rr) > 1e-6"""
 
 
-def _generated() -> str:
-    """The generator's draws: 64-bit xxHash of (id, seed, draw), step by step on 128-bit integers."""
+def _xxhash_steps(*ints: str) -> list[str]:
+    """64-bit xxHash of a long ``id`` and then 32-bit integers, step by step on 128-bit integers; each
+    step is an expression over the last one's ``h``."""
     two64 = "18446744073709551616::UHUGEINT"
     p1, p2, p3, p4, p5 = (f"{p}::UHUGEINT" for p in (
         11400714785074694791, 14029467366897019727, 1609587929392839161, 9650029242287828579,
@@ -414,17 +415,46 @@ def _generated() -> str:
         return [f"(h + {p5} + 4) % {two64}", f"xor(h, {mul(value, p1)})",
                 f"({mul(rotl('h', 23), p2)} + {p3}) % {two64}", *mix]
 
-    steps = [mul("id", p2), mul(rotl("h", 31), p1), f"xor(h, (42 + {p5} + 8) % {two64})",
-             f"({mul(rotl('h', 27), p1)} + {p4}) % {two64}", *mix, *of_int("42::UHUGEINT"), *of_int("draw")]
+    return [mul("id", p2), mul(rotl("h", 31), p1), f"xor(h, (42 + {p5} + 8) % {two64})",
+            f"({mul(rotl('h', 27), p1)} + {p4}) % {two64}", *mix, *[s for i in ints for s in of_int(i)]]
+
+
+def _permuted(numbers: str, size: str, key: str) -> str:
+    """CTEs ``walk`` and ``placed`` (id, place): Feistel rounds over a near-square table, walked
+    until inside the range. ``numbers`` gives (id, x, block)."""
+    rounds = [(48_271, 12_345_701), (69_621, 987_654_323), (1_226_874_159, 7_368_787), (630_360_016, 1_406_932_606),
+              (397_204_094, 86_028_121), (16_807, 179_424_673)]
+
+    def shuffled(source: str) -> str:
+        text = f"(SELECT *, spot // side AS r, spot % side AS c FROM {source})"
+        for i, (factor, shift) in enumerate(rounds):
+            of, into, width = ("r", "c", "side") if i % 2 else ("c", "r", "n_rows")
+            once = f"((({of} + key) % 2147483647 * {factor} + {shift}) % 2147483647)"
+            moved = f"(({into} + ({once} * {once} + {shift}) % 2147483647) % {width})"
+            text = f"(SELECT * EXCLUDE ({into}), {moved} AS {into} FROM {text})"
+        return text
+
+    return f"""sized AS (SELECT id, x, {size} AS size, {key} AS key FROM ({numbers})),
+squared AS (SELECT id, x AS spot, size, key, CAST(ceil(sqrt(size)) AS BIGINT) AS side,
+  CAST(ceil(size / ceil(sqrt(size))) AS BIGINT) AS n_rows FROM sized),
+walk AS (
+  SELECT id, size, key, side, n_rows, r * side + c AS spot FROM {shuffled('squared')}
+  UNION ALL SELECT id, size, key, side, n_rows, r * side + c FROM {shuffled('(SELECT * FROM walk WHERE spot >= size)')}),
+placed AS (SELECT id, spot AS place, size FROM walk WHERE spot < size)"""
+
+
+def _generated(outlier: str = "u0 < 0.004", placed: str = "") -> str:
+    """The generator's draws: a hash of (id, seed, draw) each."""
+    steps = _xxhash_steps("42::UHUGEINT", "draw")
     ctes = ["s0 AS (SELECT CAST(event_id AS UHUGEINT) AS id, CAST(d AS UHUGEINT) AS draw, "
             "0::UHUGEINT AS h FROM events, range(10) AS r(d))"]
     ctes += [f"s{i} AS (SELECT id, draw, {step} AS h FROM s{i - 1})" for i, step in enumerate(steps, 1)]
     draws = ", ".join(f"max(u) FILTER (draw = {d}) AS u{d}" for d in range(10))
-    return f"""WITH {", ".join(ctes)},
+    return f"""WITH RECURSIVE {placed}{", ".join(ctes)},
 u AS (SELECT id, draw, (CAST(h >> 11 AS DOUBLE) + 0.5) / 9007199254740992.0 AS u FROM s{len(steps)}),
 w AS (SELECT id, {draws} FROM u GROUP BY id),
 v AS (SELECT *, 100 + 25 * sqrt(-2 * ln(u3)) * cos(2 * pi() * u4)
-        + CASE WHEN u0 < 0.004 THEN CASE WHEN u5 < 0.5 THEN -1 ELSE 1 END * (100 + 100 * u6) ELSE 0 END AS value,
+        + CASE WHEN {outlier} THEN CASE WHEN u5 < 0.5 THEN -1 ELSE 1 END * (100 + 100 * u6) ELSE 0 END AS value,
       80 + 18 * sqrt(-2 * ln(u7)) * cos(2 * pi() * u8) AS q FROM w)
 SELECT printf('S%06d', CAST(floor(u2 * 5000) AS INT)) AS sensor_id,
   CASE WHEN u1 < 0.25 THEN 'eu-west' WHEN u1 < 0.33 THEN 'eu-north' WHEN u1 < 0.63 THEN 'us-east'
@@ -436,8 +466,21 @@ SELECT printf('S%06d', CAST(floor(u2 * 5000) AS INT)) AS sensor_id,
 FROM v"""
 
 
+EXACT = _generated("id IN (SELECT id FROM placed WHERE place < floor(size * 0.004))", _permuted(
+    "SELECT event_id AS id, (event_id - first) % 1000 AS x, (event_id - first) // 1000 AS block, n "
+    "FROM events, (SELECT min(event_id) AS first, count(*) AS n FROM events)",
+    "least(1000, n - block * 1000)", "block * 7919 + 42") + ",\n")
+_STEPS = _xxhash_steps("42::UHUGEINT")
+SAMPLE = f"""WITH s0 AS (SELECT event_id, user_id, value, CAST(event_id AS UHUGEINT) AS id, 0::UHUGEINT AS h FROM events),
+{", ".join(f"s{i} AS (SELECT event_id, user_id, value, id, {step} AS h FROM s{i - 1})" for i, step in enumerate(_STEPS, 1))}
+SELECT event_id, user_id, value FROM s{len(_STEPS)}
+ORDER BY CASE WHEN h >= 9223372036854775808::UHUGEINT THEN CAST(h AS HUGEINT) - 18446744073709551616::HUGEINT
+         ELSE CAST(h AS HUGEINT) END LIMIT (SELECT count(*) // 10 FROM events)"""
+
 ORACLES: dict[str, str] = {
     "generate_telemetry": _generated(),
+    "telemetry_exact_outliers": EXACT,
+    "sample_exact": SAMPLE,
     "anomaly_profile": ENRICHED,
     "profile_sink": ENRICHED,
     "top_anomalies": _top(20),
