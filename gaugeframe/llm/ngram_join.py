@@ -9,10 +9,10 @@ among the first ``n - ceil(0.75 n) + 1`` of either set in that order, so those s
 candidates. To decide a pair, the order is cut into fragments, the overlap is counted in each
 fragment by itself, and the counts are summed per pair.
 
-Pairs within a group of near copies are not all formed. First each class meets one leader of
-every shingle that it shares; classes already linked that way are one component. Only pairs of
-classes that share a shingle and still lie in different components are formed after that, so
-every link between different components is found and the components are exact.
+Pairs within a group of near copies are not all formed. In rounds, each class meets one central
+leader of every shingle that it shares; classes already linked that way are one component. Once a
+round links nothing, pairs of classes that share a shingle and still lie in different components
+are formed, so every link between different components is found and the components are exact.
 
 A text without words, or null, has an empty set and no link. Rows with equal id and text are one
 document in the result's components, each its own row. Null ids take part, but do not name a
@@ -41,7 +41,6 @@ BUCKETS = 1 << 20
 SLICES = 64  # pieces in which bucket counts are summed
 FRAGMENTS = 4
 SPLIT_ROWS = 200_000  # a shingle that occurs more often is dealt out over several groups
-STAR_ROUNDS = 2
 BROADCAST_CLASSES = 1_000_000
 BASE = np.uint64(0x9E3779B97F4A7C15)
 BLOCK = 2 << 20
@@ -154,10 +153,10 @@ def _possible(x: str, y: str) -> Column:
 
 
 def _enough(met: DataFrame) -> DataFrame:
-    """(a, b, na, nb) of the pairs (a, b, na, nb, shingle) that share enough shingles of their
+    """(a, b, na, nb) of the pairs (a, b, na, nb, weight) that share enough shingles of their
     prefixes. What they share up to where the first prefix ends lies in both prefixes; beyond
     that they share no more than what is left of that set."""
-    counted = met.groupBy("a", "b", "na", "nb").agg(F.count(F.lit(1)).alias("c"))
+    counted = met.groupBy("a", "b", "na", "nb").agg(F.sum("weight").alias("c"))
     rest = f"({PERCENT} * greatest(na, nb) + 99) DIV 100 - 1"
     need = f"({PERCENT} * (na + nb) + {99 + PERCENT}) DIV {100 + PERCENT}"
     return counted.filter(f"c + {rest} >= {need}").drop("c")
@@ -245,27 +244,29 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         held = chosen.select("node", "text").mapInArrow(cut, "node bigint, fragment int, held binary")
         return held.dropDuplicates(["node", "fragment"]) if repeated else held
 
-    links = None
-    grouped = shared.withColumn("comp", F.col("node"))
-    for turn in range(STAR_ROUNDS + 1):
+    links, grouped, turn = None, written(_collapsed(shared).withColumn("comp", F.col("node")), "groups"), 0
+    last = False
+    while True:
         live = grouped.groupBy("shingle").agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
         live = live.filter("low < high").select("shingle")
         grouped = written(grouped.join(live, "shingle", "left_semi"), "groups")
-        if turn < STAR_ROUNDS:
-            pairs = _star_pairs(grouped, turn)
-        else:
-            pairs = _cross_pairs(grouped)
-        pairs = written(pairs, "pairs")
+        pairs = written(_cross_pairs(grouped) if last else _star_pairs(grouped, turn), "pairs")
         found = written(linked_pairs(pairs, segments_of(pairs)), "links")
         links = found if links is None else links.unionByName(found)
-        roots = components(links)
-        if turn < STAR_ROUNDS:
-            grouped = _relabel(shared if turn == 0 else grouped, roots)
+        if last:
+            break
+        if found.isEmpty():  # leaders link no more: what is left is compared pair by pair
+            last = True
+        else:
+            grouped, turn = _relabel(grouped, components(links)), turn + 1
+    roots = components(links)
 
     per_class = sets.filter("n > 0").groupBy("node").agg(F.min("id").alias("low"), F.count(F.lit(1)).alias("copies"))
     rooted = per_class.join(roots.withColumnRenamed("node", "of"), F.col("node") == F.col("of"), "left").select(
         "node", "low", "copies", F.coalesce("root", "node").alias("root"))
-    named = written(rooted.join(rooted.groupBy("root").agg(F.min("low").alias("component_id")), "root").select(
+    # A component may hold a third of all classes.
+    whole = rooted.groupBy("root").agg(F.min("low").alias("component_id"), F.count(F.lit(1)).alias("classes"))
+    named = written(attach_by_key(rooted, whole, ["root"], "classes").select(
         "node", "copies", "component_id", F.col("root").alias("group")), "components")
     # One class may hold a third of all rows: heavy classes meet a bounded broadcast.
     full = attach_by_key(sets.filter("n > 0"), named, ["node"], "copies").select("id", "fp", "n", "component_id", "group")
@@ -278,26 +279,49 @@ def _relabel(grouped: DataFrame, roots: DataFrame) -> DataFrame:
     """``grouped`` with the component that each class now belongs to."""
     named = roots.select(F.col("node").alias("of"), "root")
     return grouped.drop("comp").join(named, F.col("node") == F.col("of"), "left").select(
-        "shingle", "node", "n", "i", F.coalesce("root", "node").alias("comp"))
+        "shingle", "node", "n", "i", "weight", "degree", F.coalesce("root", "node").alias("comp"))
+
+
+def _collapsed(shared: DataFrame) -> DataFrame:
+    """(shingle, node, n, i, weight, degree): of shingles that the same classes hold only one is
+    kept, with their number; a passage has one list of classes and not one for each of its words.
+    ``degree`` is the number of shared prefix shingles of a class."""
+    lists = shared.groupBy("shingle").agg(
+        F.bit_xor(F.xxhash64("node", F.lit(1))).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(2))).alias("y"),
+        F.count(F.lit(1)).alias("size"))
+    kept = lists.groupBy("x", "y", "size").agg(F.min("shingle").alias("shingle"), F.count(F.lit(1)).alias("weight"))
+    degrees = shared.groupBy("node").agg(F.count(F.lit(1)).alias("degree"))
+    return shared.join(kept.select("shingle", "weight"), "shingle").join(degrees, "node").select(
+        "shingle", "node", "n", "i", "weight", "degree")
+
+
+def _largest(grouped: DataFrame) -> DataFrame:
+    """(shingle, most): the component with the most classes of each shingle."""
+    held = grouped.groupBy("shingle", "comp").agg(F.count(F.lit(1)).alias("size"))
+    return held.groupBy("shingle").agg(F.max_by("comp", F.struct("size", "comp")).alias("most"))
 
 
 def _star_pairs(grouped: DataFrame, turn: int) -> DataFrame:
     """Each class with the leaders of shingles it shares, where the two are not yet one component
-    and share enough of the shingles that one leads. The leader is another one in each round."""
-    rank = F.xxhash64("node", F.lit(turn))
-    lead = grouped.groupBy("shingle").agg(F.min(F.struct(rank.alias("rank"), "node", "n", "i", "comp")).alias("l"))
-    met = grouped.alias("y").join(lead.select("shingle", "l.*").alias("x"), "shingle")
+    and share enough of the shingles that one leads. A leader is central: near copies differ from
+    their base less than from each other, and the base shares the most shingles. After the first
+    round leaders come from outside a shingle's largest component."""
+    inside = grouped.withColumn("out", F.lit(0))
+    if turn:
+        inside = grouped.join(_largest(grouped), "shingle").withColumn(
+            "out", (F.col("comp") != F.col("most")).cast("int")).drop("most")
+    best = F.struct("out", "degree", F.xxhash64("node").alias("rank"), "node", "n", "i", "comp")
+    lead = inside.groupBy("shingle").agg(F.max(best).alias("l")).select("shingle", "l.*")
+    met = grouped.alias("y").join(lead.alias("x"), "shingle")
     met = met.filter((F.col("x.comp") != F.col("y.comp")) & _possible("x", "y"))
     return _enough(met.select(F.col("x.node").alias("a"), F.col("y.node").alias("b"), F.col("x.n").alias("na"),
-                              F.col("y.n").alias("nb")))
+                              F.col("y.n").alias("nb"), "weight"))
 
 
 def _cross_pairs(grouped: DataFrame) -> DataFrame:
     """All pairs of classes that share enough shingles of their prefixes and lie in different
     components. Members of a shingle's largest component do not meet each other."""
-    held = grouped.groupBy("shingle", "comp").agg(F.count(F.lit(1)).alias("size"))
-    most = held.groupBy("shingle").agg(F.max_by("comp", F.struct("size", "comp")).alias("most"))
-    rest = grouped.join(most, "shingle").filter(F.col("comp") != F.col("most"))
+    rest = grouped.join(_largest(grouped), "shingle").filter(F.col("comp") != F.col("most"))
     met = rest.alias("x").join(grouped.alias("y"), "shingle")
     # Two that are both outside the largest component meet twice; one time counts.
     once = (F.col("y.comp") == F.col("x.most")) | (F.col("x.node") < F.col("y.node"))
@@ -307,7 +331,7 @@ def _cross_pairs(grouped: DataFrame) -> DataFrame:
         F.when(low, F.col("x.node")).otherwise(F.col("y.node")).alias("a"),
         F.when(low, F.col("y.node")).otherwise(F.col("x.node")).alias("b"),
         F.when(low, F.col("x.n")).otherwise(F.col("y.n")).alias("na"),
-        F.when(low, F.col("y.n")).otherwise(F.col("x.n")).alias("nb")))
+        F.when(low, F.col("y.n")).otherwise(F.col("x.n")).alias("nb"), F.col("x.weight").alias("weight")))
 
 
 def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:

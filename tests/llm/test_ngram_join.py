@@ -65,3 +65,47 @@ def test_components(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 160)] + [(500, 500), (7, 3)]
     got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
     assert got == {**{i: 0 for i in range(41)}, **{i: 100 for i in range(100, 160)}}
+
+
+@pytest.fixture
+def formed(monkeypatch):
+    """Pairs formed by a call, star rounds and the last step together."""
+    from gaugeframe.llm import ngram_join
+
+    counts, whole = [], ngram_join.written
+
+    def counted(df, name):
+        out = whole(df, name)
+        if name == "pairs":
+            counts.append(out.count())
+        return out
+
+    monkeypatch.setattr(ngram_join, "written", counted)
+    return counts
+
+
+def test_near_copies_that_link_only_by_their_base(spark, formed):
+    """300 copies of 200 words with five words changed each: mostly under the threshold to each
+    other, all over it to the base."""
+    rng = random.Random(4)
+    base = [f"w{i}" for i in range(200)]
+    docs = [(0, " ".join(base))]
+    for k in range(1, 301):
+        words = list(base)
+        for at in rng.sample(range(200), 5):
+            words[at] = f"x{k}.{at}"
+        docs.append((k, " ".join(words)))
+    rng.shuffle(docs)
+    got = similar_components(spark.createDataFrame(docs, "doc_id bigint, text string")).collect()
+    assert sorted((str(r["id"]), r["n_shingles"], str(r["component_id"])) for r in got) == brute(docs)
+    assert sum(formed) <= 20 * len(docs)
+
+
+def test_documents_that_share_a_passage(spark, formed):
+    """500 documents with one passage of 30 words and 12 to 60 of their own: few links or none."""
+    rng = random.Random(5)
+    passage = " ".join(f"p{i}" for i in range(30))
+    docs = [(k, " ".join(f"d{k}.{j}" for j in range(rng.randint(4, 60))) + " " + passage) for k in range(500)]
+    got = similar_components(spark.createDataFrame(docs, "doc_id bigint, text string")).collect()
+    assert sorted((str(r["id"]), r["n_shingles"], str(r["component_id"])) for r in got) == brute(docs)
+    assert sum(formed) <= 20 * len(docs)
