@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..plans.skew import keep_columns
 from ..schema import EQUIVALENCE_TOLERANCE, RELATIVE_ERROR_FLOOR, TOP_CHECKED
 from .profile import GROUP_KEYS, profile_totals, top_anomalies
 
@@ -22,8 +23,10 @@ def equivalent(a: DataFrame, b: DataFrame, tol: float = EQUIVALENCE_TOLERANCE,
     """Problem rows ``check, position, left, right`` of two profiles; none when they agree.
 
     Group and anomaly totals must be equal, and the first ``k`` rows agree pairwise in sensor
-    and, within ``tol``, in ratio.
+    and, within ``tol``, in ratio. Totals and first rows of a side read the same columns, so what
+    stands behind its profile is worked out once.
     """
+    a, b = (keep_columns(p, GROUP_KEYS, "readings") for p in (a, b))
     left, right = (profile_totals(p).select(F.struct("groups", "anomalies").alias(side))
                    for p, side in ((a, "l"), (b, "r")))
     totals = left.select("l", right.scalar().alias("r")).select(F.inline(F.array(*[

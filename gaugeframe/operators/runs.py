@@ -9,34 +9,40 @@ from ..functions.numeric import clean_number
 from ..functions.status import run_warnings, verdict
 from ..plans.skew import HOT_KEYS, rename_keys, same_key
 from ..schema import TOP_CHECKED
-from .order_stats import middle_values
+from .order_stats import bracket_values, middle_of, middle_values
 from .profile import GROUP_KEYS, profile_totals, top_anomalies
 
 
 def medians(runs: DataFrame, by: list[str], value: str, median: str = "mid",
-            hot_keys: int = HOT_KEYS) -> DataFrame:
+            hot_keys: int = HOT_KEYS, large_keys: bool = False) -> DataFrame:
     """``by, median``: ``mid`` averages the two middle values, ``upper`` takes the second."""
     if median not in ("mid", "upper"):
         raise ValueError(f"median must be 'mid' or 'upper', got {median!r}")
-    middle = middle_values(runs, by, value, hot_keys)
+    middle = middle_values(runs, by, value, hot_keys, large_keys=large_keys)
     upper = F.col("upper_middle")
     return middle.select(*by, (upper if median == "upper"
                                else (F.col("lower_middle") + upper) / 2).alias("median"))
 
 
 def timing_summary(runs: DataFrame, by: list[str], value: str, median: str = "mid",
-                   hot_keys: int = HOT_KEYS) -> DataFrame:
-    """runs, median, mean, sample stdev, min, max and CV% per group; one run has stdev and CV 0."""
-    x = clean_number(value)
-    spread = F.when(F.count(x) > 0, F.coalesce(F.stddev_samp(x), F.lit(0.0)))
-    stats = runs.groupBy(*by).agg(
-        F.count(x).alias("runs"), F.avg(x).alias("mean"), spread.alias("stdev"),
-        F.min(x).alias("min"), F.max(x).alias("max"))
-    middle = rename_keys(medians(runs, by, value, median, hot_keys), by)
+                   hot_keys: int = HOT_KEYS, large_keys: bool = False) -> DataFrame:
+    """runs, median, mean, sample stdev, min, max and CV% per group; one run has stdev and CV 0.
+    ``large_keys`` is for groups of more than about 5 * 10^7 runs, see ``middle_values``."""
+    if median not in ("mid", "upper"):
+        raise ValueError(f"median must be 'mid' or 'upper', got {median!r}")
+    rows = runs.select(*by, clean_number(value).alias("__v"))
+    x = F.col("__v")
+    # One pass gives the moments and the brackets of the medians, a second the medians.
+    stats = bracket_values(rows, by, mean=F.avg(x), min=F.min(x), max=F.max(x),
+                           stdev=F.when(F.count(x) > 0, F.coalesce(F.stddev_samp(x), F.lit(0.0))))
+    middle = middle_of(rows.filter("__v IS NOT NULL"), stats.filter("__n > 0"), by, hot_keys, large_keys=large_keys)
+    upper = F.col("upper_middle")
+    middle = rename_keys(middle.select(*by, (upper if median == "upper" else (
+        F.col("lower_middle") + upper) / 2).alias("median")), by)
     return (stats.join(middle, same_key(by), "left")
-            .select(*by, "runs", "median", "mean", "stdev", "min", "max",
-                    F.when(F.col("runs") > 1, F.try_divide(F.col("stdev"), F.col("mean")) * 100)
-                     .when(F.col("runs") == 1, F.lit(0.0)).alias("cv_pct")))
+            .select(*by, F.col("__n").alias("runs"), "median", "mean", "stdev", "min", "max",
+                    F.when(F.col("__n") > 1, F.try_divide(F.col("stdev"), F.col("mean")) * 100)
+                     .when(F.col("__n") == 1, F.lit(0.0)).alias("cv_pct")))
 
 
 def compare_runs(runs: DataFrame, baseline: str, candidate: str, job: str = "job_id",

@@ -47,6 +47,14 @@ def without_keys(df: DataFrame, hot: DataFrame, keys: list[str]) -> DataFrame:
     return df.join(F.broadcast(rename_keys(hot.select(*keys), keys)), same_key(keys), "left_anti")
 
 
+def keep_columns(per_key: DataFrame, keys: list[str], weight: str) -> DataFrame:
+    """``per_key`` with a filter that is always true and reads every column: whatever a use of it
+    needs, all uses read the same columns, so the aggregate behind it is exchanged once. ``weight``
+    is a count, so the hash is never worked out."""
+    values = ", ".join(f"`{c}`" for c in per_key.columns if c not in (*keys, weight))
+    return per_key.filter(f"`{weight}` >= 0 OR xxhash64({values}) = 0") if values else per_key
+
+
 def attach_by_key(rows: DataFrame, per_key: DataFrame, keys: list[str], weight: str,
                   hot_keys: int = HOT_KEYS) -> DataFrame:
     """``rows`` with the columns of ``per_key`` (one row per key, every key present).
@@ -54,9 +62,7 @@ def attach_by_key(rows: DataFrame, per_key: DataFrame, keys: list[str], weight:
     Rows of heavy keys meet a bounded broadcast table and are never shuffled; the other
     rows are shuffled by key.
     """
-    # Every use below reads the same columns, so the aggregate behind it is exchanged once.
-    values = [c for c in per_key.columns if c not in (*keys, weight)]
-    per_key = per_key.filter(" OR ".join([f"`{weight}` >= 0", *[f"`{v}` IS NULL" for v in values]]))
+    per_key = keep_columns(per_key, keys, weight)
     hot = heaviest_keys(per_key, keys, weight, hot_keys)
     renamed = [key_alias(k) for k in keys]
     by_broadcast = rows.join(F.broadcast(rename_keys(hot, keys)), same_key(keys)).drop(*renamed)

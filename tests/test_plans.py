@@ -70,3 +70,37 @@ def test_retention_reaches_the_scan(spark, sf_dir):
 def test_job_logs_are_folded_by_hash(spark, sf_dir, name):
     text = catalog.queries()[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert "SortAggregate" not in text and "Window" not in text
+
+
+def rows_read(df) -> int:
+    """Rows that the scans of the executed plan gave, reused exchanges counted once."""
+    df.collect()
+
+    def of(p) -> int:
+        name = p.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            return of(p.executedPlan())
+        if name.endswith("QueryStageExec"):
+            return of(p.plan())
+        if name == "ReusedExchangeExec":
+            return 0
+        total = p.metrics().apply("numOutputRows").value() if name == "FileSourceScanExec" else 0
+        children = p.children().iterator()
+        while children.hasNext():
+            total += of(children.next())
+        subqueries = p.subqueries().iterator()
+        while subqueries.hasNext():
+            q = subqueries.next()
+            if q.getClass().getSimpleName() == "SubqueryExec":
+                total += of(q.child())
+        return total
+
+    return of(df._jdf.queryExecution().executedPlan())
+
+
+@pytest.mark.parametrize("name,table,most", [
+    ("timing_summary", "events", 2), ("timing_summary_hot", "events", 2), ("compare_runs", "events", 2),
+    ("normalize_by_key", "lineitem", 2), ("normalize_by_many_keys", "lineitem", 3), ("profile_equivalence", "events", 3)])
+def test_reads(spark, sf_dir, name, table, most):
+    n = spark.read.parquet(f"{sf_dir}/{table}.parquet").count()
+    assert rows_read(catalog.queries()[name](spark, sf_dir)) <= most * n

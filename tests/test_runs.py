@@ -3,6 +3,7 @@ import random
 import statistics
 
 import pytest
+from pyspark.sql import functions as F
 
 from gaugeframe.operators.order_stats import bracket_values, count_inside
 from gaugeframe.operators import (analyze_jobs, bench_pivot, compare_runs, middle_values,
@@ -116,3 +117,57 @@ def test_middle_values_narrow_any_range(spark, value):
     got = middle_values(rows.withColumnRenamed("__v", "v"), ["k"], "v").first()
     v = sorted(r[0] for r in rows.select("__v").collect())
     assert (got["lower_middle"], got["upper_middle"]) == (v[99_999], v[100_000])
+
+
+def _of_large_keys(df, slices, accuracy=10_000):
+    out = middle_values(df, ["k"], "v", accuracy=accuracy, large_keys=True, slices=slices)
+    return {r[0]: (r[1], r[2]) for r in out.collect()}
+
+
+def test_large_keys_are_narrowed_to_the_value(spark):
+    """Distributions that even slices alone would not part: many octaves, infinities, ties, signs."""
+    rng = random.Random(3)
+    groups = {
+        "octaves": [rng.choice([-1, 1]) * 2.0 ** rng.uniform(-1070, 1020) for _ in range(3001)],
+        "inf": [float("inf")] * 900 + [float("-inf")] * 900 + [rng.gauss(0, 1) for _ in range(2000)],
+        "ties": [5.0] * 2000 + [rng.random() for _ in range(1999)], "zero": [0.0] * 50 + [-1e-310, 1e-310] * 1200,
+        "close": [1.0 + i * 2.0 ** -52 for i in range(2600)], "all inf": [float("inf")] * 2600,
+        "small": [1.0, 2.0], "one": [7.0], None: [float(i) for i in range(2700)]}
+    rows = [(k, v) for k, values in groups.items() for v in values]
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows + [("none", None)], "k string, v double").repartition(5)
+    want = {}
+    for k, values in groups.items():
+        s = sorted(values)
+        want[k] = (s[(len(s) - 1) // 2], s[len(s) // 2])
+    assert _of_large_keys(df, 4096, accuracy=7) == want  # keys of more than 2,389 rows are narrowed
+    assert _of_large_keys(df, 65_536) == want
+
+
+def test_one_key_of_ten_million_rows(spark):
+    """The widest window of the plan orders no more rows than there are slices."""
+    n, slices = 10_000_000, 1000
+    df = spark.range(n).select(F.lit(1).alias("k"), (F.col("id") * 7919 % n).cast("double").alias("v"))
+    out = middle_values(df, ["k"], "v", large_keys=True, slices=slices)
+    assert [tuple(r) for r in out.collect()] == [(1, 4_999_999.0, 5_000_000.0)]
+    widest, plans = 0, [out._jdf.queryExecution().executedPlan()]
+    while plans:
+        p = plans.pop()
+        name = p.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            plans.append(p.executedPlan())
+        elif "QueryStageExec" in name:
+            plans.append(p.plan())
+        else:
+            if name == "WindowExec":
+                widest = max(widest, p.child().metrics().apply("numOutputRows").value()
+                             if p.child().metrics().contains("numOutputRows") else 0)
+                plans_below = p.child()
+                while plans_below.children().size() and "AQEShuffleRead" not in plans_below.getClass().getSimpleName():
+                    plans_below = plans_below.children().head()
+                if plans_below.metrics().contains("numOutputRows"):
+                    widest = max(widest, plans_below.metrics().apply("numOutputRows").value())
+            children = p.children().iterator()
+            while children.hasNext():
+                plans.append(children.next())
+    assert 0 < widest <= 2 * (slices + 1)  # two wanted ranks
