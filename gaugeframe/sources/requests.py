@@ -18,42 +18,69 @@ _BLANKS = " \t\r\n"
 _CORRUPT = "__corrupt"
 
 
+# What a schema can't tell: a field of text whose value is neither text nor null, and keys that may be
+# spelled with escapes.
+_TEXTS = [f for f in FIELDS if f != "forceCpu"]
+_UNSURE = f'\\\\|"({"|".join(_TEXTS)})"\\s*:\\s*[^"\\sn]'
+_OPTIONS = {"columnNameOfCorruptRecord": _CORRUPT, "allowSingleQuotes": "false"}
+
+
 def parse_requests(df: DataFrame, json_col: str) -> DataFrame:
     """Adds the request fields and ``parse_errors``; only ``datasetUri`` is required.
 
     Text is trimmed. A blank or wrong-typed field is an error, a missing or JSON-null one
     takes its default. All fields of a malformed request are still given where readable.
+
+    Every row is read by a typed schema first. Only rows that the schema rejects, or that it can't
+    judge, are read again field by field.
     """
-    # The fields go through array functions instead of one expression each: the generated
-    # method stays small enough for the JIT, and every field is looked up once per row.
+    schema = ", ".join([f"`{f}` {'BOOLEAN' if f == 'forceCpu' else 'STRING'}" for f in FIELDS] + [f"{_CORRUPT} STRING"])
+    read = df.withColumn("__typed", F.from_json(json_col, schema, _OPTIONS))
+    typed = {f: F.col("__typed")[f] for f in FIELDS}
+    texts = {f: F.trim(typed[f], F.lit(_BLANKS)) for f in _TEXTS}
+    plain = F.col("__typed")[_CORRUPT].isNull() & F.col(json_col).rlike(r"^\s*\{") & ~F.col(json_col).rlike(_UNSURE)
+    for f in _TEXTS:
+        given = texts[f] != ""
+        plain = plain & (given.isNotNull() & given if f == "datasetUri" else F.coalesce(given, F.lit(True)))
+    record = F.when(F.coalesce(plain, F.lit(False)), _record(
+        texts | {"forceCpu": F.coalesce(typed["forceCpu"], F.lit(False))}, F.array().cast("array<string>")))
+    return read.withColumn("__request", record.otherwise(_by_field(F.col(json_col)))).select(*df.columns, "__request.*")
+
+
+def _record(value: dict[str, Column], errors: Column) -> Column:
+    return F.struct(
+        value["datasetUri"].alias("dataset_uri"), F.coalesce(value["mode"], F.lit(DEFAULT_MODE)).alias("mode"),
+        F.coalesce(value["pipeline"], F.lit(DEFAULT_PIPELINE)).alias("pipeline"), value["outputUri"].alias("output_uri"),
+        value["callbackUrl"].alias("callback_url"), value["forceCpu"].alias("force_cpu"), value["column"].alias("column"),
+        errors.alias("parse_errors"))
+
+
+def _once(value: Column, then) -> Column:
+    """``then(value)`` with ``value`` worked out once, however often it is used."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
+def _by_field(text: Column) -> Column:
+    """The record of a request of any form, from the type of each field."""
     rules = F.array(*[
         F.struct(F.lit("BOOLEAN" if f == "forceCpu" else "STRING").alias("kind"),
                  F.lit((NOT_BOOLEAN if f == "forceCpu" else NOT_TEXT).format(f)).alias("message"))
         for f in FIELDS])
-    body = F.from_json(json_col, ", ".join([f"`{f}` VARIANT" for f in FIELDS] + [f"{_CORRUPT} STRING"]),
-                       {"columnNameOfCorruptRecord": _CORRUPT, "allowSingleQuotes": "false"})
-    values = F.array(*[F.col("__body")[f] for f in FIELDS])
-    read = (df.withColumn("__body", body)
-            .withColumn("__object", F.coalesce(
-                F.col(json_col).rlike(r"^\s*\{") & F.col("__body")[_CORRUPT].isNull(), F.lit(False)))
-            .withColumn("__fields", F.transform(values, _describe))
-            .withColumn("__fields", F.when(F.col("__object"), F.zip_with(rules, "__fields", _check))))
-    value = {f: F.col("__fields")[i]["value"] for i, f in enumerate(FIELDS)}
-    errors = F.transform("__fields", lambda f, i: F.when(
-        f.isNull() & (i == FIELDS.index("datasetUri")), F.lit(MISSING)).otherwise(f["error"]))
-    return (read
-            .withColumns({
-                "dataset_uri": value["datasetUri"],
-                "mode": F.coalesce(value["mode"], F.lit(DEFAULT_MODE)),
-                "pipeline": F.coalesce(value["pipeline"], F.lit(DEFAULT_PIPELINE)),
-                "output_uri": value["outputUri"],
-                "callback_url": value["callbackUrl"],
-                "force_cpu": F.coalesce(value["forceCpu"] == "true", F.lit(False)),
-                "column": value["column"],
-                "parse_errors": F.when(F.col("__object"), F.array_compact(errors))
-                .otherwise(F.array(F.lit(NOT_AN_OBJECT))),
-            })
-            .drop("__body", "__object", "__fields"))
+    body = F.from_json(text, ", ".join([f"`{f}` VARIANT" for f in FIELDS] + [f"{_CORRUPT} STRING"]), _OPTIONS)
+
+    def of_fields(fields: Column) -> Column:
+        value = {f: fields[i]["value"] for i, f in enumerate(FIELDS)}
+        errors = F.transform(fields, lambda f, i: F.when(
+            f.isNull() & (i == FIELDS.index("datasetUri")), F.lit(MISSING)).otherwise(f["error"]))
+        return _record(value | {"forceCpu": F.coalesce(value["forceCpu"] == "true", F.lit(False))},
+                       F.when(fields.isNotNull(), F.array_compact(errors)).otherwise(F.array(F.lit(NOT_AN_OBJECT))))
+
+    def of_body(read: Column) -> Column:
+        is_object = F.coalesce(text.rlike(r"^\s*\{") & read[_CORRUPT].isNull(), F.lit(False))
+        checked = F.zip_with(rules, F.transform(F.array(*[read[f] for f in FIELDS]), _describe), _check)
+        return _once(F.when(is_object, checked), of_fields)
+
+    return _once(body, of_body)
 
 
 def _describe(raw: Column) -> Column:
