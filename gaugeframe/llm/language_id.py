@@ -28,10 +28,10 @@ FILTERS = 16  # of each width
 EMBED = 8
 FIT_ROWS = 2_000  # bound on the labelled rows of each language that the network is fitted on
 FIT_WINDOWS = 8  # windows, evenly spaced, that one such row gives
-MAX_LANGUAGES = 500
 STEPS, BATCH, RATE = 700, 64, 0.01
 REACH = max(WIDTHS)
-BLOCK = 256 << 10
+BLOCK = 64 << 10  # bytes of windows that are scored at once
+READ = 512 << 10
 
 
 def crc32_rest(id_col: str, mod: int) -> Column:
@@ -133,11 +133,9 @@ def fit_language_id(labelled: DataFrame, text_col: str = "text", lang_col: str =
                            F.xxhash64(F.col(id_col), F.col(text_col)).alias("pick"))
     rows = rows.filter(F.col("lang").isNotNull() & (F.length("text") > 0))
     counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-              .orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES + 1).collect()}
+              .collect()}
     if not counts:
         return None
-    if len(counts) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
     languages = sorted(counts)
     share = F.create_map(*[F.lit(x) for k in languages for x in (k, min(1.0, fit_rows / counts[k]))])
     u = F.pmod(F.col("pick"), F.lit(1 << 30)) / float(1 << 30)
@@ -145,7 +143,7 @@ def fit_language_id(labelled: DataFrame, text_col: str = "text", lang_col: str =
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block in blocks(batch, "text"):
+            for block in blocks(batch, "text", READ):
                 held, owner, _ = windows_of(text_column(block, "text"))
                 ends = np.searchsorted(owner, np.arange(block.num_rows + 1))
                 keep = np.concatenate([np.unique(np.linspace(a, b - 1, FIT_WINDOWS).astype(int))
@@ -202,7 +200,7 @@ def predict_language(docs: DataFrame, net: ByteConvNet | None, text_col: str = "
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block in blocks(batch, text_col):
+            for block in blocks(batch, text_col, READ):
                 names, scores = label(text_column(block, text_col))
                 yield pa.RecordBatch.from_arrays([*block.columns, names, scores],
                                                  names=[*block.schema.names, "lang_pred", "score"])

@@ -42,6 +42,8 @@ SLICES = 64  # pieces in which bucket counts are summed
 FRAGMENTS = 4
 SPLIT_ROWS = 200_000  # a shingle that occurs more often is dealt out over several groups
 BROADCAST_CLASSES = 1_000_000
+WORDS = 4  # 64-bit words of a class's bitmap of prefix shingles
+BITS = [f"b{k}" for k in range(WORDS)]
 BASE = np.uint64(0x9E3779B97F4A7C15)
 BLOCK = 2 << 20
 
@@ -146,10 +148,21 @@ def linked_pairs(pairs: DataFrame, segments: DataFrame) -> DataFrame:
 
 def _possible(x: str, y: str) -> Column:
     """Whether two classes that share a shingle at these places can reach the threshold: by
-    length, and by what can still follow in the global order."""
+    length, by what can still follow in the global order, and by the prefix shingles that they may
+    share at most. A bit that only one of them has set stands for a shingle that the other lacks."""
+    def most(a: str, b: str) -> str:
+        return f"({a}.degree - " + " - ".join(f"bit_count({a}.{w} & ~{b}.{w})" for w in BITS) + ")"
+
+    rest, need = _bounds(f"{x}.n", f"{y}.n")
     return F.expr(f"""100 * least({x}.n, {y}.n) >= {PERCENT} * greatest({x}.n, {y}.n) AND
         {100 + PERCENT} * (least({x}.i, {y}.i) + least({x}.n - {x}.i, {y}.n - {y}.i))
-        >= {PERCENT} * ({x}.n + {y}.n)""")
+        >= {PERCENT} * ({x}.n + {y}.n) AND least({most(x, y)}, {most(y, x)}) + {rest} >= {need}""")
+
+
+def _bounds(na: str, nb: str) -> tuple[str, str]:
+    """What two sets share beyond the end of a prefix at most, and what they must share in all."""
+    return (f"({PERCENT} * greatest({na}, {nb}) + 99) DIV 100 - 1",
+            f"({PERCENT} * ({na} + {nb}) + {99 + PERCENT}) DIV {100 + PERCENT}")
 
 
 def _enough(met: DataFrame) -> DataFrame:
@@ -157,8 +170,7 @@ def _enough(met: DataFrame) -> DataFrame:
     prefixes. What they share up to where the first prefix ends lies in both prefixes; beyond
     that they share no more than what is left of that set."""
     counted = met.groupBy("a", "b", "na", "nb").agg(F.sum("weight").alias("c"))
-    rest = f"({PERCENT} * greatest(na, nb) + 99) DIV 100 - 1"
-    need = f"({PERCENT} * (na + nb) + {99 + PERCENT}) DIV {100 + PERCENT}"
+    rest, need = _bounds("na", "nb")
     return counted.filter(f"c + {rest} >= {need}").drop("c")
 
 
@@ -279,20 +291,24 @@ def _relabel(grouped: DataFrame, roots: DataFrame) -> DataFrame:
     """``grouped`` with the component that each class now belongs to."""
     named = roots.select(F.col("node").alias("of"), "root")
     return grouped.drop("comp").join(named, F.col("node") == F.col("of"), "left").select(
-        "shingle", "node", "n", "i", "weight", "degree", F.coalesce("root", "node").alias("comp"))
+        "shingle", "node", "n", "i", "weight", "degree", *BITS, F.coalesce("root", "node").alias("comp"))
 
 
 def _collapsed(shared: DataFrame) -> DataFrame:
     """(shingle, node, n, i, weight, degree): of shingles that the same classes hold only one is
     kept, with their number; a passage has one list of classes and not one for each of its words.
-    ``degree`` is the number of shared prefix shingles of a class."""
+    ``degree`` is the number of shared prefix shingles of a class, ``b0`` and so on a bit for each
+    of them by its hash."""
     lists = shared.groupBy("shingle").agg(
         F.bit_xor(F.xxhash64("node", F.lit(1))).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(2))).alias("y"),
         F.count(F.lit(1)).alias("size"))
     kept = lists.groupBy("x", "y", "size").agg(F.min("shingle").alias("shingle"), F.count(F.lit(1)).alias("weight"))
-    degrees = shared.groupBy("node").agg(F.count(F.lit(1)).alias("degree"))
+    bit = F.expr("shiftleft(1L, CAST(xxhash64(shingle) & 63 AS INT))")
+    word = F.expr(f"shiftright(xxhash64(shingle), 6) & {WORDS - 1}")
+    degrees = shared.groupBy("node").agg(F.count(F.lit(1)).alias("degree"), *[
+        F.coalesce(F.bit_or(F.when(word == k, bit)), F.lit(0).cast("bigint")).alias(f"b{k}") for k in range(WORDS)])
     return shared.join(kept.select("shingle", "weight"), "shingle").join(degrees, "node").select(
-        "shingle", "node", "n", "i", "weight", "degree")
+        "shingle", "node", "n", "i", "weight", "degree", *BITS)
 
 
 def _largest(grouped: DataFrame) -> DataFrame:
@@ -310,7 +326,7 @@ def _star_pairs(grouped: DataFrame, turn: int) -> DataFrame:
     if turn:
         inside = grouped.join(_largest(grouped), "shingle").withColumn(
             "out", (F.col("comp") != F.col("most")).cast("int")).drop("most")
-    best = F.struct("out", "degree", F.xxhash64("node").alias("rank"), "node", "n", "i", "comp")
+    best = F.struct("out", "degree", F.xxhash64("node").alias("rank"), "node", "n", "i", "comp", *BITS)
     lead = inside.groupBy("shingle").agg(F.max(best).alias("l")).select("shingle", "l.*")
     met = grouped.alias("y").join(lead.alias("x"), "shingle")
     met = met.filter((F.col("x.comp") != F.col("y.comp")) & _possible("x", "y"))

@@ -10,7 +10,6 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
-from functools import cache
 from zlib import crc32
 
 import pyarrow as pa
@@ -42,7 +41,6 @@ def checksum_ok(body: str) -> bool:
     return digits == body[-6:]
 
 
-@cache
 def _automaton():
     """Keywords over lower-cased text. A run of hex digits has no keyword, but each run that is
     long enough begins with four hex digits, which are rare in prose."""
@@ -68,12 +66,14 @@ def _automaton():
     return out
 
 
-@cache
 def _patterns() -> dict[str, re.Pattern]:
     return {"assign": re.compile(ASSIGN, re.ASCII | re.IGNORECASE), "access": re.compile(ACCESS),
             "hex": re.compile(HEX)} | {k: re.compile(p) for k, (_, p) in CHECKED.items()}
 
 
+_SCANNER: list = []
+
+
 def _accept(kind: str, match: re.Match) -> bool:
     if kind == "assign":
         return len(match[2]) >= MIN_VALUE
@@ -89,8 +89,10 @@ def find_secrets(text: str) -> list[tuple[int, int, str]]:
     then kind. A match that fails its test still uses up its text."""
     # Lower-casing bytes touches A-Z only and keeps every position.
     lowered = text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass")
-    patterns, used, spans = _patterns(), dict.fromkeys(KINDS, 0), []
-    for last, hits in _automaton().iter(lowered):
+    if not _SCANNER:  # made once by each task's process; it does not travel
+        _SCANNER.extend([_automaton(), _patterns()])
+    (automaton, patterns), used, spans = _SCANNER, dict.fromkeys(KINDS, 0), []
+    for last, hits in automaton.iter(lowered):
         for kind, size in hits:
             start = last + 1 - size
             if start < used[kind]:

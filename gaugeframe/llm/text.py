@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -59,10 +58,14 @@ def split_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
     return coded.indices.to_numpy().astype(np.int64), offsets, coded.dictionary
 
 
-@cache
+_TABLES: dict[int, tuple[np.ndarray, int]] = {}
+
+
 def _hash_tables(seed: int) -> tuple[np.ndarray, int]:
-    rng = np.random.default_rng(seed)
-    return rng.integers(0, 1 << 64, 256, np.uint64), int(rng.integers(0, 1 << 64, dtype=np.uint64)) | 1
+    if seed not in _TABLES:
+        rng = np.random.default_rng(seed)
+        _TABLES[seed] = rng.integers(0, 1 << 64, 256, np.uint64), int(rng.integers(0, 1 << 64, dtype=np.uint64)) | 1
+    return _TABLES[seed]
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
