@@ -415,6 +415,34 @@ def q_read_npy(spark, sf_dir):
         F.max("value").alias("highest"))
 
 
+def q_read_npy_files(spark, sf_dir):
+    """Vectors as files of 64 each, read back: what every file holds, and in which order."""
+    path = scratch_path(spark, "npy-files")
+
+    def save(table):
+        import numpy as np
+        import pyarrow as pa
+        from pyarrow import fs
+
+        table = table.sort_by("vec_id")
+        number = table["vec_id"][0].as_py() // 64
+        root, folder = fs.FileSystem.from_uri(path if "://" in path else f"file://{path}")
+        root.create_dir(folder)
+        values = table["embedding"].combine_chunks().flatten().to_numpy(zero_copy_only=False)
+        with root.open_output_stream(f"{folder}/vectors-{number}.npy") as out:
+            np.save(out, values.reshape(table.num_rows, -1))
+        return pa.table({"file": pa.array([number], pa.int64())})
+
+    vectors = views.table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    files = vectors.groupBy(F.floor(F.col("vec_id") / 64)).applyInArrow(save, "file bigint")
+    files.agg(F.count("file")).collect()
+    number = F.regexp_extract("path", r"vectors-(\d+)\.npy$", 1).cast("bigint")
+    return read_npy(spark, path).groupBy(number.alias("file")).agg(
+        F.count(F.lit(1)).alias("elements"), F.sum("idx").alias("sum_idx"), F.max("idx").alias("last_idx"),
+        F.min("value").alias("lowest"), F.max("value").alias("highest"), F.min_by("value", "idx").alias("first_value"),
+        F.max_by("value", "idx").alias("last_value"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     named = {name[2:]: fn for name, fn in globals().items() if name.startswith("q_")}
     for mode in MODES:

@@ -6,21 +6,49 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 CHUNK_BYTES = 32 << 20
+WHOLE_BYTES = 32 << 20
 
 
-def read_npy(spark: SparkSession, path: str, glob: str = "*.npy",
-             chunk_bytes: int = CHUNK_BYTES, partitions: int | None = None) -> DataFrame:
+def read_npy(spark: SparkSession, path: str, glob: str = "*.npy", chunk_bytes: int = CHUNK_BYTES,
+             partitions: int | None = None, whole_bytes: int = WHOLE_BYTES) -> DataFrame:
     """``path, idx, value`` (float32) of every ``.npy`` file under ``path``.
 
-    A file is read in byte ranges, each its own task-sized row: neither a large file nor its
-    content is ever held by one task. n-dimensional arrays are flattened in C order.
+    Files of up to ``whole_bytes`` come through Spark's own file layer, so any store that Spark
+    reads, with its credentials, will do. Larger files are read in byte ranges, each its own
+    task-sized row, through ``pyarrow.fs``: neither such a file nor its content is ever held by one
+    task. n-dimensional arrays are flattened in C order.
     """
+    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
+    small = files.filter(F.col("length") <= whole_bytes).select("path", "content")
+    large = files.filter(F.col("length") > whole_bytes).select("path", "length")
+    return _whole_files(small).unionByName(_by_ranges(spark, large, chunk_bytes, partitions))
+
+
+def _whole_files(files: DataFrame) -> DataFrame:
+    def read_whole(batches):
+        import io
+
+        import numpy as np
+        import pyarrow as pa
+
+        for batch in batches:
+            for uri, content in zip(batch.column("path").to_pylist(), batch.column("content")):
+                values = np.load(io.BytesIO(content.as_buffer()), allow_pickle=False).reshape(-1)
+                step = max(1, (4 << 20) // max(1, values.itemsize))
+                for lo in range(0, len(values), step):
+                    some = values[lo:lo + step].astype(np.float32)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.repeat(uri, len(some)), pa.array(np.arange(lo, lo + len(some), dtype=np.int64)), pa.array(some)],
+                        names=["path", "idx", "value"])
+
+    return files.mapInArrow(read_whole, "path string, idx bigint, value float")
+
+
+def _by_ranges(spark: SparkSession, files: DataFrame, chunk_bytes: int, partitions: int | None) -> DataFrame:
     if partitions is None:
         # An explicit number: the ranges are tiny rows, which AQE would pack into one task.
         partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")),
                          4 * spark.sparkContext.defaultParallelism)
-    files = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
-             .load(path).select("path", "length"))
     ranges = (files.select("path", F.explode(F.sequence(
                   F.lit(0).cast("long"), F.greatest(F.col("length") - 1, F.lit(0)),
                   F.lit(chunk_bytes).cast("long"))).alias("start"))

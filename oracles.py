@@ -606,6 +606,11 @@ r AS (SELECT * FROM (VALUES ('rdd', 'events', 0, 3.0::DOUBLE), ('rdd', 'events',
 SELECT pipeline, input, run, seconds, groups, anomalies FROM r CROSS JOIN t""",
     "decode_f32": """SELECT vec_id, CAST(generate_subscripts(embedding, 1) - 1 AS INT) AS pos, unnest(embedding) AS x
 FROM embeddings""",
+    "read_npy_files": """WITH v AS (SELECT vec_id // 64 AS file, (row_number() OVER (PARTITION BY vec_id // 64 ORDER BY vec_id) - 1)
+    * len(embedding) AS begins, embedding FROM embeddings),
+x AS (SELECT file, begins + generate_subscripts(embedding, 1) - 1 AS idx, unnest(embedding) AS v FROM v)
+SELECT file, count(*) AS elements, CAST(sum(idx) AS BIGINT) AS sum_idx, max(idx) AS last_idx, min(v) AS lowest,
+  max(v) AS highest, arg_min(v, idx) AS first_value, arg_max(v, idx) AS last_value FROM x GROUP BY file""",
     "read_npy": """WITH x AS (SELECT unnest(embedding) AS v FROM embeddings)
 SELECT round(v, 1) AS bin, count(*) AS elements, min(v) AS lowest, max(v) AS highest FROM x GROUP BY 1""",
 }

@@ -7,7 +7,7 @@ import pytest
 from gaugeframe.operators import retain
 from gaugeframe.plans import catalog, views
 
-PYTHON_QUERIES = {"decode_f32", "read_npy"}
+PYTHON_QUERIES = {"decode_f32", "read_npy", "read_npy_files"}
 ROUND_TRIPS = {"csv_round_trip", "normalized_sink", "profile_sink", "metrics_round_trip", "bench_csv"}
 
 

@@ -46,15 +46,15 @@ def test_pick_column(spark, tmp_path):
     assert pick_column(read_telemetry(spark, str(tmp_path / "x.csv"), "csv", schema=None)) == "score"
 
 
-@pytest.mark.parametrize("chunk", [64, 1000, 1 << 20])
-def test_npy_in_ranges(spark, tmp_path, chunk):
+@pytest.mark.parametrize("chunk,whole", [(64, 0), (1000, 0), (1 << 20, 0), (64, 1000), (64, 1 << 20)])
+def test_npy_in_ranges(spark, tmp_path, chunk, whole):
     rng = np.random.default_rng(3)
     arrays = {"a": rng.normal(size=777).astype(np.float32), "b": rng.normal(size=(13, 5)),
               "c": np.asfortranarray(rng.integers(0, 99, (7, 4))), "d": np.zeros(0, np.float32),
               "e": rng.normal(size=100).astype(">f8")}
     for name, arr in arrays.items():
         np.save(tmp_path / f"{name}.npy", arr)
-    rows = read_npy(spark, str(tmp_path), chunk_bytes=chunk).collect()
+    rows = read_npy(spark, str(tmp_path), chunk_bytes=chunk, whole_bytes=whole).collect()
     for name, arr in arrays.items():
         got = sorted((r["idx"], r["value"]) for r in rows if r["path"].endswith(f"/{name}.npy"))
         want = arr.astype(np.float32).ravel()
@@ -62,6 +62,14 @@ def test_npy_in_ranges(spark, tmp_path, chunk):
         assert np.array_equal(np.array([v for _, v in got], np.float32), want)
 
 
+def test_npy_from_a_store_that_only_spark_reads(spark, tmp_path):
+    """A mounted file system of Hadoop's, which no other reader knows."""
+    np.save(tmp_path / "a.npy", np.arange(12, dtype=np.float64).reshape(3, 4))
+    spark._jsc.hadoopConfiguration().set("fs.viewfs.mounttable.npytest.link./data", f"file://{tmp_path}")
+    rows = read_npy(spark, "viewfs://npytest/data").collect()
+    assert sorted((r["idx"], r["value"]) for r in rows) == [(i, float(i)) for i in range(12)]
+
+
 def test_decode_f32(spark):
     good = base64.b64encode(np.array([1.5, -2.0, 3e-7], "<f4").tobytes()).decode()
     df = spark.createDataFrame([(0, good), (1, None), (2, ""), (3, base64.b64encode(b"abc").decode()), (4, "***")],
