@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.skew import attach_by_key
-from .shared import written
+from .shared import set_aside, written
 from .text import blocks, hash_words, mixed, split_words, text_column
 
 MIN_WORDS = 8
@@ -215,7 +215,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 min_words: int = MIN_WORDS) -> DataFrame:
     """``docs`` without duplicate lines, and ``n_dropped``, how many each lost (a column of this
     name is replaced)."""
-    docs = docs.drop("n_dropped")
+    docs, named = set_aside(docs.drop("n_dropped"), [id_col, text_col])
     drop = duplicate_lines(docs, id_col, text_col, min_words).groupBy("id", "fp").agg(
         F.collect_set("line_no").alias("__drop"))
     drop = drop.select(F.col("id").alias("__id"), F.col("fp").alias("__fp"), "__drop")
@@ -239,7 +239,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             del columns["__drop"]
             yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
-    return joined.mapInArrow(strip, joined.drop("__drop").schema)
+    return named(joined.mapInArrow(strip, joined.drop("__drop").schema))
 
 
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

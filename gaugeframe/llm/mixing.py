@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.skew import attach_by_key
+from .shared import set_aside
 
 #: Means above this are sums of independent draws, so that exp(-mean) stays far from zero and
 #: the inversion stays short.
@@ -76,19 +77,16 @@ def mix_sources(docs: DataFrame, weights: DataFrame | None = None, id_col: str =
     """Every document as often as it was drawn, in a global random order: the columns of
     ``docs``, then ``copy`` (from 1) and ``mix_order`` (0 to 1), by which the rows are sorted.
     Columns of ``docs`` with these names are replaced."""
-    docs = docs.drop("copy", "mix_order")
-    taken = {c.lower() for c in docs.columns}
+    docs, named = set_aside(docs.drop("copy", "mix_order"), [id_col, source_col])
     rates = source_rates(docs, weights, source_col, power, epochs).select(
         F.col("source").alias(source_col), F.col("n").alias("__n"), F.col("rate").alias("__rate"))
-    if {"__n", "__rate", "__copies"} & taken:
-        raise ValueError("columns __n, __rate and __copies are used inside")
     # One source may hold a third of all rows: heavy sources meet a bounded broadcast.
     drawn = attach_by_key(docs, rates, [source_col], "__n")
     drawn = drawn.withColumn("__copies", copies(F.col("__rate"), seed, F.col(source_col), F.col(id_col)))
     drawn = drawn.filter("__copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
     place = uniform(F.lit(f"{seed}-order"), F.col(source_col), F.col(id_col), F.col("copy"))
-    return drawn.drop("__n", "__rate", "__copies").withColumn("mix_order", place).orderBy(
-        "mix_order", "copy", F.col(id_col))
+    return named(drawn.drop("__n", "__rate", "__copies").withColumn("mix_order", place).orderBy(
+        "mix_order", "copy", F.col(id_col)))
 
 
 def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:

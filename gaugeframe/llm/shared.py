@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,3 +26,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = shared_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def set_aside(df: DataFrame, used: list[str]) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """``df`` with all columns but ``used`` under names that nothing else has, and what gives a
+    result with these columns their own names again."""
+    inner = {c: c if c in used else f"aside__{i}" for i, c in enumerate(df.columns)}
+    own = {v: k for k, v in inner.items()}
+    return df.toDF(*inner.values()), lambda out: out.toDF(*[own.get(c, c) for c in out.columns])

@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from gaugeframe.llm.line_dedup import dedup_lines, within_one
 
@@ -87,3 +88,13 @@ def test_within_one():
     assert within_one(list("abc"), list("abd")) and within_one(list("abc"), list("ac"))
     assert within_one([], ["a"]) and within_one(list("aab"), list("ab"))
     assert not within_one(list("abc"), list("bca")) and not within_one(list("ab"), list("ba"))
+
+
+def test_columns_of_any_name(spark):
+    names = ["__fp", "__drop", "__id", "id", "fp", "line_no", "key", "aside__0"]
+    rows = [(1, "one line\nanother"), (2, "one line\nown")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").select("*", *[
+        F.concat(F.lit(n), F.col("doc_id").cast("string")).alias(n) for n in names])
+    got = {r.doc_id: r for r in dedup_lines(df).collect()}
+    assert got[2].text == "own" and got[2].n_dropped == 1
+    assert all(r[n] == f"{n}{i}" for i, r in got.items() for n in names)

@@ -43,3 +43,11 @@ def test_edges(spark):
     assert len(out) > 50 and len(ones) % 2 == 0  # equal rows draw the same number
     assert mix_sources(df.limit(0)).count() == 0
     assert mix_sources(df, spark.createDataFrame([("s", 0.0)], "source string, weight double")).count() == 0
+
+
+def test_columns_of_any_name(spark):
+    names = ["__n", "__rate", "__copies", "__key_source", "n", "rate", "aside__1"]
+    df = spark.range(50).select(F.col("id").alias("doc_id"), F.lit("s").alias("source"), *[
+        F.concat(F.lit(n), F.col("id").cast("string")).alias(n) for n in names])
+    rows = mix_sources(df).collect()
+    assert rows and all(r[n] == f"{n}{r.doc_id}" for r in rows for n in names)

@@ -25,7 +25,7 @@ def docs(spark):
 
 def test_registered():
     names = {re.match(r"op(\d+)_", n)[1] for n in catalog.queries()}
-    assert names == {str(i) for i in range(1, 11)} and "pipeline" in entry.queries()
+    assert names == {str(i) for i in range(1, 14)} and "pipeline" in entry.queries()
     assert list(STAGES) == ["language_id", "line_dedup", "ngram_jaccard", "decontaminate", "mix_sources"]
 
 
@@ -47,6 +47,21 @@ def test_stages(spark, sf_dir):
     assert clean.columns == df.columns and clean.count() == kept.count()
 
 
+@pytest.mark.parametrize("name", list(STAGES))
+def test_columns_of_any_name(spark, sf_dir, name):
+    """Columns with names that the operators use come back as they were."""
+    names = ["score", "lang_pred", "_given", "n_dropped", "__fp", "__drop", "__n", "__rate", "__copies", "__key_source",
+             "id", "fp", "node", "group", "window", "_id", "n_words", "text_", "aside__0", "__id"]
+    df = docs(spark).filter("text IS NOT NULL").drop("extra")
+    more = df.select("*", *[F.concat(F.lit(f"{n} of "), F.coalesce(F.col("doc_id").cast("string"), F.lit("-"))).alias(n) for n in names])
+    out = STAGES[name](spark, more, sf_dir)
+    plain = STAGES[name](spark, df, sf_dir)
+    assert out.columns[:5] == df.columns and out.columns[5:5 + len(names)] == names
+    rows = out.collect()
+    assert sorted(str(r.text) for r in rows) == sorted(str(r.text) for r in plain.collect()) and rows
+    assert all(r[n] == f"{n} of {'-' if r.doc_id is None else r.doc_id}" for r in rows for n in names)
+
+
 @pytest.mark.parametrize("name", list(STAGES))
 def test_empty(spark, sf_dir, name):
     out = STAGES[name](spark, docs(spark).limit(0), sf_dir)
