@@ -8,6 +8,7 @@ tables have the results that each operator's module states.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,20 +18,35 @@ from gaugeframe.llm.language_id import fit_language_id, predict_language
 from gaugeframe.llm.line_dedup import dedup_lines
 from gaugeframe.llm.mixing import mix_sources
 from gaugeframe.llm.ngram_join import similar_components
-from gaugeframe.llm.shared import shared_path, written
+from gaugeframe.llm.shared import set_aside, shared_path, written
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+DOCUMENT = ["doc_id", "text", "lang", "source", "n_chars"]
 
 #: A document goes if it holds a full window of a benchmark item, or if this share of its words
 #: lies in items that are shorter than a window.
 SHORT_SHARE = 0.5
 
 
+def with_any_columns(stage: Stage) -> Stage:
+    """The stage for documents with further columns of any name: it sees none of their names, and
+    they come back as they were. A column that the stage itself adds replaces one of its name."""
+    @wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        inner, named = set_aside(docs, DOCUMENT)
+        out = stage(spark, inner, sf_dir)
+        added = {c for c in out.columns if c not in inner.columns}
+        replaced = [i for i, c in zip(inner.columns, docs.columns) if c in added]
+        return named(out.drop(*replaced))
+    return run
+
+
 def same_row(docs: DataFrame, found: DataFrame) -> Column:
     """Documents and what was found for them meet by id and a hash of the text."""
     return docs["doc_id"].eqNullSafe(found["_id"]) & (F.xxhash64(docs["text"]) == found["_fp"])
 
 
+@with_any_columns
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a language (null, or no letter) go; ``lang`` of the others becomes the
     predicted one. Learned from the rows that have a language."""
@@ -40,6 +56,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return kept.withColumn("lang", F.col("lang_pred")).select(*docs.columns)
 
 
+@with_any_columns
 def dedup_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that an earlier document or line already has go. A document of which no word is
     left goes; ``n_chars`` follows the text."""
@@ -49,6 +66,7 @@ def dedup_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
         docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))).select(*docs.columns)
 
 
+@with_any_columns
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates the document with the smallest id stays, one row of it.
     Documents without words are in no group and stay."""
@@ -63,6 +81,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     return kept.unionByName(docs.filter(~worded))
 
 
+@with_any_columns
 def remove_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a full window of a benchmark item go, and those that consist of
     shorter items by ``SHORT_SHARE``; a short phrase alone is no reason."""
@@ -79,6 +98,7 @@ def remove_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return docs.join(hit, same_row(docs, hit), "left_anti")
 
 
+@with_any_columns
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources weighed by the square root of their size, copies in one random order."""
     return mix_sources(docs)
