@@ -85,6 +85,19 @@ def unpack(packed: bytes, kind) -> np.ndarray:
     return np.ascontiguousarray(planes.reshape(8, n).T).view(kind).reshape(-1)
 
 
+def pack_logs(logs: np.ndarray) -> bytes:
+    """Numbers of which many are equal: codes with one longest retained context and symbol have
+    one probability. The different ones, and for each number which it is."""
+    values, which = np.unique(logs, return_inverse=True)
+    head = pack(values)
+    return len(head).to_bytes(8, "little") + head + pack(which.astype(np.uint64).reshape(-1))
+
+
+def unpack_logs(packed: bytes) -> np.ndarray:
+    end = 8 + int.from_bytes(packed[:8], "little")
+    return unpack(packed[8:end], np.float64)[unpack(packed[end:], np.uint64).astype(np.int64)]
+
+
 def distinct_codes(texts: pa.Array, learned: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The distinct codes of texts, in order, and how often each is in those learned from."""
     marked = []
@@ -341,7 +354,7 @@ def score_texts(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col
         tree, codes, known = _grown(lists, short, least, gain)
         logs = tree.log10_probs(known)
         return pa.table({"chunk": lists["chunk"], "part": lists["part"], "logs": pa.array(
-            [pack(logs[np.searchsorted(known, c)]) for c in codes], pa.binary())})
+            [pack_logs(logs[np.searchsorted(known, c)]) for c in codes], pa.binary())})
 
     lists, short = _ranges(parts)
     logs = lists.groupBy("part").cogroup(short.groupBy("part")).applyInArrow(
@@ -362,7 +375,7 @@ def score_texts(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col
         base = np.bincount(owner, np.log10(c + 1.0)[codes], len(n_tokens)) + math.log10(ends + 1) - n_tokens * math.log10(tokens + distinct + 1)
         # The ranges in order have the chunk's distinct codes in order.
         found = known.filter(pc.is_valid(known["part"])).sort_by("part")
-        logs = np.concatenate([unpack(x.as_py(), np.float64) for x in found["logs"]])
+        logs = np.concatenate([unpack_logs(x.as_py()) for x in found["logs"]])
         listed = distinct_codes(text, np.zeros(len(text), bool))[0]
         batch = pa.RecordBatch.from_arrays([text], names=["text"])
         scores = np.concatenate([score_block(text_column(b, "text"), listed, logs) for b in blocks(batch, "text", BLOCK)])

@@ -1,6 +1,7 @@
 """Base scores against a plain count, and the tree as a probability distribution."""
 
 import math
+import random
 import re
 from collections import Counter
 
@@ -8,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from gaugeframe.llm.suffix_lm import DEPTH, EDGE, codes_of, fit_suffix_tree, score_texts
+from gaugeframe.llm.suffix_lm import DEPTH, EDGE, SHORT, codes_of, fit_suffix_tree, score_texts
 
 SCHEMA = "doc_id bigint, text string, score string"
 ROWS = [(1, "The cat sat on the mat", "x"), (2, None, "x"), (3, "", "x"), (4, "the  Dog\tsat\n", "x"),
@@ -76,3 +77,72 @@ def test_contexts_grow_with_the_corpus_and_ranges_agree(spark, monkeypatch):
     codes, sizes = codes_of(pa.array(texts, pa.large_string()))
     want = np.add.reduceat(tree.log10_probs(codes), np.cumsum(sizes) - sizes)
     assert np.allclose([got[i] for i in range(400)], want)
+
+
+def test_packed_logs():
+    from gaugeframe.llm.suffix_lm import pack, pack_logs, unpack_logs
+
+    rng = np.random.default_rng(0)
+    for logs in (np.zeros(0), np.array([-1.5]), -rng.random(50)[rng.integers(0, 50, 20_000)]):
+        assert np.array_equal(unpack_logs(pack_logs(logs)), logs)
+    assert len(pack_logs(logs)) < len(pack(logs)) / 4
+
+
+def plain_scores(learned, texts, least, gain):
+    """The model with dictionaries: counts of symbols by context, contexts retained from the longest
+    down, each symbol scored by the longest retained suffix."""
+    def steps(text):
+        symbols = list((text or "").encode().lower()) + ["end"]
+        past = ["edge"] * DEPTH
+        for s in symbols:
+            yield tuple(past), s
+            past = past[1:] + [s]
+
+    counts = [{} for _ in range(DEPTH + 1)]
+    for text in learned:
+        for past, s in steps(text):
+            for k in range(DEPTH + 1):
+                of = counts[k].setdefault(past[DEPTH - k:], {})
+                of[s] = of.get(s, 0) + 1
+    kept, below = [set() for _ in counts], set()
+    for k in range(DEPTH, -1, -1):
+        for context, seen in counts[k].items():
+            total = sum(seen.values())
+            if k <= SHORT:
+                if total >= least or k == 0:
+                    kept[k].add(context)
+                continue
+            parent = counts[k - 1][context[1:]]
+            whole = sum(parent.values())
+            diverges = sum(n * math.log(n / total / (parent[s] / whole)) for s, n in seen.items()) >= gain
+            if total >= least and (diverges or context in below):
+                kept[k].add(context)
+        below = {c[1:] for c in kept[k]}
+    out = []
+    for text in texts:
+        score = 0.0
+        for past, s in steps(text):
+            p = 1 / 257
+            for k in range(DEPTH + 1):
+                context = past[DEPTH - k:]
+                if context not in kept[k]:
+                    break
+                seen = counts[k][context]
+                p = (seen.get(s, 0) + len(seen) * p) / (sum(seen.values()) + len(seen))
+            score += math.log10(p)
+        out.append(score)
+    return out
+
+
+def test_scores_are_those_of_plain_dictionaries(spark):
+    rng = random.Random(6)
+    words = ["ab", "abc", "Bcd", "é", "aab", "cab", "\n"]
+    rows = [(i, " ".join(rng.choice(words) for _ in range(rng.randint(0, 40)))) for i in range(60)]
+    rows += [(100, None), (101, ""), (102, "never seen xyz"), (103, rows[0][1])]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    for least, gain, chunk_bytes in ((2, 0.5, 1 << 20), (3, 2.0, 300)):
+        got = {r.doc_id: r.score for r in score_texts(df, F.col("doc_id") % 5 != 0, least=least, gain=gain,
+                                                      chunk_bytes=chunk_bytes).collect()}
+        want = plain_scores([t for i, t in rows if i % 5], [t for _, t in rows], least, gain)
+        for (i, _), w in zip(rows, want):
+            assert abs(got[i] - w) <= 1e-6 * max(1.0, abs(w)), (i, got[i], w)
