@@ -21,7 +21,7 @@ RETRY_MESSAGES = ["HTTP 5", "HTTP 429", "timeout", "Connection refused"]
 FINAL_CLASSES = ["NonRetryable", "UnknownHostException"]
 RETRY_CLASSES = ["TimeoutException"]
 # The I/O exceptions of java.io, java.net, java.nio.channels and javax.net.ssl whose
-# names do not say so. A name that ends in IOException is one as well.
+# names do not say so. A name that ends in IOException is one as well, except java.io's unchecked one.
 IO_CLASSES = ["SocketTimeoutException", "ConnectException", "SocketException", "BindException",
               "NoRouteToHostException", "PortUnreachableException", "EOFException",
               "FileNotFoundException", "MalformedURLException", "ProtocolException",
@@ -32,6 +32,7 @@ IO_CLASSES = ["SocketTimeoutException", "ConnectException", "SocketException", "
               "AsynchronousCloseException", "ClosedByInterruptException", "FileLockInterruptionException",
               "InterruptedByTimeoutException", "SSLException", "SSLHandshakeException", "SSLKeyException",
               "SSLPeerUnverifiedException", "SSLProtocolException"]
+NO_IO_CLASS = "UncheckedIOException"
 
 # Launcher states by family.
 STATES_OK = ["SUCCESS", "COMPLETED"]
@@ -70,7 +71,8 @@ def failure_retryable(error_class: Column | str, message: Column | str,
     for part in RETRY_MESSAGES:
         by_message = by_message | text.contains(part)
     return (F.when(name.isin(FINAL_CLASSES), F.lit(False))
-             .when(name.isin(RETRY_CLASSES + io_classes) | name.endswith("IOException"), F.lit(True))
+             .when(name.isin(RETRY_CLASSES + io_classes) | (name.endswith("IOException") & (name != NO_IO_CLASS)),
+                   F.lit(True))
              .when(name.endswith("Error"), F.lit(False))
              .otherwise(by_message))
 

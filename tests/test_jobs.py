@@ -75,6 +75,7 @@ def test_counts_and_families(spark):
 def test_failure_triage(spark):
     cases = [("java.util.concurrent.TimeoutException", None, True), ("java.net.ConnectException", "x", True),
              ("java.net.UnknownHostException", "timeout", False), ("NonRetryable", "HTTP 503", False),
+             ("java.io.UncheckedIOException", "x", False), ("java.io.UncheckedIOException", "read timeout", True),
              ("java.io.IOException", "", True), ("java.lang.RuntimeException", "a HTTP 503", True),
              ("java.lang.RuntimeException", "a HTTP 429", True), ("java.lang.RuntimeException", "a HTTP 404", False),
              ("java.net.MalformedURLException", "", True), ("java.nio.channels.ClosedChannelException", None, True),
