@@ -52,3 +52,28 @@ def test_quality_edges(spark):
     assert {r.score for r in score_quality(df, fit_quality(df.filter("quality = 1"))).collect()} == {1.0}
     assert {r.score for r in score_quality(df, fit_quality(df.limit(0))).collect()} == {0.5}
     assert score_quality(df.limit(0), fit_quality(df)).count() == 0
+
+
+def test_convolution_by_loops():
+    """Log probabilities of the network against loops over places, filters and bytes."""
+    import numpy as np
+
+    from gaugeframe.llm.language_id import EMBED, FILTERS, REACH, WIDTHS, WINDOW, ByteConvNet
+
+    rng = np.random.default_rng(2)
+    net = ByteConvNet(["a", "b", "c"], seed=3)
+    net.bias = rng.normal(size=net.bias.shape).astype(np.float32)
+    windows = np.zeros((3, WINDOW), np.uint8)
+    windows[0, :40] = rng.integers(32, 127, 40)
+    windows[1] = rng.integers(0, 256, WINDOW)
+    got = net.log_probs(windows)
+    for w, row in zip(windows, got):
+        hidden = []
+        for i, width in enumerate(WIDTHS):
+            for f in range(i * FILTERS, (i + 1) * FILTERS):
+                kernel = net.filters[:width * EMBED, f].reshape(width, EMBED)
+                best = max(sum(float(net.embed[w[at + k]] @ kernel[k]) for k in range(width)) for at in range(WINDOW - REACH + 1))
+                hidden.append(max(best + float(net.bias[f]), 0.0))
+        z = [sum(h * float(net.out[j, k]) for j, h in enumerate(hidden)) + float(net.out_bias[k]) for k in range(3)]
+        whole = np.log(sum(np.exp(v) for v in z))
+        assert np.allclose(row, [v - whole for v in z], atol=1e-4)

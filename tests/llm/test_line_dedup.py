@@ -98,3 +98,14 @@ def test_columns_of_any_name(spark):
     got = {r.doc_id: r for r in dedup_lines(df).collect()}
     assert got[2].text == "own" and got[2].n_dropped == 1
     assert all(r[n] == f"{n}{i}" for i, r in got.items() for n in names)
+
+
+def test_registered_query(spark, tmp_path):
+    """The query's own bound, on a table of 30 short documents."""
+    from gaugeframe.llm.line_dedup import MIN_WORDS, op8_line_dedup
+
+    docs = [tuple(r) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select(
+        "doc_id", "text").orderBy("doc_id").collect() if len(r.text) < 1500][:30]
+    spark.createDataFrame(docs, "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: (r.text, r.n_dropped) for r in op8_line_dedup(spark, str(tmp_path)).collect()}
+    assert got == brute(docs, MIN_WORDS)

@@ -109,3 +109,12 @@ def test_documents_that_share_a_passage(spark, formed):
     got = similar_components(spark.createDataFrame(docs, "doc_id bigint, text string")).collect()
     assert sorted((str(r["id"]), r["n_shingles"], str(r["component_id"])) for r in got) == brute(docs)
     assert sum(formed) <= 20 * len(docs)
+
+
+def test_registered_query(spark):
+    from gaugeframe.llm.ngram_join import op4_ngram_join
+
+    folder = "/root/testdata/sf0.001"
+    docs = [tuple(r) for r in spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()]
+    got = [(str(r.doc_id), r.n_shingles, str(r.component_id)) for r in op4_ngram_join(spark, folder).collect()]
+    assert sorted(got) == brute(docs) and any(d != c for d, _, c in got)

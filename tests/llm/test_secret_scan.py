@@ -44,3 +44,21 @@ def test_edges(spark):
     got = sorted((str(r.doc_id), [(s.kind, s.start, s.end) for s in r.spans]) for r in scan_secrets(df).collect())
     assert got == [("1", []), ("1", []), ("2", [("assign", 200_001, 200_015)]), ("None", [("assign", 0, 12)])]
     assert scan_secrets(df.limit(0)).count() == 0
+
+
+def test_registered_query(spark, sf_dir):
+    """Counts, digest and joined spans of every text against plain patterns."""
+    import hashlib
+
+    from gaugeframe.llm.secret_scan import op2_secret_scan
+
+    want = {}
+    for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect():
+        base = plain(r.text or "")
+        kinds = [k for _, _, k in base]
+        joined = ",".join(f"{k}:{a}:{b}" for a, b, k in base)
+        every = ",".join(f"{k}:{a}:{b}" for a, b, k in find_secrets(r.text or ""))
+        want[r.doc_id] = (*[kinds.count(k) for k in ("assign", "access", "hex")], hashlib.sha256(joined.encode()).hexdigest(), every)
+    got = op2_secret_scan(spark, sf_dir).collect()
+    assert {r.doc_id: (r.n_assign, r.n_access, r.n_hex, r.base_sha256, r.spans) for r in got} == want
+    assert sum(w[0] + w[1] + w[2] for w in want.values())

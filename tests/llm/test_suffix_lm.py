@@ -146,3 +146,23 @@ def test_scores_are_those_of_plain_dictionaries(spark):
         want = plain_scores([t for i, t in rows if i % 5], [t for _, t in rows], least, gain)
         for (i, _), w in zip(rows, want):
             assert abs(got[i] - w) <= 1e-6 * max(1.0, abs(w)), (i, got[i], w)
+
+
+def test_registered_query(spark, tmp_path):
+    from zlib import crc32
+
+    from gaugeframe.llm.suffix_lm import GAIN, LEAST, op9_suffix_lm
+
+    rows = [tuple(r) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select(
+        "doc_id", "text").orderBy("doc_id").limit(40).collect()]
+    spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    held = {i for i, _ in rows if crc32(str(i).encode()) % 7 == 2}
+    count = Counter(t for i, text in rows if i not in held for t in tokens(text))
+    n, v = sum(count.values()), len(count)
+    scores = plain_scores([t for i, t in rows if i not in held], [t for _, t in rows], LEAST, GAIN)
+    got = {r.doc_id: r for r in op9_suffix_lm(spark, str(tmp_path)).collect()}
+    for (i, text), score in zip(rows, scores):
+        t, r = tokens(text), got[i]
+        assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (i in held, len(t), sum(count[x] > 0 for x in t), n)
+        assert abs(r.base_score - sum(math.log10((count[x] + 1) / (n + v + 1)) for x in t)) < 1e-6 * max(1, -r.base_score)
+        assert abs(r.score - score) < 1e-6 * max(1, -score)
