@@ -59,3 +59,11 @@ def decode_f32(col: Column | str) -> Column:
 
     text = F.col(col) if isinstance(col, str) else col
     return view(F.try_to_binary(text, F.lit("base64")))
+
+
+def f32_problem(col: Column | str) -> Column:
+    """Why ``decode_f32`` gives NULL for a payload: ``base64`` or ``length`` (not whole numbers of
+    four bytes); NULL for a good or missing one."""
+    text = F.col(col) if isinstance(col, str) else col
+    raw = F.try_to_binary(text, F.lit("base64"))
+    return F.when(text.isNotNull() & raw.isNull(), F.lit("base64")).when(F.octet_length(raw) % 4 != 0, F.lit("length"))

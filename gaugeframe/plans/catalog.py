@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import decode_f32, normalize_array, run_family
+from ..functions import decode_f32, f32_problem, normalize_array, run_family
 from ..functions.instants import parse_instant, print_instant
 from ..operators import (
     accept_starts, analyze_folded, analyze_jobs, anomaly_profile, bench_pivot, classify_failures, column_stats,
@@ -388,6 +388,25 @@ def q_decode_f32(spark, sf_dir):
     return encoded.select("vec_id", F.posexplode(decode_f32("payload")).alias("pos", "x"))
 
 
+def q_malformed_payloads(spark, sf_dir):
+    """Vectors' ids as payloads, good, missing and malformed, counted by what is wrong."""
+    i = F.col("vec_id")
+    raw = F.concat(F.repeat(F.lit("abcd"), (i % 5).cast("int")), F.when(i % 7 == 0, "x").otherwise(""))
+    payload = F.when(i % 13 == 0, F.lit(None)).when(i % 11 == 0, F.lit("***")).otherwise(F.base64(F.encode(raw, "utf-8")))
+    payloads = views.table(spark, sf_dir, "embeddings").select(payload.alias("payload"))
+    return payloads.groupBy(f32_problem("payload").alias("problem")).agg(
+        F.count(F.lit(1)).alias("rows"), F.count("payload").alias("payloads"))
+
+
+def q_enrich_large_dimension(spark, sf_dir):
+    """Line items with their parts; one part that the dimension lacks holds a third of all rows, and
+    only a few heavy keys may be broadcast."""
+    lines = views.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.when(
+        F.col("l_orderkey") % 3 == 0, -1).when(F.col("l_orderkey") % 31 != 0, F.col("l_partkey")).alias("p_partkey"))
+    parts = views.table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_size")
+    return enrich(lines, parts, on="p_partkey", defaults={"p_brand": "none", "p_size": 0}, large=True, hot_keys=50)
+
+
 def q_read_npy(spark, sf_dir):
     path = scratch_path(spark, "npy")
 

@@ -606,6 +606,13 @@ r AS (SELECT * FROM (VALUES ('rdd', 'events', 0, 3.0::DOUBLE), ('rdd', 'events',
 SELECT pipeline, input, run, seconds, groups, anomalies FROM r CROSS JOIN t""",
     "decode_f32": """SELECT vec_id, CAST(generate_subscripts(embedding, 1) - 1 AS INT) AS pos, unnest(embedding) AS x
 FROM embeddings""",
+    "malformed_payloads": """WITH p AS (SELECT vec_id % 13 <> 0 AS given, CASE WHEN vec_id % 13 = 0 THEN NULL
+    WHEN vec_id % 11 = 0 THEN 'base64' WHEN vec_id % 7 = 0 THEN 'length' END AS problem FROM embeddings)
+SELECT problem, count(*) AS rows, count(*) FILTER (given) AS payloads FROM p GROUP BY problem""",
+    "enrich_large_dimension": """WITH l AS (SELECT l_orderkey, l_linenumber, CASE WHEN l_orderkey % 3 = 0 THEN -1
+    WHEN l_orderkey % 31 <> 0 THEN l_partkey END AS p_partkey FROM lineitem)
+SELECT l_orderkey, l_linenumber, l.p_partkey, CASE WHEN p.p_partkey IS NULL THEN 'none' ELSE p_brand END AS p_brand,
+  CASE WHEN p.p_partkey IS NULL THEN 0 ELSE p_size END AS p_size FROM l LEFT JOIN part AS p ON l.p_partkey = p.p_partkey""",
     "read_npy_files": """WITH v AS (SELECT vec_id // 64 AS file, (row_number() OVER (PARTITION BY vec_id // 64 ORDER BY vec_id) - 1)
     * len(embedding) AS begins, embedding FROM embeddings),
 x AS (SELECT file, begins + generate_subscripts(embedding, 1) - 1 AS idx, unnest(embedding) AS v FROM v)

@@ -53,6 +53,17 @@ def test_own_dimension_keeps_its_nulls(spark):
     assert got == {"a": None, "b": "none"}
 
 
+@pytest.mark.parametrize("hot_keys", [1, 2, 100])
+def test_large_dimension_is_the_same_join(spark, hot_keys):
+    """Hot, missing and NULL keys, repeated keys of the dimension, rows that differ in nothing."""
+    df = spark.createDataFrame([("a", 1)] * 40 + [("b", 2), (None, 3), (None, 3), ("z", 4), ("c", 5)], "region string, x int")
+    dim = spark.createDataFrame([("a", "A"), ("b", None), ("c", "C1"), ("c", "C2"), ("d", "D")], "region string, tier string")
+    for options in ({"defaults": {"tier": "none"}}, {"unmatched": "null"}):
+        plain, large = (enrich(df, dim, large=large, hot_keys=hot_keys, **options) for large in (False, True))
+        assert plain.columns == large.columns == ["region", "x", "tier"]
+        assert sorted(map(str, plain.collect())) == sorted(map(str, large.collect()))
+
+
 def test_ties_are_broken_by_keys(spark):
     df = anomaly_profile(readings(spark, [(s, r, 5.0, 80) for s in "dcba" for r in "yx"]))
     top = [(r["region"], r["sensor_id"]) for r in top_anomalies(df.repartition(3), 5).collect()]

@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from gaugeframe.functions import decode_f32, default_output, pipeline_output
+from gaugeframe.functions import decode_f32, default_output, f32_problem, pipeline_output
 from gaugeframe.sources import (generate_telemetry, pick_column, read_bench, read_npy, read_runs, read_telemetry,
                                 telemetry_from_ids, write_table)
 
@@ -76,6 +76,7 @@ def test_decode_f32(spark):
                                "id int, payload string")
     got = [r[0] for r in df.orderBy("id").select(decode_f32("payload")).collect()]
     assert got[0] == [1.5, -2.0, pytest.approx(3e-7)] and got[1:] == [None, [], None, None]
+    assert [r[0] for r in df.orderBy("id").select(f32_problem("payload")).collect()] == [None, None, None, "length", "base64"]
 
 
 def test_bench_and_metrics_files(spark, tmp_path):
