@@ -11,7 +11,7 @@ fragment by itself, and the counts are summed per pair.
 
 Pairs within a group of near copies are not all formed. In rounds, each class meets one central
 leader of every shingle that it shares; classes already linked that way are one component. Once a
-round links nothing, pairs of classes that share a shingle and still lie in different components
+round links hardly any, pairs of classes that share a shingle and still lie in different components
 are formed, so every link between different components is found and the components are exact.
 
 A text without words, or null, has an empty set and no link. Rows with equal id and text are one
@@ -26,7 +26,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
@@ -42,6 +42,7 @@ SLICES = 64  # pieces in which bucket counts are summed
 FRAGMENTS = 4
 SPLIT_ROWS = 200_000  # a shingle that occurs more often is dealt out over several groups
 BROADCAST_CLASSES = 1_000_000
+STAR_SHARE = 50  # star rounds go on while one in so many of their pairs is linked
 WORDS = 4  # 64-bit words of a class's bitmap of prefix shingles
 BITS = [f"b{k}" for k in range(WORDS)]
 BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -147,16 +148,18 @@ def linked_pairs(pairs: DataFrame, segments: DataFrame) -> DataFrame:
 
 
 def _possible(x: str, y: str) -> Column:
-    """Whether two classes that share a shingle at these places can reach the threshold: by
-    length, by what can still follow in the global order, and by the prefix shingles that they may
-    share at most. A bit that only one of them has set stands for a shingle that the other lacks."""
+    """Whether two classes that share a shingle at these places, and none before, can reach the
+    threshold: by length, by what can still follow in the global order, and by the prefix shingles
+    that they may share at most, after this place and in all. A bit that only one of them has set
+    stands for a shingle that the other lacks."""
     def most(a: str, b: str) -> str:
         return f"({a}.degree - " + " - ".join(f"bit_count({a}.{w} & ~{b}.{w})" for w in BITS) + ")"
 
     rest, need = _bounds(f"{x}.n", f"{y}.n")
     return F.expr(f"""100 * least({x}.n, {y}.n) >= {PERCENT} * greatest({x}.n, {y}.n) AND
         {100 + PERCENT} * (least({x}.i, {y}.i) + least({x}.n - {x}.i, {y}.n - {y}.i))
-        >= {PERCENT} * ({x}.n + {y}.n) AND least({most(x, y)}, {most(y, x)}) + {rest} >= {need}""")
+        >= {PERCENT} * ({x}.n + {y}.n)
+        AND least({x}.after, {y}.after, {most(x, y)}, {most(y, x)}) + {rest} >= {need}""")
 
 
 def _bounds(na: str, nb: str) -> tuple[str, str]:
@@ -165,15 +168,6 @@ def _bounds(na: str, nb: str) -> tuple[str, str]:
             f"({PERCENT} * ({na} + {nb}) + {99 + PERCENT}) DIV {100 + PERCENT}")
 
 
-def _enough(met: DataFrame) -> DataFrame:
-    """(a, b, na, nb) of the pairs (a, b, na, nb, weight) that share enough shingles of their
-    prefixes. What they share up to where the first prefix ends lies in both prefixes; beyond
-    that they share no more than what is left of that set."""
-    counted = met.groupBy("a", "b", "na", "nb").agg(F.sum("weight").alias("c"))
-    rest, need = _bounds("na", "nb")
-    return counted.filter(f"c + {rest} >= {need}").drop("c")
-
-
 def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row of ``docs``: its id, fp (a hash of its text), n_shingles, component_id, the
     smallest id that it reaches by links, and group, a number of its component (null for an empty
@@ -267,7 +261,7 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         links = found if links is None else links.unionByName(found)
         if last:
             break
-        if found.isEmpty():  # leaders link no more: what is left is compared pair by pair
+        if found.count() * STAR_SHARE <= pairs.count():  # leaders link little: what is left meets pair by pair
             last = True
         else:
             grouped, turn = _relabel(grouped, components(links)), turn + 1
@@ -291,13 +285,13 @@ def _relabel(grouped: DataFrame, roots: DataFrame) -> DataFrame:
     """``grouped`` with the component that each class now belongs to."""
     named = roots.select(F.col("node").alias("of"), "root")
     return grouped.drop("comp").join(named, F.col("node") == F.col("of"), "left").select(
-        "shingle", "node", "n", "i", "weight", "degree", *BITS, F.coalesce("root", "node").alias("comp"))
+        "shingle", "node", "n", "i", "after", "degree", *BITS, F.coalesce("root", "node").alias("comp"))
 
 
 def _collapsed(shared: DataFrame) -> DataFrame:
-    """(shingle, node, n, i, weight, degree): of shingles that the same classes hold only one is
-    kept, with their number; a passage has one list of classes and not one for each of its words.
-    ``degree`` is the number of shared prefix shingles of a class, ``b0`` and so on a bit for each
+    """(shingle, node, n, i, after, degree, bits): of shingles that the same classes hold only one is
+    kept and counts for all; a passage has one list of classes and not one for each of its words.
+    ``after`` is how many shared prefix shingles of the class come from this one on, ``degree`` is the number of shared prefix shingles of a class, ``b0`` and so on a bit for each
     of them by its hash."""
     lists = shared.groupBy("shingle").agg(
         F.bit_xor(F.xxhash64("node", F.lit(1))).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(2))).alias("y"),
@@ -307,8 +301,9 @@ def _collapsed(shared: DataFrame) -> DataFrame:
     word = F.expr(f"shiftright(xxhash64(shingle), 6) & {WORDS - 1}")
     degrees = shared.groupBy("node").agg(F.count(F.lit(1)).alias("degree"), *[
         F.coalesce(F.bit_or(F.when(word == k, bit)), F.lit(0).cast("bigint")).alias(f"b{k}") for k in range(WORDS)])
+    after = F.sum("weight").over(Window.partitionBy("node").orderBy("i").rowsBetween(0, Window.unboundedFollowing))
     return shared.join(kept.select("shingle", "weight"), "shingle").join(degrees, "node").select(
-        "shingle", "node", "n", "i", "weight", "degree", *BITS)
+        "shingle", "node", "n", "i", after.alias("after"), "degree", *BITS)
 
 
 def _largest(grouped: DataFrame) -> DataFrame:
@@ -319,35 +314,35 @@ def _largest(grouped: DataFrame) -> DataFrame:
 
 def _star_pairs(grouped: DataFrame, turn: int) -> DataFrame:
     """Each class with the leaders of shingles it shares, where the two are not yet one component
-    and share enough of the shingles that one leads. A leader is central: near copies differ from
+    and can reach the threshold. A leader is central: near copies differ from
     their base less than from each other, and the base shares the most shingles. After the first
     round leaders come from outside a shingle's largest component."""
     inside = grouped.withColumn("out", F.lit(0))
     if turn:
         inside = grouped.join(_largest(grouped), "shingle").withColumn(
             "out", (F.col("comp") != F.col("most")).cast("int")).drop("most")
-    best = F.struct("out", "degree", F.xxhash64("node").alias("rank"), "node", "n", "i", "comp", *BITS)
+    best = F.struct("out", "degree", F.xxhash64("node").alias("rank"), "node", "n", "i", "comp", "after", *BITS)
     lead = inside.groupBy("shingle").agg(F.max(best).alias("l")).select("shingle", "l.*")
     met = grouped.alias("y").join(lead.alias("x"), "shingle")
     met = met.filter((F.col("x.comp") != F.col("y.comp")) & _possible("x", "y"))
-    return _enough(met.select(F.col("x.node").alias("a"), F.col("y.node").alias("b"), F.col("x.n").alias("na"),
-                              F.col("y.n").alias("nb"), "weight"))
+    return met.select(F.col("x.node").alias("a"), F.col("y.node").alias("b"), F.col("x.n").alias("na"),
+                      F.col("y.n").alias("nb")).distinct()
 
 
 def _cross_pairs(grouped: DataFrame) -> DataFrame:
-    """All pairs of classes that share enough shingles of their prefixes and lie in different
-    components. Members of a shingle's largest component do not meet each other."""
+    """All pairs of classes that share a shingle of their prefixes, can reach the threshold, and lie
+    in different components. Members of a shingle's largest component do not meet each other."""
     rest = grouped.join(_largest(grouped), "shingle").filter(F.col("comp") != F.col("most"))
     met = rest.alias("x").join(grouped.alias("y"), "shingle")
     # Two that are both outside the largest component meet twice; one time counts.
     once = (F.col("y.comp") == F.col("x.most")) | (F.col("x.node") < F.col("y.node"))
     met = met.filter((F.col("x.comp") != F.col("y.comp")) & once & _possible("x", "y"))
     low = F.col("x.node") < F.col("y.node")
-    return _enough(met.select(
+    return met.select(
         F.when(low, F.col("x.node")).otherwise(F.col("y.node")).alias("a"),
         F.when(low, F.col("y.node")).otherwise(F.col("x.node")).alias("b"),
         F.when(low, F.col("x.n")).otherwise(F.col("y.n")).alias("na"),
-        F.when(low, F.col("y.n")).otherwise(F.col("x.n")).alias("nb"), F.col("x.weight").alias("weight")))
+        F.when(low, F.col("y.n")).otherwise(F.col("x.n")).alias("nb")).distinct()
 
 
 def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
