@@ -79,15 +79,6 @@ def test_contexts_grow_with_the_corpus_and_ranges_agree(spark, monkeypatch):
     assert np.allclose([got[i] for i in range(400)], want)
 
 
-def test_packed_logs():
-    from gaugeframe.llm.suffix_lm import pack, pack_logs, unpack_logs
-
-    rng = np.random.default_rng(0)
-    for logs in (np.zeros(0), np.array([-1.5]), -rng.random(50)[rng.integers(0, 50, 20_000)]):
-        assert np.array_equal(unpack_logs(pack_logs(logs)), logs)
-    assert len(pack_logs(logs)) < len(pack(logs)) / 4
-
-
 def plain_scores(learned, texts, least, gain):
     """The model with dictionaries: counts of symbols by context, contexts retained from the longest
     down, each symbol scored by the longest retained suffix."""
