@@ -22,6 +22,14 @@ def null_policy_value(col: Column | str, null_policy: str = "skip") -> Column:
     return F.coalesce(value, F.lit(0.0)) if null_policy == "zero" else value
 
 
+def round_scaled(x: Column, digits: int) -> Column:
+    """``x`` to ``digits`` decimals as SQL engines on doubles do it: scaled, rounded half away from zero, scaled
+    back. Spark's ``round`` and Java's formats round the shortest decimal text of ``x`` instead, which differs
+    next to a half."""
+    scaled = x * float(10 ** digits)
+    return F.when(F.abs(scaled) < float("inf"), F.round(scaled) / float(10 ** digits)).otherwise(x)
+
+
 def is_anomaly(col: Column | str, sigma: float = ANOMALY_SIGMA) -> Column:
     value = F.col(col) if isinstance(col, str) else col
     return F.abs(value) > F.lit(float(sigma))

@@ -71,14 +71,15 @@ def analyze_jobs(norm: DataFrame, runs: DataFrame, rate_base: str = "groups") ->
 
     ``norm``: job_id, backend, total_s. ``runs``: job_id, pipeline, run_id, groups, anomalies,
     median_s (and readings for ``rate_base="readings"``). The usual rate is anomalies per
-    *group*. A pipeline's seconds come from its first run by run_id. Everything is a bounded
-    aggregate per job: no list of runs is built.
+    *group*. A pipeline's seconds come from its first run by run_id that has any; the texts show
+    numbers rounded by ``round_scaled``. Everything is a bounded aggregate per job: no list of
+    runs is built.
     """
     if rate_base not in ("groups", "readings"):
         raise ValueError(f"rate_base must be 'groups' or 'readings', got {rate_base!r}")
 
     def first_seconds(name: str) -> Column:
-        mine = F.col("pipeline") == name
+        mine = (F.col("pipeline") == name) & F.col("median_s").isNotNull()
         return F.min_by(F.when(mine, F.col("median_s")), F.when(mine, F.col("run_id")))
 
     per_job = runs.groupBy("job_id").agg(
@@ -93,9 +94,9 @@ def analyze_jobs(norm: DataFrame, runs: DataFrame, rate_base: str = "groups") ->
                                   F.try_divide("rdd_s", "dataframe_s")),
             })
             .select("job_id", "anomaly_rate", "rdd_s", "dataframe_s", "speedup", "backend",
-                    "total_s", verdict(F.col("speedup")).alias("verdict"),
+                    "total_s", verdict(F.col("speedup"), rounded=True).alias("verdict"),
                     run_warnings(F.col("backend"), F.col("__differ"),
-                                 F.col("anomaly_rate")).alias("warnings")))
+                                 F.col("anomaly_rate"), rounded=True).alias("warnings")))
 
 
 def bench_pivot(df: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import decode_f32, f32_problem, normalize_array, run_family
 from ..functions.instants import parse_instant, print_instant
+from ..functions.numeric import round_scaled
 from ..operators import (
     accept_starts, analyze_folded, analyze_jobs, anomaly_profile, bench_pivot, classify_failures, column_stats,
     compare_runs, decode_status, diff_tables, encode_status, enrich, equivalent, filter_quality, fold_jobs, job_attempts,
@@ -177,8 +178,8 @@ def _job_analysis(rate_base: str):
     def query(spark, sf_dir):
         out = analyze_jobs(views.job_backends(spark, sf_dir), views.run_results(spark, sf_dir),
                            rate_base)
-        return _round(out.withColumn("warnings", F.array_join("warnings", "; ")),
-                      "anomaly_rate", "speedup")
+        return out.withColumns({"warnings": F.array_join("warnings", "; "),
+                                **{c: round_scaled(F.col(c), 6) for c in ("anomaly_rate", "speedup")}})
     return query
 
 
