@@ -11,7 +11,7 @@ from oracle import compare, connect
 SECONDS = [(77.77, 0.4), (36.0, 36.54), (39.36, 12.8), (0.4, 13.57), (16.98, 0.8), (0.0, 2.0), (1.0, 640.0), (1.0, None)]
 
 
-@pytest.mark.parametrize("name", ["job_analysis"])
+@pytest.mark.parametrize("name", ["job_analysis", "job_analysis_readings"])
 def test_numbers_next_to_a_half(spark, tmp_path, name):
     at = datetime.datetime(2024, 1, 1)
     rows = [(job * 100 + run, at, job, kind, pair[i], "{}") for job, pair in enumerate(SECONDS)
