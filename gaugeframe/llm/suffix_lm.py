@@ -12,7 +12,9 @@ comes before it.
 No task holds the tree. Bounded chunks of documents are listed as their distinct codes (context
 and symbol) with training counts, and these lists are cut into ranges of the last ``SHORT`` + 1
 bytes of context. Contexts that end alike fall in one range, so each range grows its part of the
-tree, from the counts of all chunks, and looks up the codes of each chunk there.
+tree, from the counts of all chunks, and looks up the codes of each chunk there. What is sent and
+answered are a chunk's distinct codes and words, which grow far less than its text: so chunks are
+large, and a task works on one in pieces, holding no more than the distinct ones and a piece.
 
 Beside it stands the base: add-one unigram probabilities of words ``[^\\x20\\x09-\\x0D]+`` and an
 end token. Word counts are joined to the words of the same chunks, so that a task holds the
@@ -43,7 +45,8 @@ LEAST = 20
 GAIN = 8.0
 SYMBOLS = 257  # 256 byte values and the end
 EDGE = 0xFF  # never in UTF-8: the end symbol, and what stands before a text
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 24 << 20
+PIECE = 4 << 20  # text of a chunk that is listed or split at once
 BLOCK = 2 << 20
 RANGE_CODES = 1 << 20  # codes of all chunks in a range, about
 SAMPLES = 256  # codes of a chunk that place the ranges
@@ -100,6 +103,13 @@ def distinct_codes(texts: pa.Array, learned: np.ndarray) -> tuple[np.ndarray, np
     return codes[first], n
 
 
+def pieces_of(table: pa.Table, limit: int) -> Iterator[tuple[pa.RecordBatch, pa.Array]]:
+    """Consecutive rows of a chunk with about ``limit`` bytes of text, and that text."""
+    for batch in table.to_batches():
+        for piece in blocks(batch, "text", limit):
+            yield piece, text_column(piece, "text")
+
+
 def added(codes: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct codes in order, with the sums of their counts."""
     order = np.argsort(codes, kind="stable")
@@ -269,13 +279,18 @@ def _listed(dealt: DataFrame) -> DataFrame:
     """(chunk, m, codes, seen, words, counts) per chunk of (chunk, train, text): its distinct codes,
     how many, and its words, both with their counts in what is learned from."""
     def gather(table: pa.Table) -> pa.Table:
-        table = table.combine_chunks()
-        text = table["text"].cast(pa.large_string()).combine_chunks()
-        learned = table["train"].to_numpy()
-        codes, offsets, vocabulary = split_words(text)
-        owned = np.repeat(learned, np.diff(offsets))
-        n = np.bincount(codes[owned], minlength=len(vocabulary)) if len(codes) else np.zeros(0, int)
-        found, seen = distinct_codes(text, learned)
+        found, seen = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        vocabulary, n = pa.array([], pa.large_string()), np.zeros(0, np.int64)
+        for piece, text in pieces_of(table, PIECE):
+            learned = piece.column("train").to_numpy(zero_copy_only=False)
+            codes, offsets, words = split_words(text)
+            owned = np.repeat(learned, np.diff(offsets))
+            counts = np.bincount(codes[owned], minlength=len(words)).astype(np.int64)
+            merged = pa.concat_arrays([vocabulary, words.cast(pa.large_string())]).dictionary_encode()
+            vocabulary, at = merged.dictionary, merged.indices.to_numpy()
+            n = np.bincount(at, np.r_[n, counts], len(vocabulary)).astype(np.int64)
+            listed = distinct_codes(text, learned)
+            found, seen = added(np.r_[found, listed[0]], np.r_[seen, listed[1]])
         return pa.table({"chunk": table["chunk"][:1], "m": pa.array([len(found)], pa.int64()),
                          "codes": pa.array([pack(found)], pa.binary()), "seen": pa.array([pack(seen)], pa.binary()),
                          "words": pa.array([vocabulary.cast(pa.string())], pa.list_(pa.string())),
@@ -337,38 +352,40 @@ def score_texts(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col
     def look_up(key, lists: pa.Table, short: pa.Table) -> pa.Table:
         if not lists.num_rows:
             return pa.table({"chunk": pa.array([], pa.int64()), "part": pa.array([], pa.int64()),
-                             "logs": pa.array([], pa.binary())})
+                             "codes": pa.array([], pa.binary()), "logs": pa.array([], pa.binary())})
         tree, codes, known = _grown(lists, short, least, gain)
         logs = tree.log10_probs(known)
-        return pa.table({"chunk": lists["chunk"], "part": lists["part"], "logs": pa.array(
+        return pa.table({"chunk": lists["chunk"], "part": lists["part"], "codes": lists["codes"], "logs": pa.array(
             [pack(logs[np.searchsorted(known, c)]) for c in codes], pa.binary())})
 
     lists, short = _ranges(parts)
     logs = lists.groupBy("part").cogroup(short.groupBy("part")).applyInArrow(
-        look_up, "chunk bigint, part bigint, logs binary")
+        look_up, "chunk bigint, part bigint, codes binary, logs binary")
     answers = logs.unionByName(per_chunk, allowMissingColumns=True)
 
     def score(key, table: pa.Table, known: pa.Table) -> pa.Table:
         if not table.num_rows:
             return pa.table({n: pa.array([], t) for n, t in fields.items()})
-        text = table["text"].cast(pa.large_string()).combine_chunks()
-        codes, offsets, vocabulary = split_words(text)
         words = known.filter(pc.is_null(known["part"]))
-        at = pc.fill_null(pc.index_in(vocabulary, value_set=words["word"].cast(pa.large_string())), -1)
-        c = np.r_[words["c"].to_numpy(), 0][at.to_numpy()]
-        n_tokens = np.diff(offsets) + 1
-        owner = np.repeat(np.arange(len(n_tokens)), n_tokens - 1)
-        n_known = np.bincount(owner, (c > 0)[codes], len(n_tokens)).astype(np.int64) + (1 if ends else 0)
-        base = np.bincount(owner, np.log10(c + 1.0)[codes], len(n_tokens)) + math.log10(ends + 1) - n_tokens * math.log10(tokens + distinct + 1)
+        known_words, known_counts = words["word"].cast(pa.large_string()), np.r_[words["c"].to_numpy(), 0]
         # The ranges in order have the chunk's distinct codes in order.
         found = known.filter(pc.is_valid(known["part"])).sort_by("part")
+        listed = np.concatenate([unpack(x.as_py(), np.uint64) for x in found["codes"]])
         logs = np.concatenate([unpack(x.as_py(), np.float64) for x in found["logs"]])
-        listed = distinct_codes(text, np.zeros(len(text), bool))[0]
-        batch = pa.RecordBatch.from_arrays([text], names=["text"])
-        scores = np.concatenate([score_block(text_column(b, "text"), listed, logs) for b in blocks(batch, "text", BLOCK)])
-        out = [table["id"].combine_chunks(), table["train"].combine_chunks(), pa.array(n_tokens),
-               pa.array(n_known), pa.array(np.full(len(n_tokens), tokens)), pa.array(base), pa.array(scores)]
-        return pa.table(dict(zip(fields, out)))
+        out = []
+        for piece, text in pieces_of(table, PIECE):
+            codes, offsets, vocabulary = split_words(text)
+            at = pc.fill_null(pc.index_in(vocabulary, value_set=known_words), -1)
+            c = known_counts[at.to_numpy()]
+            n_tokens = np.diff(offsets) + 1
+            owner = np.repeat(np.arange(len(n_tokens)), n_tokens - 1)
+            n_known = np.bincount(owner, (c > 0)[codes], len(n_tokens)).astype(np.int64) + (1 if ends else 0)
+            base = np.bincount(owner, np.log10(c + 1.0)[codes], len(n_tokens)) + math.log10(ends + 1) - n_tokens * math.log10(tokens + distinct + 1)
+            scores = np.concatenate([score_block(text_column(b, "text"), listed, logs) for b in blocks(piece, "text", BLOCK)])
+            out.append(pa.RecordBatch.from_arrays(
+                [piece.column("id"), piece.column("train"), pa.array(n_tokens), pa.array(n_known),
+                 pa.array(np.full(len(n_tokens), tokens)), pa.array(base), pa.array(scores)], names=list(fields)))
+        return pa.Table.from_batches(out)
 
     fields = {"id": pa.null(), "train": pa.bool_(), "n_tokens": pa.int64(), "n_known": pa.int64(),
               "train_tokens": pa.int64(), "base_score": pa.float64(), "score": pa.float64()}
