@@ -20,11 +20,11 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """``df`` written as a table and read back: it is computed once, and a lost executor
     costs no more than reading it again."""
     path = shared_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -291,13 +291,15 @@ def _listed(dealt: DataFrame) -> DataFrame:
             n = np.bincount(at, np.r_[n, counts], len(vocabulary)).astype(np.int64)
             listed = distinct_codes(text, learned)
             found, seen = added(np.r_[found, listed[0]], np.r_[seen, listed[1]])
+        order = pc.sort_indices(vocabulary)  # words that begin alike take less space together
+        vocabulary, n = vocabulary.take(order), n[order.to_numpy()]
         return pa.table({"chunk": table["chunk"][:1], "m": pa.array([len(found)], pa.int64()),
                          "codes": pa.array([pack(found)], pa.binary()), "seen": pa.array([pack(seen)], pa.binary()),
                          "words": pa.array([vocabulary.cast(pa.string())], pa.list_(pa.string())),
                          "counts": pa.array([n], pa.list_(pa.int64()))})
 
     return written(dealt.groupBy("chunk").applyInArrow(
-        gather, "chunk bigint, m bigint, codes binary, seen binary, words array<string>, counts array<bigint>"), "chunks")
+        gather, "chunk bigint, m bigint, codes binary, seen binary, words array<string>, counts array<bigint>"), "chunks", "zstd")
 
 
 def fit_suffix_tree(texts: DataFrame, p_min: float | None = None, gain: float = GAIN,
