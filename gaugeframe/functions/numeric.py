@@ -27,7 +27,19 @@ def round_scaled(x: Column, digits: int) -> Column:
     back. Spark's ``round`` and Java's formats round the shortest decimal text of ``x`` instead, which differs
     next to a half."""
     scaled = x * float(10 ** digits)
-    return F.when(F.abs(scaled) < float("inf"), F.round(scaled) / float(10 ** digits)).otherwise(x)
+    # The sign stays on a zero.
+    rounded = F.signum(x) * F.round(F.abs(scaled)) / float(10 ** digits)
+    return F.when(F.abs(scaled) < float("inf"), rounded).otherwise(x)
+
+
+def printed(x: Column, digits: int) -> Column:
+    """``round_scaled`` as C's ``printf`` writes it, which has ``inf`` and ``nan`` where Java's formats have words
+    of their own, and all digits of a whole number from 2^53 on, where Java's end in zeros. From 2^63 on they do
+    so here as well."""
+    whole = (F.abs(x) >= float(1 << 53)) & (F.abs(x) < float(1 << 63))
+    return (F.when(F.isnan(x), F.lit("nan")).when(x == float("inf"), F.lit("inf")).when(x == -float("inf"), F.lit("-inf"))
+             .when(whole, F.concat(F.when(whole, x).cast("bigint").cast("string"), F.lit("." + "0" * digits)))
+             .otherwise(F.format_string(f"%.{digits}f", round_scaled(x, digits))))
 
 
 def is_anomaly(col: Column | str, sigma: float = ANOMALY_SIGMA) -> Column:

@@ -23,3 +23,21 @@ def test_numbers_next_to_a_half(spark, tmp_path, name):
     path = next((tmp_path / "written").glob("*.parquet"))
     path.rename(tmp_path / "events.parquet")
     assert compare(entry.queries()[name](spark, str(tmp_path)), connect(str(tmp_path)), entry.oracle_sql()[name]) == []
+
+
+# Factors that are infinite, no number, have more digits than a double tells apart, or round to a zero with a sign.
+ODD_SECONDS = [(float("inf"), 2.0), (2.0, float("inf")), (-float("inf"), 2.0), (float("nan"), 2.0), (2.0, float("nan")),
+               (1e300, 1e-300), (-3.7, 1e-9), (-1e300, 1e-300), (1e-320, 2.0), (-0.0, 2.0), (-1e-8, 2.0), (1.0, -2.0),
+               (123456789.125, 1e-9), (-1e-10, 59.03e7)]
+
+
+@pytest.mark.parametrize("name", ["job_analysis", "job_analysis_readings"])
+def test_factors_that_are_no_plain_number(spark, tmp_path, name):
+    at = datetime.datetime(2024, 1, 1)
+    rows = [(job * 100 + run, at, job, kind, pair[i], "{}") for job, pair in enumerate(ODD_SECONDS)
+            for i, (run, kind) in enumerate([(10, "click"), (79, "view")])]
+    spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
+                          ).coalesce(1).write.parquet(str(tmp_path / "written"))
+    path = next((tmp_path / "written").glob("*.parquet"))
+    path.rename(tmp_path / "events.parquet")
+    assert compare(entry.queries()[name](spark, str(tmp_path)), connect(str(tmp_path)), entry.oracle_sql()[name]) == []
