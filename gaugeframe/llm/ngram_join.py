@@ -46,7 +46,8 @@ STAR_SHARE = 50  # star rounds go on while one in so many of their pairs is link
 WORDS = 4  # 64-bit words of a class's bitmap of prefix shingles
 BITS = [f"b{k}" for k in range(WORDS)]
 BASE = np.uint64(0x9E3779B97F4A7C15)
-BLOCK = 2 << 20
+BLOCK = 512 << 10  # bytes of text that are hashed at once
+PAIRS = 500  # fragments that are compared at once
 
 
 def shingle_sets(texts: pa.Array) -> list[np.ndarray]:
@@ -123,12 +124,14 @@ def _cuts(counts: np.ndarray) -> np.ndarray:
 
 def _count_overlap(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        left, right = batch.column("left").to_pylist(), batch.column("right").to_pylist()
-        counts = [len(np.intersect1d(np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64), True))
-                  for a, b in zip(left, right)]
-        yield pa.RecordBatch.from_arrays(
-            [*[batch.column(c) for c in ("a", "b", "need")], pa.array(counts, pa.int64())],
-            names=["a", "b", "need", "overlap"])
+        for start in range(0, batch.num_rows, PAIRS):
+            part = batch.slice(start, PAIRS)
+            left, right = part.column("left").to_pylist(), part.column("right").to_pylist()
+            counts = [len(np.intersect1d(np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64), True))
+                      for a, b in zip(left, right)]
+            yield pa.RecordBatch.from_arrays(
+                [*[part.column(c) for c in ("a", "b", "need")], pa.array(counts, pa.int64())],
+                names=["a", "b", "need", "overlap"])
 
 
 def linked_pairs(pairs: DataFrame, segments: DataFrame) -> DataFrame:

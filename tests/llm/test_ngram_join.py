@@ -2,12 +2,15 @@
 
 import random
 import re
+import tracemalloc
 from itertools import combinations
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from gaugeframe.llm.components import components
-from gaugeframe.llm.ngram_join import similar_components
+from gaugeframe.llm.ngram_join import _count_overlap, similar_components
 
 SCHEMA = "doc_id bigint, text string, node string"
 
@@ -118,3 +121,22 @@ def test_registered_query(spark):
     docs = [tuple(r) for r in spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()]
     got = [(str(r.doc_id), r.n_shingles, str(r.component_id)) for r in op4_ngram_join(spark, folder).collect()]
     assert sorted(got) == brute(docs) and any(d != c for d, _, c in got)
+
+
+def test_overlaps_are_counted_in_small_pieces():
+    """A batch of 40 MB of fragments is not unpacked at once."""
+    held = np.arange(512, dtype=np.uint64)
+    n = 5_000
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(range(n), pa.int64()), pa.array(range(n), pa.int64()), pa.array([1] * n, pa.int64()),
+         pa.array([held.tobytes()] * n, pa.binary()), pa.array([(held + np.uint64(i)).tobytes() for i in range(n)], pa.binary())],
+        names=["a", "b", "need", "left", "right"])
+    tracemalloc.start()
+    try:
+        out = pa.Table.from_batches(_count_overlap(iter([batch])))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert out["overlap"].to_pylist() == [max(0, 512 - i) for i in range(n)]
+    assert out["a"].to_pylist() == list(range(n))
+    assert peak < 10 << 20
